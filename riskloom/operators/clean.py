@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.functions.columns import clip, half_even, outside, rows_of
 from riskloom.operators.profile import null_profile
 from riskloom.operators.quantiles import quantile_table
-from riskloom.session import local_rows, pin, stage
+from riskloom.session import PIN_ROWS, local_rows, stage
 from riskloom.spec import RoleSpec, normalise
 
 FENCE = 1.5
@@ -45,9 +45,28 @@ def impute(df: DataFrame, fills: dict) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()}) if fills else df
 
 
-def drop_duplicates(df: DataFrame, subset=None) -> DataFrame:
-    """Keep one of equal rows; copies are combined before the shuffle, so a hot row costs nothing."""
-    return df.dropDuplicates(list(subset)) if subset else df.distinct()
+def drop_duplicates(df: DataFrame, subset=None, key: str | None = None) -> DataFrame:
+    """Keep one of equal rows; copies are combined before the shuffle, so a hot row costs nothing.
+
+    With ``key`` only key values are shuffled first: equal rows share their key, so rows whose key
+    occurs once stay where they are, and only the others are compared in full. When no key repeats
+    ``df`` itself is returned. Many repeated keys go the plain way.
+    """
+    if subset:
+        return df.dropDuplicates(list(subset))
+    if key is None:
+        return df.distinct()
+    spark = df.sparkSession
+    repeated = df.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__n")).filter("__n > 1")
+    few = repeated.select("__key").limit(PIN_ROWS + 1).toArrow()
+    if few.num_rows == 0:
+        return df
+    if few.num_rows > PIN_ROWS:
+        return df.distinct()
+    keys = spark.createDataFrame(few)
+    same = F.col(key).eqNullSafe(F.col("__key"))
+    once = df.join(keys, same, "left_anti")
+    return once.unionByName(df.join(keys, same, "left_semi").distinct())
 
 
 def duplicate_count(df: DataFrame, subset=None) -> DataFrame:
@@ -111,49 +130,57 @@ def fix_types(df: DataFrame, spec: RoleSpec) -> DataFrame:
 
 @dataclass(frozen=True)
 class Cleaned:
-    """The clean table, its step-by-step report, and the fitted values behind both."""
+    """The clean table and what was fitted on the way to it."""
 
     table: DataFrame
-    report: DataFrame
+    raw: DataFrame
+    distinct: DataFrame
+    spec: RoleSpec
     fills: dict
     limits: dict
 
+    def report(self) -> DataFrame:
+        """(step, column, metric, value) in place of printed text; scans the table when called."""
+        spec, limits = self.spec, self.limits
+        nulls = null_profile(self.raw).collect()
+        after = self.distinct.agg(F.count("*").alias("rows"), *[
+            F.count_if(outlier_flag(c, limits)).alias(f"n_{c}") for c in limits
+        ]).first()
+        before = nulls[0]["rows"]
+        rows = [("load", None, "rows", before)]
+        rows += [("missing", r["column"], "nulls", r["nulls"]) for r in nulls]
+        rows += [("missing", None, "nulls", sum(r["nulls"] for r in nulls))]
+        rows += [("missing", c, "fill", v) for c, v in self.fills.items() if c in spec.numeric]
+        rows += [("duplicates", None, "removed", before - after["rows"])]
+        for c, (lower, upper) in limits.items():
+            rows += [("outliers", c, "treated", after[f"n_{c}"]),
+                     ("outliers", c, "lower", lower), ("outliers", c, "upper", upper)]
+        rows += [("outliers", None, "treated", sum(after[f"n_{c}"] for c in limits)),
+                 ("result", None, "rows", after["rows"])]
+        return local_rows(
+            self.raw.sparkSession, [(s, c, m, float(v)) for s, c, m, v in rows],
+            "step string, column string, metric string, value double",
+        )
+
 
 def clean(df: DataFrame, spec: RoleSpec) -> Cleaned:
-    """Run every step. The imputed, de-duplicated rows are written once, since both the limits and
-    the result read them; winsorising and casting stay row-wise on top of that table."""
+    """Run every step.
+
+    Everything is row-wise around a few fitted constants, so without repeated ids no row is ever
+    shuffled. Only when duplicates had to be removed are the remaining rows written once, since
+    both the limits and the result read them. ``df`` is read a few times, so stage it first when it
+    is more than a scan.
+    """
     raw = normalise(df)
     fills = fill_values(raw, spec)
-    distinct = stage(drop_duplicates(impute(raw, fills)))
+    filled = impute(raw, fills)
+    distinct = drop_duplicates(filled, key=spec.id)
+    if distinct is not filled:
+        distinct = stage(distinct)
     limits = limits_of(distinct, spec.outlier)
     table = fix_types(winsorise(distinct, limits), spec)
-    return Cleaned(table, _report(raw, distinct, spec, fills, limits), fills, limits)
+    return Cleaned(table, raw, distinct, spec, fills, limits)
 
 
 def clean_table(df: DataFrame, spec: RoleSpec) -> DataFrame:
     return clean(df, spec).table
-
-
-def _report(raw: DataFrame, distinct: DataFrame, spec: RoleSpec, fills: dict, limits: dict) -> DataFrame:
-    """(step, column, metric, value) in place of printed text."""
-    spark = raw.sparkSession
-    nulls = pin(null_profile(raw))
-    rows_before = nulls.first()["rows"]
-    counts = distinct.agg(F.count("*").alias("rows"), *[
-        F.count_if(outlier_flag(c, limits)).alias(f"n_{c}") for c in limits
-    ]).first()
-    treated = {r["column"]: r["nulls"] for r in nulls.collect()}
-    rows = [("load", None, "rows", rows_before)]
-    rows += [("missing", c, "nulls", n) for c, n in treated.items()]
-    rows += [("missing", None, "nulls", sum(treated.values()))]
-    rows += [("missing", c, "fill", v) for c, v in fills.items() if c in spec.numeric]
-    rows += [("duplicates", None, "removed", rows_before - counts["rows"])]
-    for c, (lo, hi) in limits.items():
-        rows += [("outliers", c, "treated", counts[f"n_{c}"]),
-                 ("outliers", c, "lower", lo), ("outliers", c, "upper", hi)]
-    rows += [("outliers", None, "treated", sum(counts[f"n_{c}"] for c in limits)),
-             ("result", None, "rows", counts["rows"])]
-    return local_rows(
-        spark, [(s, c, m, float(v)) for s, c, m, v in rows],
-        "step string, column string, metric string, value double",
-    )

@@ -19,7 +19,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.session import pin
+from riskloom.session import any_row, pin
 
 MAX_ROWS = 1 << 20
 SPLITS = 4096
@@ -44,14 +44,12 @@ def exact_quantiles(
     keys = [*by, "column"]
     long = long_values(df, columns, by)
     targets = pin(_first_brackets(long, keys, probs))
-    while True:
-        widest = _widest(targets)
-        if widest is None or widest <= max_rows:
-            break
+    while any_row(targets, f"lo < hi and inside > {max_rows}"):
         targets = pin(_narrow(long, targets, keys, max_rows, splits))
 
-    done = targets.filter("lo = hi").withColumn("x", F.col("lo"))
-    found = done if widest is None else done.unionByName(_read_off(long, targets, keys))
+    found = targets.filter("lo = hi").select(*keys, "n", "prob", "side", "frac", F.col("lo").alias("x"))
+    if any_row(targets, "lo < hi"):
+        found = found.unionByName(_read_off(long, targets.filter("lo < hi"), keys))
     low = F.max(F.when(F.col("side") == 0, F.col("x")))
     high = F.max(F.when(F.col("side") == 1, F.col("x")))
     value = F.when(low == high, low).otherwise(low + (high - low) * F.first("frac"))
@@ -97,18 +95,10 @@ def _first_brackets(long: DataFrame, keys: list[str], probs) -> DataFrame:
     )
 
 
-def _widest(targets: DataFrame):
-    return targets.filter("lo < hi").agg(F.max("inside")).first()[0]
-
-
-def _in_brackets(long: DataFrame, open_targets: DataFrame, keys: list[str]) -> DataFrame:
-    brackets = open_targets.select(*keys, "lo", "hi", "below").distinct()
-    return long.join(brackets, keys).filter("x >= lo and x <= hi")
-
-
 def _narrow(long: DataFrame, targets: DataFrame, keys: list[str], max_rows: int, splits: int) -> DataFrame:
     wide = f"lo < hi and inside > {max_rows}"
-    rows = _in_brackets(long, targets.filter(wide), keys).withColumnsRenamed({"lo": "from", "hi": "to"})
+    brackets = targets.filter(wide).select(*keys, F.col("lo").alias("from"), F.col("hi").alias("to"), "below").distinct()
+    rows = long.join(brackets, keys).filter("x >= from and x <= to")
     part = F.floor((F.col("x") - F.col("from")) / (F.col("to") - F.col("from")) * splits).cast("long")
     hist = _histogram(rows, [*keys, "from", "to", "below"], part)
     narrowed = (
@@ -122,14 +112,17 @@ def _narrow(long: DataFrame, targets: DataFrame, keys: list[str], max_rows: int,
 
 
 def _read_off(long: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
-    open_targets = targets.filter("lo < hi")
+    """Count the values inside the brackets and pick the wanted ranks."""
+    wanted = F.collect_list(F.struct("n", "prob", "side", "rank", "frac"))
+    brackets = pin(targets.groupBy(*keys, "lo", "hi", "below").agg(wanted.alias("wanted")))
     counts = (
-        _in_brackets(long, open_targets, keys).groupBy(*keys, "lo", "hi", "below", "x").agg(F.count("*").alias("c"))
+        long.join(brackets, keys).filter("x >= lo and x <= hi")
+        .groupBy(*keys, "lo", "hi", "below", "x").agg(F.count("*").alias("c"), F.first("wanted").alias("wanted"))
     )
     running = Window.partitionBy(*keys, "lo", "hi", "below").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.withColumn("end", F.col("below") + F.sum("c").over(running))
     return (
-        open_targets.join(ranked.drop("below"), [*keys, "lo", "hi"])
+        counts.withColumn("end", F.col("below") + F.sum("c").over(running))
+        .select(*keys, "x", "c", "end", F.inline("wanted"))
         .filter("end - c <= rank and rank < end")
-        .select(*targets.columns, "x")
+        .select(*keys, "n", "prob", "side", "frac", "x")
     )

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.session import pin
+from riskloom.session import any_row, pin
 
 MAX_ROWS = 1 << 20
 DIGITS = 3
@@ -48,7 +48,7 @@ def hash_cuts(
     counts = quota(hist.groupBy(*strata).agg(F.sum("inside").alias("n")))
     wanted = counts.filter("k > 0").select(*strata, "k", F.col("k").alias("left"))
     cuts = pin(_locate(hist, wanted, strata))
-    while (cuts.agg(F.max("inside")).first()[0] or 0) > max_rows:
+    while any_row(cuts, f"inside > {max_rows}"):
         inside = join_null_safe(rows, cuts.select(*strata, F.col("prefix").alias("found")), strata, "inner")
         inside = inside.filter(F.col("h").startswith(F.col("found")))
         length += digits

@@ -20,7 +20,7 @@ from riskloom.operators.prepare import (
 )
 from riskloom.operators.profile import data_dictionary, describe, null_profile, profile
 from riskloom.plans import data_quality, modelling
-from riskloom.session import local_rows, stage, staging_dir
+from riskloom.session import fresh_path, local_rows, stage
 from riskloom.sources import synth
 from riskloom.sources.cohorts import CUSTOMERS, DOCUMENTS, LINES, customers, documents, lines, table
 from riskloom.sources.tables import read_csv, write_csv
@@ -102,13 +102,18 @@ def customer_risk(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.explain(rows, CUSTOMER_RULES)
 
 
+def _customers(spark: SparkSession, folder: str) -> DataFrame:
+    """The customer cohort, written once for queries that pass over it several times."""
+    return stage(customers(spark, folder))
+
+
 def _imputed(spark: SparkSession, folder: str) -> DataFrame:
-    raw = customers(spark, folder)
+    raw = _customers(spark, folder)
     return cleaning.drop_duplicates(cleaning.impute(raw, cleaning.fill_values(raw, CUSTOMERS)))
 
 
 def _clean(spark: SparkSession, folder: str) -> DataFrame:
-    return cleaning.clean_table(customers(spark, folder), CUSTOMERS)
+    return cleaning.clean_table(_customers(spark, folder), CUSTOMERS)
 
 
 # --- profile and cleaning --------------------------------------------------------------------
@@ -123,7 +128,7 @@ def q_table_profile(spark, folder):
 
 
 def q_data_dictionary(spark, folder):
-    raw = customers(spark, folder)
+    raw = _customers(spark, folder)
     return data_dictionary(raw, cleaning.clean_table(raw, CUSTOMERS), CUSTOMER_DEFINITIONS)
 
 
@@ -136,7 +141,7 @@ def q_fill_modes(spark, folder):
 
 
 def q_impute_median_mode(spark, folder):
-    raw = customers(spark, folder)
+    raw = _customers(spark, folder)
     return rounded(cleaning.impute(raw, cleaning.fill_values(raw, CUSTOMERS)), 4, "c_acctbal", "avg_price")
 
 
@@ -166,7 +171,7 @@ def q_iqr_limits_by_group(spark, folder):
 
 
 def q_outlier_count_raw(spark, folder):
-    return rounded(cleaning.outlier_counts(customers(spark, folder), CUSTOMERS.outlier), 6, "lower", "upper")
+    return rounded(cleaning.outlier_counts(_customers(spark, folder), CUSTOMERS.outlier), 6, "lower", "upper")
 
 
 def q_outlier_count_clean(spark, folder):
@@ -177,7 +182,7 @@ def q_outlier_count_clean(spark, folder):
 def q_winsorize(spark, folder):
     rows = stage(_imputed(spark, folder))
     out = cleaning.winsorise(rows, cleaning.limits_of(rows, CUSTOMERS.outlier))
-    return rounded(out, 4, "c_acctbal", "n_orders", "avg_price", "recency_days")
+    return rounded(out, 6, "c_acctbal", "n_orders", "avg_price", "recency_days")
 
 
 def q_clean_full(spark, folder):
@@ -185,18 +190,18 @@ def q_clean_full(spark, folder):
 
 
 def q_cleaning_report(spark, folder):
-    return rounded(cleaning.clean(customers(spark, folder), CUSTOMERS).report, 4, "value")
+    return rounded(cleaning.clean(_customers(spark, folder), CUSTOMERS).report(), 6, "value")
 
 
 def q_quality_summary(spark, folder):
-    raw = customers(spark, folder)
+    raw = _customers(spark, folder)
     done = data_quality.summary(raw, cleaning.clean_table(raw, CUSTOMERS), CUSTOMERS)
     return rounded(done, 4, "value")
 
 
 def q_csv_roundtrip(spark, folder):
     rows = _clean(spark, folder)
-    path = f"{staging_dir(spark)}/csv-{spark.sparkContext.applicationId}-{id(rows)}"
+    path = fresh_path(spark, "csv")
     write_csv(rows, path)
     return read_csv(spark, path, rows.schema)
 
@@ -290,7 +295,7 @@ def q_histogram30(spark, folder):
 
 
 def q_histogram30_scaled(spark, folder):
-    rows = customers(spark, folder).select("avg_price")
+    rows = _customers(spark, folder).select("avg_price")
     z = standardise(rows, scale_stats(rows, ["avg_price"]))
     return rounded(explore.histogram(z, "avg_price", 30), 6, "low", "high")
 
@@ -489,7 +494,7 @@ def q_trained_comparison(spark, folder):
 def q_saved_model_scores(spark, folder):
     """Train, save, load, and score the whole raw table with the loaded model."""
     rows = _clean(spark, folder)
-    path = f"{staging_dir(spark)}/model-{spark.sparkContext.applicationId}-{id(rows)}"
+    path = fresh_path(spark, "model")
 
     def fit():
         ready = prepare(rows, CUSTOMERS)
@@ -503,7 +508,7 @@ def q_saved_model_scores(spark, folder):
 
 
 def q_legacy_rf_scores(spark, folder):
-    raw = cleaning.impute(customers(spark, folder), {"region": "UNKNOWN"})
+    raw = cleaning.impute(_customers(spark, folder), {"region": "UNKNOWN"})
     trained = modelling.train_legacy(raw, CUSTOMERS, depth=8)
     return scoring.legacy_score(raw, trained.model).select("c_custkey", "evadiu", "probabilidade_evasao")
 
@@ -543,7 +548,7 @@ def q_stream_score(spark, folder):
     """The orders as a stream, scored by the same function as a batch."""
     schema = table(spark, folder, "orders").schema
     rows = read_stream(spark, folder, schema, "orders.parquet")
-    base = f"{staging_dir(spark)}/stream-{spark.sparkContext.applicationId}-{id(rows)}"
+    base = fresh_path(spark, "stream")
     score_stream(rows, _score_order, f"{base}/out", f"{base}/log").awaitTermination()
     return rounded(spark.read.parquet(f"{base}/out"), 6, "prob", "delta")
 

@@ -346,7 +346,7 @@ def _text(c) -> str:
 
 
 REPORT = union(
-    f"SELECT '{s}' AS step, {_text(c)} AS \"column\", '{m}' AS metric, {rnd(v, 4)} AS value" for s, c, m, v in _report)
+    f"SELECT '{s}' AS step, {_text(c)} AS \"column\", '{m}' AS metric, {rnd(v, 6)} AS value" for s, c, m, v in _report)
 
 
 def _profile(t: str, cols, types: dict) -> str:
@@ -424,7 +424,7 @@ ORACLES: dict[str, str] = {
         f"SELECT '{c}' AS \"column\", {_out[c]} AS outliers, {rnd(_lim(c, 'lower'), 6)} AS lower, "
         f"{rnd(_lim(c, 'upper'), 6)} AS upper" for c in CUSTOMERS.outlier),
     "winsorize": with_(CUST, IMPUTED, LIMITS, WINS) + "SELECT " + ", ".join(
-        f"{rnd(c, 4)} AS {c}" if c in CUSTOMERS.numeric else c for c in _cust_cols) + " FROM wins",
+        f"{rnd(c, 6)} AS {c}" if c in CUSTOMERS.numeric else c for c in _cust_cols) + " FROM wins",
     "clean_full": with_(*TO_CLEAN) + "SELECT * FROM clean",
     "cleaning_report": with_(CUST, IMPUTED, LIMITS) + REPORT,
     "quality_summary": with_(*TO_CLEAN, f"rlim AS ({_limits('raw', CUSTOMERS.outlier)})") + union([

@@ -54,10 +54,15 @@ def staging_dir(spark: SparkSession) -> str:
     return _local_dir
 
 
+def fresh_path(spark: SparkSession, kind: str) -> str:
+    """A new path below the staging folder."""
+    return f"{staging_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` once and continue from the written table."""
     spark = df.sparkSession
-    path = f"{staging_dir(spark)}/stage-{uuid.uuid4().hex}"
+    path = fresh_path(spark, "stage")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -70,6 +75,11 @@ def pin(df: DataFrame, rows: int = PIN_ROWS) -> DataFrame:
     return stage(df)
 
 
+def any_row(pinned: DataFrame, condition: str) -> bool:
+    """Does a row of a pinned summary meet the condition; needs no job on a local relation."""
+    return bool(pinned.filter(condition).limit(1).collect())
+
+
 def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A table of parameters or fitted values (a handful of rows) as a local relation."""
     empty = spark.createDataFrame([], schema)
