@@ -108,7 +108,7 @@ def _pearson(a: str, b: str) -> Column:
     """Over rows where both are present; NULL for a constant side."""
     x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
     y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+    return clip(F.try_divide(F.covar_samp(x, y), F.sqrt(F.var_samp(x) * F.var_samp(y))), -1.0, 1.0)
 
 
 def correlation_matrix(df: DataFrame, columns) -> DataFrame:
