@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.columns import (
-    clip, effect, half_even, label_of, ratio, rows_of, sign_mark, signed_text, text_bar,
+    clip, effect, half_even, label_of, ratio, sign_mark, signed_text, text_bar,
 )
 from riskloom.operators.clean import iqr_limits
 from riskloom.operators.quantiles import quantile_table
@@ -104,23 +104,32 @@ def in_order(df: DataFrame, column: str, order: list) -> DataFrame:
 
 # --- correlations ----------------------------------------------------------------------------
 
-def _pearson(a: str, b: str) -> Column:
-    """Over rows where both are present; NULL for a constant side."""
-    x = F.when(F.col(b).isNotNull(), F.col(a).cast("double"))
-    y = F.when(F.col(a).isNotNull(), F.col(b).cast("double"))
-    return clip(F.try_divide(F.covar_samp(x, y), F.sqrt(F.var_samp(x) * F.var_samp(y))), -1.0, 1.0)
+def _pearson(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """(pair, r) by position in ``pairs``: each pair over the rows where both are present, NULL for
+    a constant side.
+
+    Each row is turned into one (x, y) per pair of columns and reduced on the map side, which keeps
+    the generated code small for any number of columns.
+    """
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for i, (a, b) in enumerate(pairs)
+    ])
+    r = F.try_divide(F.covar_samp("x", "y"), F.sqrt(F.var_samp("x") * F.var_samp("y")))
+    return (
+        df.select(F.inline(cells)).filter("x is not null and y is not null")
+        .groupBy("pair").agg(clip(r, -1.0, 1.0).alias("r"))
+    )
 
 
 def correlation_matrix(df: DataFrame, columns) -> DataFrame:
-    """(a, b, r) for all ordered pairs, from one aggregate over the distinct pairs."""
+    """(a, b, r) for all ordered pairs of columns, from one pass over the distinct pairs."""
     columns = list(columns)
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    wide = df.agg(*[_pearson(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in pairs])
-    rows = []
-    for i, a in enumerate(columns):
-        for j, b in enumerate(columns):
-            rows.append([F.lit(a), F.lit(b), F.col(f"r_{min(i, j)}_{max(i, j)}")])
-    return rows_of(wide, ["a", "b", "r"], rows)
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    place = {pair: i for i, pair in enumerate(pairs)}
+    names = [(a, b, place.get((a, b), place.get((b, a)))) for a in columns for b in columns]
+    every = local_rows(df.sparkSession, names, "a string, b string, pair int")
+    return every.join(_pearson(df, pairs), "pair", "left").select("a", "b", "r")
 
 
 def correlation_wide(df: DataFrame, columns) -> DataFrame:
@@ -132,8 +141,8 @@ def correlation_wide(df: DataFrame, columns) -> DataFrame:
 def target_correlations(df: DataFrame, columns, target: str) -> DataFrame:
     """(column, r): only the pairs with the target."""
     columns = list(columns)
-    wide = df.agg(*[_pearson(c, target).alias(f"r_{i}") for i, c in enumerate(columns)])
-    return rows_of(wide, ["column", "r"], [[F.lit(c), F.col(f"r_{i}")] for i, c in enumerate(columns)])
+    names = local_rows(df.sparkSession, list(enumerate(columns)), "pair int, column string")
+    return names.join(_pearson(df, [(c, target) for c in columns]), "pair", "left").select("column", "r")
 
 
 def strongest_correlations(df: DataFrame, columns, target: str, k: int = 3) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.session import pin, stage
 
-PER_BUCKET = 1 << 20
+PER_BUCKET = 1 << 16
 MAX_BUCKETS = 10_000
 
 

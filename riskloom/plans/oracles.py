@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskloom.functions import draws
 from riskloom.functions.risk import BASE_RATE
 from riskloom.plans.catalog import CARD_A, CARD_B, CUSTOMER_DEFINITIONS, YEARS
 from riskloom.sources import synth
@@ -246,12 +247,29 @@ FROM (SELECT *, {_softsign('(o_totalprice - 300000e0) / 100000e0')} * 100e0 AS p
 
 # --- synthetic students ----------------------------------------------------------------------
 
-def _u(tag: str, slot: int) -> str:
-    return f"((('0x' || substr(h_{tag}, {1 + 8 * slot}, 8))::BIGINT + 5e-1) / 4294967296e0)"
+_n = synth.UNIFORMS
 
 
-def _normal(tag: str) -> str:
-    return f"(sqrt(ln({_u(tag, 0)}) * -2e0) * cos({_u(tag, 1)} * 6.283185307179586e0))"
+def _step(name: str, source: str, make) -> str:
+    return f"{name} AS (SELECT id_aluno, positive, " + ", ".join(
+        f"{make(f'u{i}', i)} AS u{i}" for i in range(_n)) + f" FROM {source})"
+
+
+def _mixer(name: str, source: str) -> str:
+    """The integer mixer, one common table expression per step."""
+    out = []
+    for k, (shift, factor) in enumerate(draws.ROUNDS):
+        out.append(_step(f"{name}{k}", source, lambda x, i, s=shift, f=factor: (
+            f"(xor({x}, {x} >> {s}) * {f}::BIGINT) & {draws.MASK}::BIGINT")))
+        source = f"{name}{k}"
+    return ",\n".join(out + [_step(name, source, lambda x, i: f"xor({x}, {x} >> {draws.LAST_SHIFT})")])
+
+
+_constants = draws.slot_constants(_n, 42)
+
+
+def _normal(a: int, b: int) -> str:
+    return f"(sqrt(ln(u{a}) * -2e0) * cos(u{b} * 6.283185307179586e0))"
 
 
 def _clip(x: str, lo, hi) -> str:
@@ -273,29 +291,33 @@ def _pick(u: str, values) -> str:
 def _student(p: dict) -> dict[str, str]:
     mean, dev, lo, hi = p["cr"]
     shape, theta = p["absences"]
-    logs = "".join(f" - ln({_u('absences', 2 + i)})" for i in range(shape))
-    z = _normal("absences")
+    second = "ln(u5)" if shape == 2 else "0e0"
+    z = _normal(2, 3)
     return {
-        "cr": half(_clip(f"{_normal('cr')} * {dev}e0 + {mean}e0", lo, hi), 1),
-        "faltas": _clip(f"floor(({z} * {z} / 2e0{logs}) * {theta}e0)", 0, synth.MAX_ABSENCES),
-        "situacao_financeira": _choice(_u("choices", 2), synth.FINANCES, p["finances"]),
-        "reprovacoes": f"({_choice(_u('choices', 3), synth.FAILURES, p['failures'])})::DOUBLE",
+        "cr": half(_clip(f"{_normal(0, 1)} * {dev}e0 + {mean}e0", lo, hi), 1),
+        "faltas": _clip(f"floor((({z} * {z} / 2e0) - ln(u4) - {second}) * {theta}e0)", 0, synth.MAX_ABSENCES),
+        "situacao_financeira": _choice("u10", synth.FINANCES, p["finances"]),
+        "reprovacoes": f"({_choice('u11', synth.FAILURES, p['failures'])})::DOUBLE",
     }
 
 
 _pos, _neg = _student(synth.POSITIVE), _student(synth.NEGATIVE)
-_tags = ("cr", "absences", "choices", "names", "ages", "ages2")
-_ages = ", ".join([_u("ages", i) for i in range(4)] + [_u("ages2", i) for i in range(3)])
-STUDENT = f"""keyed AS (SELECT o_orderkey AS id_aluno,
-  row_number() OVER (ORDER BY md5(o_orderkey || ':42'), o_orderkey) <= floor(count(*) OVER () * 0.3::DOUBLE) AS positive,
-  {', '.join(f"md5(o_orderkey || ':{t}:42') AS h_{t}" for t in _tags)} FROM orders),
-student AS (SELECT id_aluno,
-  {_pick(_u('names', 0), synth.FIRST_NAMES)} || ' ' || {_pick(_u('names', 1), synth.LAST_NAMES)} AS nome,
-  {_pick(_u('choices', 0), synth.COURSES)} AS curso,
-  (floor({_u('choices', 1)} * 8) + 1)::DOUBLE AS periodo,
+_ages = ", ".join(f"u{i}" for i in range(12, 19))
+STUDENT = ",\n".join([
+    """keyed AS (SELECT o_orderkey AS id_aluno, row_number() OVER (ORDER BY md5(o_orderkey || ':42'), o_orderkey)
+    <= floor(count(*) OVER () * 0.3::DOUBLE) AS positive FROM orders)""",
+    _step("first", "keyed", lambda x, i: f"xor(id_aluno & {draws.MASK}::BIGINT, {_constants[i][0]}::BIGINT)"),
+    _mixer("mixed", "first"),
+    _step("second", "mixed", lambda x, i: f"xor({x}, xor(id_aluno >> 32, {_constants[i][1]}::BIGINT))"),
+    _mixer("remixed", "second"),
+    _step("unit", "remixed", lambda x, i: f"({x} + 5e-1) / 4294967296e0"),
+    f"""student AS (SELECT id_aluno,
+  {_pick('u6', synth.FIRST_NAMES)} || ' ' || {_pick('u7', synth.LAST_NAMES)} AS nome,
+  {_pick('u8', synth.COURSES)} AS curso, (floor(u9 * 8) + 1)::DOUBLE AS periodo,
   {', '.join(f"CASE WHEN positive THEN {_pos[c]} ELSE {_neg[c]} END AS {c}" for c in _pos)},
   {_clip(f"floor(list_sort([{_ages}])[2] * 28e0 + 17e0)", 17, 45)} AS idade,
-  positive::INT AS evadiu FROM keyed)"""
+  positive::INT AS evadiu FROM unit)""",
+])
 
 
 def _chosen(c: str) -> str:

@@ -17,13 +17,15 @@ COURSES = ["Ciência da Computação", "Engenharia Civil", "Administração", "D
 FINANCES = ["estavel", "intermediaria", "dificuldade"]
 FAILURES = [0, 1, 2, 3, 4, 5, 6]
 POSITIVE = dict(
-    cr=(4.2, 1.0, 2.0, 7.5), absences=(2, 8.8),
+    cr=(4.2, 1.0, 2.0, 7.5),  # mean, deviation, least, most
+    absences=(2, 8.8),  # gamma: whole part of the shape, which is that plus one half; scale
     failures=[0.15, 0.20, 0.25, 0.20, 0.12, 0.06, 0.02], finances=[0.10, 0.50, 0.40],
 )
 NEGATIVE = dict(
     cr=(6.5, 1.0, 3.5, 10.0), absences=(1, 3.3),
     failures=[0.55, 0.28, 0.12, 0.04, 0.01, 0.0, 0.0], finances=[0.386, 0.50, 0.114],
 )
+UNIFORMS = 19
 MAX_ABSENCES = 40
 PERIODS = (1, 8)
 AGES = (17, 45)
@@ -41,38 +43,34 @@ def student_ids(spark: SparkSession, n: int) -> DataFrame:
     return spark.range(1, n + 1).withColumnRenamed("id", "id_aluno")
 
 
-def _absences(shape: int, theta: float, h: Column) -> Column:
-    z = draws.normal(draws.uniform(h, 0), draws.uniform(h, 1))
-    drawn = draws.gamma_half([draws.uniform(h, 2 + i) for i in range(shape)], z, theta)
-    return clip(F.floor(drawn), 0, MAX_ABSENCES).cast("double")
-
-
-def _grade(mean: float, dev: float, low: float, high: float, h: Column) -> Column:
-    drawn = draws.normal(draws.uniform(h, 0), draws.uniform(h, 1)) * dev + mean
-    return half_even(clip(drawn, low, high), 1)
-
-
 def students(ids: DataFrame, key: str = "id_aluno", seed: int = 42, rate: float = POSITIVE_RATE) -> DataFrame:
     """One student per key, exactly int(n * rate) of them positive, no missing values yet."""
     keyed = ids.select(F.col(key).cast("long").alias("id_aluno"))
     classed = mark_selected(keyed, "id_aluno", [], share_quota(rate), seed, "positive")
-    tags = ("cr", "absences", "choices", "names", "ages", "ages2")
-    hashed = classed.select("*", *[draws.digest(F.col("id_aluno"), t, seed).alias(f"__{t}") for t in tags])
-    u = lambda tag, slot: draws.uniform(F.col(f"__{tag}"), slot)
+    drawn = draws.with_uniforms(classed, "id_aluno", UNIFORMS, seed)
+    u = [F.col(f"__u{i}") for i in range(UNIFORMS)]
 
     def per_class(make) -> Column:
         return F.when(F.col("positive"), make(POSITIVE)).otherwise(make(NEGATIVE))
 
-    age = draws.order_statistic([u("ages", i) for i in range(4)] + [u("ages2", i) for i in range(3)], 2)
-    return hashed.select(
+    def parameter(name: str, i: int) -> Column:
+        return per_class(lambda p: F.lit(p[name][i]))
+
+    grade = draws.normal(u[0], u[1]) * parameter("cr", 1) + parameter("cr", 0)
+    grade = F.when(grade < parameter("cr", 2), parameter("cr", 2)).when(
+        grade > parameter("cr", 3), parameter("cr", 3)).otherwise(grade)
+    second = per_class(lambda p: F.log(u[5]) if p["absences"][0] == 2 else F.lit(0.0))
+    absent = (draws.half_chi_square(draws.normal(u[2], u[3])) - F.log(u[4]) - second) * parameter("absences", 1)
+    age = draws.order_statistic(u[12:19], 2)
+    return drawn.select(
         "id_aluno",
-        F.concat_ws(" ", draws.pick(u("names", 0), FIRST_NAMES), draws.pick(u("names", 1), LAST_NAMES)).alias("nome"),
-        draws.pick(u("choices", 0), COURSES).alias("curso"),
-        draws.uniform_int(u("choices", 1), *PERIODS).cast("double").alias("periodo"),
-        per_class(lambda p: _grade(*p["cr"], F.col("__cr"))).alias("cr"),
-        per_class(lambda p: _absences(*p["absences"], F.col("__absences"))).alias("faltas"),
-        per_class(lambda p: draws.choice(u("choices", 2), FINANCES, p["finances"])).alias("situacao_financeira"),
-        per_class(lambda p: draws.choice(u("choices", 3), FAILURES, p["failures"])).cast("double").alias("reprovacoes"),
+        F.concat_ws(" ", draws.pick(u[6], FIRST_NAMES), draws.pick(u[7], LAST_NAMES)).alias("nome"),
+        draws.pick(u[8], COURSES).alias("curso"),
+        draws.uniform_int(u[9], *PERIODS).cast("double").alias("periodo"),
+        half_even(grade, 1).alias("cr"),
+        clip(F.floor(absent), 0, MAX_ABSENCES).cast("double").alias("faltas"),
+        per_class(lambda p: draws.choice(u[10], FINANCES, p["finances"])).alias("situacao_financeira"),
+        per_class(lambda p: draws.choice(u[11], FAILURES, p["failures"])).cast("double").alias("reprovacoes"),
         clip(F.floor(age * (AGES[1] - AGES[0]) + AGES[0]), *AGES).cast("double").alias("idade"),
         F.col("positive").cast("int").alias("evadiu"),
     )
