@@ -63,7 +63,7 @@ def drop_duplicates(df: DataFrame, subset=None, key: str | None = None) -> DataF
         return df
     if few.num_rows > PIN_ROWS:
         return df.distinct()
-    keys = spark.createDataFrame(few)
+    keys = F.broadcast(spark.createDataFrame(few))
     same = F.col(key).eqNullSafe(F.col("__key"))
     once = df.join(keys, same, "left_anti")
     return once.unionByName(df.join(keys, same, "left_semi").distinct())

@@ -31,6 +31,18 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     return left.join(renamed, on, how).drop(*[f"__{k}" for k in keys])
 
 
+def attach(left: DataFrame, right: DataFrame, strata: list[str], how: str) -> DataFrame:
+    """The columns of a per-stratum table next to each row; without strata ``right`` has at most
+    one row, whose values are scalars."""
+    if strata:
+        return join_null_safe(left, right, strata, how)
+    return left.withColumns({c: right.select(c).scalar() for c in right.columns})
+
+
+def _per_stratum(strata: list[str]):
+    return Window.partitionBy(*(strata or [F.lit(0)]))
+
+
 def hash_cuts(
     df: DataFrame, key, strata: list[str], quota, seed: int,
     max_rows: int = MAX_ROWS, digits: int = DIGITS,
@@ -49,7 +61,7 @@ def hash_cuts(
     wanted = counts.filter("k > 0").select(*strata, "k", F.col("k").alias("left"))
     cuts = pin(_locate(hist, wanted, strata))
     while any_row(cuts, f"inside > {max_rows}"):
-        inside = join_null_safe(rows, cuts.select(*strata, F.col("prefix").alias("found")), strata, "inner")
+        inside = attach(rows, cuts.select(*strata, F.col("prefix").alias("found")), strata, "inner")
         inside = inside.filter(F.col("h").startswith(F.col("found")))
         length += digits
         hist = inside.groupBy(*strata, F.substring("h", 1, length).alias("prefix")).agg(
@@ -57,9 +69,9 @@ def hash_cuts(
         )
         cuts = pin(_locate(hist, cuts.select(*strata, "k", "left"), strata))
 
-    last = join_null_safe(rows, cuts.drop("inside"), strata, "inner")
+    last = attach(rows, cuts.drop("inside"), strata, "inner")
     last = last.filter(F.col("h").startswith(F.col("prefix")))
-    order = Window.partitionBy(*strata).orderBy("h", "key")
+    order = _per_stratum(strata).orderBy("h", "key")
     return pin(
         last.withColumn("place", F.row_number().over(order))
         .filter("place = left")
@@ -69,10 +81,10 @@ def hash_cuts(
 
 def _locate(hist: DataFrame, wanted: DataFrame, strata: list[str]) -> DataFrame:
     """The prefix of each stratum in which its k-th row lies, and the rank left inside it."""
-    running = Window.partitionBy(*strata).orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
+    running = _per_stratum(strata).orderBy("prefix").rowsBetween(Window.unboundedPreceding, 0)
     ranked = hist.withColumn("upto", F.sum("inside").over(running))
     return (
-        join_null_safe(ranked, wanted, strata, "inner")
+        attach(ranked, wanted, strata, "inner")
         .filter("upto - inside < left and left <= upto")
         .select(*strata, "k", (F.col("left") - F.col("upto") + F.col("inside")).alias("left"), "prefix", "inside")
     )
@@ -83,11 +95,8 @@ def mark_selected(
 ) -> DataFrame:
     """``df`` with a boolean column: is this row among the first k of its stratum in hash order."""
     parts = [key] if isinstance(key, str) else list(key)
-    if not strata:
-        one = df.withColumn("__all", F.lit(0))
-        return mark_selected(one, key, ["__all"], quota, seed, name, **kw).drop("__all")
     cuts = hash_cuts(df, parts, strata, quota, seed, **kw).drop("k")
-    joined = join_null_safe(df, cuts, strata, "left")
+    joined = attach(df, cuts, strata, "left")
     here = F.struct(row_hash(parts, seed).alias("h"), F.struct(*parts).alias("key"))
     cut = F.struct(F.col("cut_hash").alias("h"), F.col("cut_key").alias("key"))
     flag = F.coalesce(F.col("cut_hash").isNotNull() & (here <= cut), F.lit(False))

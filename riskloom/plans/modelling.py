@@ -35,9 +35,15 @@ class Compared:
     best: DataFrame
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for the iterative fits; a large table already has more."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def train(df: DataFrame, spec: RoleSpec, priority=TRAINER_PRIORITY, seed: int = 42, **forest) -> Compared:
     ready = prepare(df, spec, seed=seed)
-    train_rows = ready.train.select("features", LABEL).persist()
+    train_rows = spread(ready.train.select("features", LABEL)).persist()
     logistic = models.fit_logistic(train_rows)
     forest_model = models.fit_forest(train_rows, seed=seed, **forest)
     train_rows.unpersist()

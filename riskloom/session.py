@@ -1,8 +1,9 @@
 """Session for local runs, and the two ways intermediate results are made durable.
 
 ``pin`` is for fitted summaries (cut points, limits, per-group totals): a result of at most
-``PIN_ROWS`` rows becomes a local relation, whose exact size Spark knows, so a join with it is a
-broadcast only because the size was checked. A larger summary is written out instead.
+``PIN_ROWS`` rows becomes a local relation and is broadcast in joins, which its checked size
+allows; so the large side of the join is never shuffled on a hot key. A larger summary is written
+out instead and joined as Spark sees fit.
 
 ``stage`` is for tables that several later jobs read: it writes Parquet below the folder named by
 ``spark.checkpoint.dir``, so lost executors cost a re-read, not a recomputation, and later jobs
@@ -15,7 +16,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 PIN_ROWS = 10_000
 
@@ -86,7 +87,7 @@ def pin(df: DataFrame, rows: int = PIN_ROWS) -> DataFrame:
     """Compute a summary once: local relation up to ``rows`` rows, written table beyond."""
     head = df.limit(rows + 1).toArrow()
     if head.num_rows <= rows:
-        return df.sparkSession.createDataFrame(head)
+        return F.broadcast(df.sparkSession.createDataFrame(head))
     return stage(df)
 
 

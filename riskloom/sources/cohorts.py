@@ -48,7 +48,7 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
     """One row per customer: order history before the cutoff, region, and whether the customer
     never ordered again. Orders are reduced to one row per customer before any join, so a customer
     with very many orders is combined on the map side."""
-    day = F.lit(CUTOFF).cast("timestamp")
+    day = F.lit(CUTOFF).cast("timestamp_ntz")
     before = F.col("o_orderdate") < day
     history = table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count_if(before).alias("orders_before"),
