@@ -16,7 +16,8 @@ from riskloom.functions.risk import Level, base_delta, risk_band
 from riskloom.operators import clean as cleaning
 from riskloom.operators import evaluate, explore, models, score as scoring
 from riskloom.operators.prepare import (
-    categories, fit_preparation, label_encoder, one_hot, prepare, scale_stats, standardise, stratified_split,
+    categories, fit_preparation, hash_split, label_encoder, one_hot, prepare, scale_stats, separate, standardise,
+    stratified_split,
 )
 from riskloom.operators.profile import data_dictionary, describe, null_profile, profile
 from riskloom.plans import data_quality, modelling
@@ -24,7 +25,7 @@ from riskloom.session import fresh_path, local_rows, stage
 from riskloom.sources import synth
 from riskloom.sources.cohorts import CUSTOMERS, DOCUMENTS, LINES, customers, documents, lines, table
 from riskloom.sources.tables import read_csv, write_csv
-from riskloom.spec import RoleSpec
+from riskloom.spec import RoleSpec, validate
 from riskloom.streaming.scoring import read_stream, score_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -330,6 +331,20 @@ def q_head_rows(spark, folder):
 
 # --- preparation -----------------------------------------------------------------------------
 
+def q_validate(spark, folder):
+    """Customers pass the schema check with a unique id."""
+    rows = validate(customers(spark, folder), CUSTOMERS, unique_id=True)
+    return rows.agg(F.count("*").alias("rows"), F.lit(len(rows.columns)).alias("columns"))
+
+
+def q_separate_features(spark, folder):
+    return separate(documents(spark, folder), DOCUMENTS)
+
+
+def q_hash_split(spark, folder):
+    return hash_split(table(spark, folder, "orders").select("o_orderkey", "o_orderstatus"), ORDERS)
+
+
 def q_stratified_split(spark, folder):
     rows = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
     return stratified_split(rows, ORDERS)
@@ -470,6 +485,23 @@ def q_lr_coefficients(spark, folder):
     return models.coefficients(ready.train, models.fit_logistic(ready.train), ready.names)
 
 
+def q_lr_optimality(spark, folder):
+    """Whether each coefficient solves the penalised problem: the gradient of the summed loss plus
+    half the squared norm is zero, and the intercept is not penalised."""
+    ready = _prepared(spark, folder)
+    fitted = models.fit_logistic(ready.train)
+    rows = fitted.transform(ready.train).select(
+        (vector_to_array("probability")[1] - F.col("label")).alias("gap"),
+        F.array_append(vector_to_array("features"), F.lit(1.0)).alias("x"))
+    pull = rows.select("gap", F.posexplode("x").alias("slot", "value")).groupBy("slot").agg(
+        F.sum(F.col("gap") * F.col("value")).alias("loss"), F.count("*").alias("n"))
+    weights = [(i, n, float(w)) for i, (n, w) in enumerate(zip(ready.names, fitted.coefficients.toArray()))]
+    weights.append((len(weights), "intercept", 0.0))
+    names = local_rows(spark, weights, "slot int, feature string, weight double")
+    return names.join(pull, "slot").select(
+        "slot", "feature", (F.abs(F.col("loss") + F.col("weight")) / F.col("n") < 1e-6).alias("solved"))
+
+
 def q_lr_scores(spark, folder):
     ready = _prepared(spark, folder)
     return models.predict(models.fit_logistic(ready.train), ready.test, models.LOGISTIC, ["c_custkey"])
@@ -507,6 +539,20 @@ def q_saved_model_scores(spark, folder):
                          scoring.factor_codes().alias("codes"), "model")
 
 
+def q_saved_model_check(spark, folder):
+    """Rows scored alike by the fitted model and by the one read back from storage."""
+    ready = _prepared(spark, folder)
+    fitted = models.with_model(ready.model, models.fit_logistic(ready.train))
+    path = fresh_path(spark, "model")
+    models.save_model(fitted, path)
+    loaded = models.load_or_fit(path, lambda: None)
+    test = ready.test.drop("features")
+    here = scoring.with_probability(test, fitted).select("c_custkey", "pred", "prob")
+    there = scoring.with_probability(test, loaded).select("c_custkey", F.col("pred").alias("p2"), F.col("prob").alias("b2"))
+    same = (F.col("pred") == F.col("p2")) & (F.abs(F.col("prob") - F.col("b2")) < 1e-9)
+    return here.join(there, "c_custkey").agg(F.count("*").alias("rows"), F.count_if(same).alias("same"))
+
+
 def q_legacy_rf_scores(spark, folder):
     raw = cleaning.impute(_customers(spark, folder), {"region": "UNKNOWN"})
     trained = modelling.train_legacy(raw, CUSTOMERS, depth=8)

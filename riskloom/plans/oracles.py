@@ -415,6 +415,12 @@ _line_key = "l_quantity, l_discount, l_tax, l_linestatus, returned"
 _corr_cols = [*CUSTOMERS.numeric, "churned"]
 _line_corr = [*LINES.numeric, "returned"]
 
+_SLOTS = f"""SELECT (row_number() OVER (ORDER BY field, name) - 1)::INT AS slot, name AS feature FROM (
+  {union(f"SELECT {i} AS field, '{c}' AS name" for i, c in enumerate(CUSTOMERS.numeric))} UNION ALL
+  {union(f"SELECT DISTINCT {10 + i}, '{c}_' || {c} FROM marked WHERE NOT is_test"
+         for i, c in enumerate(CUSTOMERS.categorical))})"""
+_CLEAN_SPLIT = with_(*TO_CLEAN, *_split("clean", "c_custkey", "churned"))
+
 ORACLES: dict[str, str] = {
     "null_profile": with_(CUST) + union(
         f"SELECT '{c}' AS \"column\", count(*) AS rows, count(*) - count({c}) AS nulls, "
@@ -527,11 +533,14 @@ FROM raw WHERE churned = 1""",
         f"coalesce(({c} = '{v}')::INT, 0) AS \"{c}_{v}\"" for c, v in _hot) + " FROM raw",
     "label_encode": with_(DOCS) + """SELECT doc_id, (dense_rank() OVER (ORDER BY lang) - 1)::INT AS lang_enc,
   (dense_rank() OVER (ORDER BY source) - 1)::INT AS source_enc FROM docs""",
-    "feature_names": with_(*TO_CLEAN, *_split("clean", "c_custkey", "churned"))
-        + f"""SELECT (row_number() OVER (ORDER BY field, name) - 1)::INT AS slot, name AS feature FROM (
-  {union(f"SELECT {i} AS field, '{c}' AS name" for i, c in enumerate(CUSTOMERS.numeric))} UNION ALL
-  {union(f"SELECT DISTINCT {10 + i}, '{c}_' || {c} FROM marked WHERE NOT is_test"
-         for i, c in enumerate(CUSTOMERS.categorical))})""",
+    "feature_names": _CLEAN_SPLIT + _SLOTS,
+    "lr_optimality": _CLEAN_SPLIT + f"""SELECT slot, feature, TRUE AS solved FROM ({_SLOTS}) UNION ALL
+  SELECT count(*)::INT, 'intercept', TRUE FROM ({_SLOTS})""",
+    "saved_model_check": _CLEAN_SPLIT + "SELECT count(*) AS rows, count(*) AS same FROM marked WHERE is_test",
+    "validate": with_(CUST) + f"SELECT count(*) AS rows, {len(_cust_cols)} AS columns FROM raw",
+    "separate_features": with_(DOCS) + "SELECT " + ", ".join(DOCUMENTS.features) + ", poor::DOUBLE AS label FROM docs",
+    "hash_split": f"""SELECT o_orderkey, o_orderstatus,
+  ('0x' || substr(md5(o_orderkey || ':42'), 1, 8))::BIGINT < {int(0.2 * 2**32)} AS is_test FROM orders""",
     "feature_vector": with_(*TO_CLEAN, *_split("clean", "c_custkey", "churned"),
                             "zs AS (SELECT c_custkey, is_test, c_mktsegment, region, " + ", ".join(
                                 f"{_z(c)} AS {c}" for c in CUSTOMERS.numeric) + " FROM marked)")
