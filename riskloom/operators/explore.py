@@ -10,6 +10,7 @@ from riskloom.functions.columns import (
 from riskloom.operators.clean import iqr_limits
 from riskloom.operators.quantiles import quantile_table
 from riskloom.session import local_rows, pin
+from riskloom.spec import normalise
 
 ALL = "Todos"
 
@@ -57,7 +58,7 @@ def _indicators(means: dict) -> list[Column]:
 
 def kpis(df: DataFrame, target: str, means: dict) -> DataFrame:
     """One row: total, positives, rate in percent, and the rounded mean of each given column."""
-    return df.agg(*_totals(target, means)).select(*_indicators(means))
+    return normalise(df).agg(*_totals(target, means)).select(*_indicators(means))
 
 
 def kpis_by_choice(df: DataFrame, by: str, target: str, means: dict) -> DataFrame:
@@ -66,7 +67,7 @@ def kpis_by_choice(df: DataFrame, by: str, target: str, means: dict) -> DataFram
     The table is aggregated per value first; the roll-up then only sees one row per value. Rows
     with a NULL value count in the total only. ``delta`` is the rounded rate minus the overall one.
     """
-    per_value = df.groupBy(by).agg(*_totals(target, means))
+    per_value = normalise(df).groupBy(by).agg(*_totals(target, means))
     sums = [F.sum(c).alias(c) for c in per_value.columns if c != by]
     rolled = per_value.rollup(by).agg(F.grouping_id().alias("level"), *sums)
     rolled = rolled.filter(F.col(by).isNotNull() | (F.col("level") == 1))
@@ -117,7 +118,7 @@ def _pearson(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     ])
     r = F.try_divide(F.covar_samp("x", "y"), F.sqrt(F.var_samp("x") * F.var_samp("y")))
     return (
-        df.select(F.inline(cells)).filter("x is not null and y is not null")
+        normalise(df).select(F.inline(cells)).filter("x is not null and y is not null")
         .groupBy("pair").agg(clip(r, -1.0, 1.0).alias("r"))
     )
 
@@ -173,7 +174,7 @@ def box_stats(df: DataFrame, columns, by: str) -> DataFrame:
 
     Whiskers are the furthest values within 1.5 IQR of the box.
     """
-    columns = list(columns)
+    columns, df = list(columns), normalise(df)
     q = pin(quantile_table(df, columns, [0.25, 0.5, 0.75], ["q1", "median", "q3"], [by]))
     fences = q.withColumn("__step", (F.col("q3") - F.col("q1")) * 1.5)
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns])
@@ -194,6 +195,7 @@ def box_stats(df: DataFrame, columns, by: str) -> DataFrame:
 
 def box_outliers(df: DataFrame, column: str, by: str, keep=()) -> DataFrame:
     """(by, keep..., value): every row outside the fences of its group."""
+    df = normalise(df)
     fences = pin(iqr_limits(df, [column], [by])).select(by, "lower", "upper")
     x = F.col(column).cast("double")
     return (
@@ -218,7 +220,7 @@ def _range(df: DataFrame, columns) -> dict:
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """(bin, low, high, n) for all bins, empty ones included."""
-    spark = df.sparkSession
+    spark, df = df.sparkSession, normalise(df)
     lo, hi = _range(df, [column])[column]
     if lo is None:
         return spark.createDataFrame([], "bin int, low double, high double, n bigint")
@@ -244,6 +246,7 @@ def scatter_points(df: DataFrame, x: str, y: str, target: str, names: dict, hove
 
 def density(df: DataFrame, x: str, y: str, by: str, bins: int = 20) -> DataFrame:
     """(by, x_bin, y_bin, n): the scatter as counts on a grid, bounded at any table size."""
+    df = normalise(df)
     span = _range(df, [x, y])
     if span[x][0] is None or span[y][0] is None:
         return df.select(by, F.lit(0).alias("x_bin"), F.lit(0).alias("y_bin"), F.lit(0).cast("long").alias("n")).limit(0)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.operators.selection import mark_selected, proportional_quota, row_hash
 from riskloom.session import stage
-from riskloom.spec import RoleSpec
+from riskloom.spec import RoleSpec, normalise
 
 FEATURES = "features"
 LABEL = "label"
@@ -133,7 +133,7 @@ def prepare(df: DataFrame, spec: RoleSpec, test_share: float = 0.2, seed: int =
     """Split, fit on train, transform both. The split is written once so that every later pass,
     and every later run, sees the same rows."""
     split = stage(
-        stratified_split(df, spec, test_share, seed)
+        stratified_split(normalise(df), spec, test_share, seed)
         .select(spec.id, *spec.features, F.col(spec.target).cast("double").alias(LABEL), "is_test")
     )
     train, test = split.filter(~F.col("is_test")), split.filter("is_test")

@@ -24,10 +24,10 @@ def ranked_scores(
     """(by, score, pos, neg, cum_pos, cum_neg, next_pos, next_neg), best score first.
 
     ``cum_*`` count the rows scored at least this high; ``next_*`` are the counts of the next lower
-    score of the same model, NULL at the lowest.
+    score of the same model, NULL at the lowest. Rows without a score or label are left out.
     """
     points = stage(
-        scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+        scored.filter(F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull())
         .groupBy(by, F.col(score).cast("double").alias("score"))
         .agg(
             F.count_if(F.col(label) == 1).alias("pos"),

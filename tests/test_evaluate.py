@@ -84,5 +84,6 @@ def test_winner_follows_the_priority_on_a_tie(spark):
 
 
 def test_rows_without_score_or_label_are_left_out(spark):
-    df = spark.createDataFrame([("m", 1, 1, 0.9), ("m", 0, 0, 0.1), ("m", None, 1, 0.4), ("m", 1, None, None)], SCHEMA)
+    df = spark.createDataFrame([("m", 1, 1, 0.9), ("m", 0, 0, 0.1), ("m", None, 1, 0.4), ("m", 1, None, None),
+                                ("m", 0, 1, float("nan"))], SCHEMA)
     assert ev.roc_auc(df).first()["auc"] == 1.0

@@ -96,3 +96,16 @@ def test_labels_and_projection(students):
     assert named.filter("evadiu = 1 and label is not null").count() == 0
     assert e.positives(students, "evadiu", {"cr": "CR"}).columns == ["CR"]
     assert [r["cr"] for r in e.first_rows(students, "cr", 2).collect()] == [None, 4.0]
+
+
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", 1.0, 2.0, 1), ("a", nan, 3.0, 0), ("a", 3.0, 5.0, 1), ("a", 4.0, nan, 0)],
+                               "k string, x double, y double, t int")
+    as_null = df.select("k", F.nanvl("x", F.lit(None)).alias("x"), F.nanvl("y", F.lit(None)).alias("y"), "t")
+    for make in (
+        lambda d: e.kpis(d, "t", {"x": 2}), lambda d: e.correlation_matrix(d, ["x", "y"]),
+        lambda d: e.histogram(d, "x", 4), lambda d: e.density(d, "x", "y", "t", 3),
+        lambda d: e.box_stats(d, ["x", "y"], "k"), lambda d: e.kpis_by_choice(d, "k", "t", {"y": 1}),
+    ):
+        assert rows(make(df)) == rows(make(as_null))
