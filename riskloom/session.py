@@ -63,7 +63,8 @@ def staging_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master.startswith("local-cluster") or not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     if _local_dir is None:
         _local_dir = tempfile.mkdtemp(prefix="riskloom-")
