@@ -45,7 +45,7 @@ def pieces(docs: DataFrame, vocabulary: str, end: int = END, capacity: int = CAP
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens.encoder(vocabulary)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
+            texts = batch.column(1)
             for part in tokens.slices(texts):
                 ids, edges = encoder.encode(texts[part], end)
                 ids = ids.astype("<u4")

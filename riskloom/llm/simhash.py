@@ -104,8 +104,7 @@ def ring_keys(prints: DataFrame, fp: str, near: bool) -> DataFrame:
         at.append(key)
         if near:
             at += [F.when(key.bitwiseAND(1 << b) == 0, key + (1 << b)) for b in range(WIDTH)]
-    return prints.withColumn("_key", F.explode(F.array_compact(F.array(*at)))).withColumn(
-        "_at", F.shiftrightunsigned("_key", 2 * WIDTH))
+    return prints.withColumn("_key", F.explode(F.array_compact(F.array(*at))))
 
 
 def within_ring(x: Column, at: Column, most: int = MOST_BITS) -> Column:
@@ -127,7 +126,8 @@ def links(distinct: DataFrame, fp: str = "fp") -> DataFrame:
     index = ring_keys(distinct.select(F.col(fp).alias("b")), "b", near=False)
     probe = ring_keys(distinct.select(F.col(fp).alias("a")), "a", near=True)
     x = F.col("a").bitwiseXOR(F.col("b"))
-    pairs = probe.join(index.drop("_at"), "_key").filter((F.col("a") != F.col("b")) & within_ring(x, F.col("_at")))
+    at = F.shiftrightunsigned("_key", 2 * WIDTH)
+    pairs = probe.join(index, "_key").filter((F.col("a") != F.col("b")) & within_ring(x, at))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -144,9 +144,74 @@ def near_groups(docs: DataFrame, size: int = 3) -> DataFrame:
     return printed.join(labelled, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, size: int = 3) -> DataFrame:
-    """One document of each group stays: the one with the smallest id."""
-    found = near_groups(docs, size)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    rows = boxed(docs)
-    return rows.join(gone, F.col("_row.doc_id") == F.col("_id"), "left_anti").select("_row.*")
+def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """``doc_id, shingles``: the distinct shingle hashes of each text."""
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t.as_py(), size)).view(np.int64) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(convert, "doc_id long, shingles array<long>")
+
+
+def _met(classes: DataFrame, count: int, turn: int) -> DataFrame:
+    """Pairs ``a, b`` of ids: each document with the centre of each bucket its chain keys reach.
+
+    A bucket holds the documents with one chain key of one fingerprint; its centre is the smallest
+    id, or in later turns the first in another order. So pairs follow the number of documents, not
+    the squares of the buckets' sizes.
+    """
+    each = classes.select("doc_id", F.posexplode(F.array(*[f"f{i}" for i in range(count)])).alias("which", "fp"))
+    seeded = F.col("_key") + F.shiftleft(F.col("which").cast("long"), 2 * WIDTH + 2)
+    centre = F.min("doc_id") if turn == 0 else F.min_by("doc_id", F.xxhash64("doc_id", F.lit(turn)))
+    centres = stage(
+        ring_keys(each, "fp", near=False).groupBy(seeded.alias("_key"))
+        .agg(centre.alias("centre")))
+    probes = ring_keys(each, "fp", near=True).select("doc_id", seeded.alias("_key"))
+    met = probes.join(centres, "_key").filter("doc_id <> centre")
+    return met.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
+
+
+def copies(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2, count: int = 8) -> DataFrame:
+    """``doc_id`` of every document that is near another with a smaller id.
+
+    Near means that at least 0.8 of the distinct five-word shingles of both are in both. Such texts
+    differ in more bits than ``links`` looks for, so here several fingerprints of shorter shingles
+    are made, documents meet when they pass the two-segment chain in any of them, and the shingle
+    sets decide. In each turn documents meet the centres of their buckets; of a near pair the larger
+    id goes. Later turns take other centres, among those that met another, and the last is one in
+    which none went.
+    """
+    named = [f"f{i}" for i in range(count)]
+    prints = stage(fingerprints(docs, features, count).na.drop(subset=["doc_id"]))
+    classes = stage(prints.groupBy(*named).agg(F.min("doc_id").alias("doc_id")))
+    alike = prints.join(classes.withColumnRenamed("doc_id", "a"), named).select("a", F.col("doc_id").alias("b")).filter("a <> b")
+    pairs = stage(alike.unionByName(_met(classes, count, 0)).distinct())
+    involved = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    known = docs.select(F.col("doc_id").cast("long"), "text")
+    sets = stage(shingle_sets(known.join(involved, "doc_id", "left_semi"), size))
+    gone, turn = None, 0
+    while True:
+        first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
+        second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+        both = F.size(F.array_intersect("x", "y"))
+        every = F.size("x") + F.size("y") - both
+        near = F.when(every == 0, True).otherwise(both >= least * every)
+        new = stage(pairs.join(first, "a").join(second, "b").filter(near).select(F.col("b").alias("doc_id")).distinct())
+        gone = new if gone is None else stage(gone.unionByName(new))
+        if turn and new.isEmpty():
+            return gone.distinct()
+        turn += 1
+        left = classes.join(involved, "doc_id", "left_semi").join(gone, "doc_id", "left_anti")
+        pairs = _met(stage(left), count, turn)
+
+
+def deduplicate(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2, count: int = 8) -> DataFrame:
+    """One document of each group of near copies stays, with all its columns: the smallest id.
+
+    Rows without an id stay; rows that share an id stay or go together.
+    """
+    gone = copies(docs, size, least, features, count).select(F.col("doc_id").alias("_id"))
+    return boxed(docs).join(gone, F.col("_row.doc_id") == F.col("_id"), "left_anti").select("_row.*")

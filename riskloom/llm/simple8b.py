@@ -24,14 +24,14 @@ def _selectors(values: np.ndarray) -> np.ndarray:
     """For each place, the selector of the word that would begin there: the one holding most."""
     n = len(values)
     chosen = np.full(n, ESCAPE, np.int8)
-    place = np.arange(n)
     for selector in range(len(COUNTS) - 1, -1, -1):
+        count = COUNTS[selector]
         wide = values >= np.uint64(1 << BITS[selector])
-        if COUNTS[selector] > n or wide.all():
+        if count > n or n - np.count_nonzero(wide) < count:
             continue
-        # The next place whose number is too wide, looking from each place.
-        stop = np.minimum.accumulate(np.where(wide, place, n)[::-1])[::-1]
-        chosen[stop - place >= COUNTS[selector]] = selector
+        seen = np.zeros(n + 1, np.int32)
+        np.cumsum(wide, out=seen[1:])
+        chosen[: n - count + 1][seen[count:] == seen[: n - count + 1]] = selector
     # Near the end fewer numbers are left than any word holds: they go one per word.
     return chosen
 

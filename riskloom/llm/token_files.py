@@ -90,7 +90,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end: int = END, file_id
             return pa.RecordBatch.from_pylist([row])
 
         for batch in batches:
-            texts, names = batch.column(1).to_pylist(), batch.column(0).to_pylist()
+            texts, names = batch.column(1), batch.column(0).to_pylist()
             for piece in tokens.slices(texts):
                 ids, edges = encoder.encode(texts[piece], end)
                 doc_ids += names[piece]

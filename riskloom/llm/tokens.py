@@ -15,16 +15,18 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, repeat
+from itertools import chain, islice, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MOST_WORDS = 500_000
 
 # Punctuation that joins no letter before it; the apostrophe may begin a contraction.
 _ENDS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum() and chr(c) != "'")
-_ODD = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-_SEPARATORS = re.compile("[\x1c-\x1f]")
+_ODD = r"[\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_SEPARATORS = r"[\x1c-\x1f]"
 _CHUNK = re.compile(r" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]+")
 
 
@@ -54,12 +56,15 @@ class Encoder:
         self.slots: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.kept = 0, 0
 
     def _direct(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _word(self, piece: str) -> bytes | None:
         """Ids of a run of letters, straight from the model; None where that might not be one piece."""
+        if not piece:
+            return b""
         bare = piece[1:] if piece[0] == " " else piece
         if not bare.isalpha():
             return None
@@ -82,7 +87,12 @@ class Encoder:
         pieces, split, ask = self.pieces, [], {}
         for chunk in chunks:
             core = chunk.rstrip(_ENDS)
-            parts = (core, chunk[len(core):]) if len(core) < len(chunk) and core[-1:].isalpha() else (chunk,)
+            if core[1:].isalpha():
+                parts = (core, chunk[len(core):]) if len(core) < len(chunk) else (chunk,)
+            elif self.keeps_space and "\n" in chunk:
+                parts = _CHUNK.findall(chunk)
+            else:
+                parts = (core, chunk[len(core):]) if len(core) < len(chunk) and core[-1:].isalpha() else (chunk,)
             split.append(parts)
             for part in parts:
                 if part not in pieces:
@@ -93,61 +103,93 @@ class Encoder:
                         pieces[part] = got
         if ask:
             pieces.update((p, array("I", ids).tobytes()) for p, ids in zip(ask, self._direct(list(ask))))
-        got = [pieces[p[0]] if len(p) == 1 else pieces[p[0]] + pieces[p[1]] for p in split]
-        for piece in list(pieces)[self.most_words:]:
+        got = [pieces[p[0]] if len(p) == 1 else b"".join([pieces[x] for x in p]) for p in split]
+        for piece in list(islice(pieces, self.most_words, None)):
             del pieces[piece]
         return got
 
-    def encode(self, texts: list[str], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of all texts, and where each text's ids begin (one entry more than texts).
-
-        ``end`` is appended to each text's ids.
-        """
-        odd = _ODD if self.keeps_space else _SEPARATORS
-        direct = [i for i, t in enumerate(texts) if "<|" in t or odd.search(t)]
-        cut = _CHUNK.findall if self.keeps_space else str.split
-        chunks = [cut(t) for t in texts]
-        for i in direct:
-            chunks[i] = []
-        flat = list(chain.from_iterable(chunks))
-        slots = np.fromiter(map(self.slots.get, flat, repeat(-1)), np.int64, len(flat))
-        starts, lengths, ids = self.starts, self.lengths, self.ids
+    def _slots_of(self, chunks: list[str]) -> np.ndarray:
+        """A place in ``lengths`` and ``starts`` for each of these chunks."""
+        known = self.slots
+        slots = np.fromiter(map(known.get, chunks, repeat(-1)), np.int64, len(chunks))
         missing = np.flatnonzero(slots < 0)
         if missing.size:
-            names = [flat[i] for i in missing.tolist()]
-            new = {name: len(starts) + i for i, name in enumerate(dict.fromkeys(names))}
+            names = [chunks[i] for i in missing.tolist()]
+            new = {name: len(self.starts) + i for i, name in enumerate(dict.fromkeys(names))}
             got = self._learn(list(new))
             more = np.fromiter(map(len, got), np.int64, len(got)) // 4
-            starts = np.concatenate([starts, len(ids) + np.cumsum(more) - more])
-            lengths = np.concatenate([lengths, more])
-            ids = np.concatenate([ids, np.frombuffer(b"".join(got), np.uint32)])
+            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(more) - more])
+            self.lengths = np.concatenate([self.lengths, more])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(got), np.uint32)])
             slots[missing] = np.fromiter(map(new.__getitem__, names), np.int64, len(names))
-            if len(self.slots) < self.most_words:
-                self.slots.update(new)
-                self.starts, self.lengths, self.ids = starts, lengths, ids
-        size = lengths[slots]
+            if len(known) < self.most_words:
+                known.update(new)
+                self.kept = len(self.starts), len(self.ids)
+        return slots
+
+    def _forget(self) -> None:
+        """Drops the ids of chunks met in this call only."""
+        chunks, ids = self.kept
+        self.starts, self.lengths, self.ids = self.starts[:chunks], self.lengths[:chunks], self.ids[:ids]
+
+    def _gathered(self, slots: np.ndarray, per: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts with so many chunks each, and where each text begins."""
+        size = self.lengths[slots]
         ends = np.cumsum(size)
+        body = np.zeros(0, np.uint32)
         if len(slots):
-            at = np.repeat(starts[slots] - (ends - size), size)
-            body = ids[at + np.arange(len(at))]
+            body = self.ids[np.repeat(self.starts[slots] - (ends - size), size) + np.arange(ends[-1])]
+        return body, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per)])]
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Texts cut by Arrow; each distinct chunk is looked up once."""
+        cut = pc.split_pattern(texts, " ") if self.keeps_space else pc.ascii_split_whitespace(texts)
+        edges = cut.offsets.to_numpy()
+        flat = cut.flatten()
+        coded = flat.dictionary_encode()
+        names = coded.dictionary.to_pylist()
+        if not self.keeps_space:
+            slots = self._slots_of(names)[coded.indices.to_numpy()]
         else:
-            body = np.zeros(0, np.uint32)
-        per = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per)])]
-        if not direct and end is None:
-            return body, edges
-        whole = dict(zip(direct, self._direct([texts[i] for i in direct])))
+            slots = self._slots_of([" " + n for n in names])[coded.indices.to_numpy()]
+            begins = edges[:-1]
+            slots[begins - edges[0]] = self._slots_of(flat.take(pa.array(begins - edges[0])).to_pylist())
+        return self._gathered(slots, np.diff(edges))
+
+    def _by_pattern(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Texts with runs of white space, cut as the tokenizer's own pattern does."""
+        chunks = [_CHUNK.findall(t) for t in texts]
+        slots = self._slots_of(list(chain.from_iterable(chunks)))
+        return self._gathered(slots, np.fromiter(map(len, chunks), np.int64, len(chunks)))
+
+    def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of all texts, and where each text's ids begin (one entry more than texts).
+
+        ``end`` is appended to each text's ids.
+        """
+        odd = pc.or_(pc.match_substring(texts, "<|"), pc.match_substring_regex(texts, _ODD if self.keeps_space else _SEPARATORS))
+        runs = pc.match_substring_regex(texts, r"[ \n][ \n]|[\t\v\f\r]") if self.keeps_space else pa.array([False] * len(texts))
+        kind = np.where(odd.to_numpy(False), 2, np.where(runs.to_numpy(False), 1, 0))
         tail = np.array([] if end is None else [end], np.uint32)
-        parts, counts = [], np.diff(edges) + len(tail)
-        if direct:
-            for i in range(len(texts)):
-                own = np.array(whole[i], np.uint32) if i in whole else body[edges[i]:edges[i + 1]]
-                counts[i] = len(own) + len(tail)
-                parts += [own, tail]
-            joined = np.concatenate(parts)
-        else:
-            joined = np.insert(body, edges[1:], end)
-        return joined, np.concatenate([[0], np.cumsum(counts)])
+        if not kind.any():
+            body, edges = self._by_words(texts)
+            self._forget()
+            if end is None:
+                return body, edges
+            return np.insert(body, edges[1:], end), edges + np.arange(len(edges))
+        parts: list[np.ndarray] = [tail] * len(texts)
+        for number in np.unique(kind).tolist():
+            own = np.flatnonzero(kind == number)
+            some = texts.take(pa.array(own))
+            if number == 2:
+                for i, ids in zip(own.tolist(), self._direct(some.to_pylist())):
+                    parts[i] = np.array([*ids, *tail], np.uint32)
+                continue
+            body, edges = self._by_words(some) if number == 0 else self._by_pattern(some.to_pylist())
+            for i, a, b in zip(own.tolist(), edges[:-1].tolist(), edges[1:].tolist()):
+                parts[i] = np.concatenate([body[a:b], tail])
+        self._forget()
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
 
 
 @lru_cache(maxsize=2)
@@ -156,13 +198,12 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def slices(texts: list[str], characters: int = 4_000_000) -> Iterator[slice]:
-    """Consecutive slices of about so many characters, so that memory does not follow the batch."""
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= characters:
-            yield slice(start, i + 1)
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+def slices(texts: pa.Array, size: int = 8_000_000) -> Iterator[slice]:
+    """Consecutive slices of about so many bytes, so that memory does not follow the batch."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(False)) if len(texts) else np.zeros(0)
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size)))
+        yield slice(start, stop)
+        start = stop
