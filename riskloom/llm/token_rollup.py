@@ -19,6 +19,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom.llm.common import word_count
+from riskloom.session import store_of
 
 KEY = ["source", "lang", "tokenizer"]
 SCHEMA = "source string, lang string, tokenizer string, documents long, tokens long"
@@ -51,24 +52,19 @@ def revised(before: DataFrame, after: DataFrame) -> DataFrame:
     return deleted(before).unionByName(inserted(after))
 
 
-def _store(spark: SparkSession, path: str):
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
-
-
 def committed(spark: SparkSession, state: str) -> list[str]:
     """The folders of the committed batches, by name."""
-    store, place = _store(spark, state)
+    store, place = store_of(spark, state)
     if not store.exists(place):
         return []
     found = [f.getPath().toString() for f in store.listStatus(place) if f.isDirectory()]
-    return sorted(p for p in found if store.exists(_store(spark, f"{p}/_SUCCESS")[1]))
+    return sorted(p for p in found if store.exists(store_of(spark, f"{p}/_SUCCESS")[1]))
 
 
 def commit(state: str, batch: str, changes: DataFrame) -> bool:
     """Writes a batch's signed sums unless it is committed already; says whether it wrote."""
     spark, path = changes.sparkSession, f"{state.rstrip('/')}/batch-{batch}"
-    store, mark = _store(spark, f"{path}/_SUCCESS")
+    store, mark = store_of(spark, f"{path}/_SUCCESS")
     if store.exists(mark):
         return False
     sums = changes.groupBy(*KEY).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
