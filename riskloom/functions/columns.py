@@ -29,11 +29,11 @@ def outside(value: Column, lower, upper) -> Column:
 
 
 def label_of(code: Column, names: dict) -> Column:
-    """Code to label text; a code without a label becomes NULL."""
-    out = None
-    for key, text in names.items():
-        out = F.when(code == key, text) if out is None else out.when(code == key, text)
-    return out
+    """Code to label; a code without one becomes NULL."""
+    out = F.lit(None)
+    for key, label in reversed(names.items()):
+        out = F.when(code == key, label).otherwise(out)
+    return out if names else out.cast("string")
 
 
 def signed_text(value: Column, decimals: int) -> Column:

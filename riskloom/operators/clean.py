@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskloom.functions.columns import clip, half_even, outside, rows_of
 from riskloom.operators.profile import null_profile
 from riskloom.operators.quantiles import quantile_table
-from riskloom.session import PIN_ROWS, local_rows, stage
+from riskloom.session import local_rows, pin, stage
 from riskloom.spec import RoleSpec, normalise
 
 FENCE = 1.5
@@ -49,24 +49,15 @@ def drop_duplicates(df: DataFrame, subset=None, key: str | None = None) -> DataF
     """Keep one of equal rows; copies are combined before the shuffle, so a hot row costs nothing.
 
     With ``key`` only key values are shuffled first: equal rows share their key, so rows whose key
-    occurs once stay where they are, and only the others are compared in full. When no key repeats
-    ``df`` itself is returned. Many repeated keys go the plain way.
+    occurs once are left as they are, and only the others are compared in full.
     """
     if subset:
         return df.dropDuplicates(list(subset))
     if key is None:
         return df.distinct()
-    spark = df.sparkSession
-    repeated = df.groupBy(F.col(key).alias("__key")).agg(F.count("*").alias("__n")).filter("__n > 1")
-    few = repeated.select("__key").limit(PIN_ROWS + 1).toArrow()
-    if few.num_rows == 0:
-        return df
-    if few.num_rows > PIN_ROWS:
-        return df.distinct()
-    keys = F.broadcast(spark.createDataFrame(few))
+    repeated = pin(df.groupBy(F.col(key).alias("__key")).count().filter("count > 1").select("__key"))
     same = F.col(key).eqNullSafe(F.col("__key"))
-    once = df.join(keys, same, "left_anti")
-    return once.unionByName(df.join(keys, same, "left_semi").distinct())
+    return df.join(repeated, same, "left_anti").unionByName(df.join(repeated, same, "left_semi").distinct())
 
 
 def duplicate_count(df: DataFrame, subset=None) -> DataFrame:
@@ -166,17 +157,14 @@ class Cleaned:
 def clean(df: DataFrame, spec: RoleSpec) -> Cleaned:
     """Run every step.
 
-    Everything is row-wise around a few fitted constants, so without repeated ids no row is ever
-    shuffled. Only when duplicates had to be removed are the remaining rows written once, since
-    both the limits and the result read them. ``df`` is read a few times, so stage it first when it
-    is more than a scan.
+    Everything but the comparison of rows with a repeated id is row-wise around a few fitted
+    constants. The rows left are written once, since both the limits and the result read them.
+    ``df`` is read a few times, so stage it first when it is more than a scan.
     """
     raw = normalise(df)
     fills = fill_values(raw, spec)
     filled = impute(raw, fills)
-    distinct = drop_duplicates(filled, key=spec.id)
-    if distinct is not filled:
-        distinct = stage(distinct)
+    distinct = stage(drop_duplicates(filled, key=spec.id))
     limits = limits_of(distinct, spec.outlier)
     table = fix_types(winsorise(distinct, limits), spec)
     return Cleaned(table, raw, distinct, spec, fills, limits)

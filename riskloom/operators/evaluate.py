@@ -82,25 +82,22 @@ def roc_points(
     """(model, threshold, fpr, tpr) from (0, 0), whose threshold is infinite, to (1, 1).
 
     ``drop_intermediate`` leaves out points on a straight line between their neighbours: those
-    whose next score carries the same counts. The first and last scores always stay.
+    whose next score carries the same counts. The first and last scores always stay. Everything is
+    row-wise: totals come with the ranked scores, and the start goes with each model's first score.
     """
     ranked = ranked_scores(scored) if ranked is None else ranked
-    totals = ranked.groupBy("model").agg(F.max("cum_pos").alias("p"), F.max("cum_neg").alias("n"))
-    points = ranked.join(totals, "model")
+    first = F.col("cum_pos") + F.col("cum_neg") == F.col("pos") + F.col("neg")
     if drop_intermediate:
-        first = F.col("cum_pos") + F.col("cum_neg") == F.col("pos") + F.col("neg")
         last = F.col("next_pos").isNull()
         bend = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
-        points = points.filter(first | last | bend)
-    shown = points.select(
-        "model", F.col("score").alias("threshold"),
-        ratio(F.col("cum_neg"), F.col("n"), None).alias("fpr"),
-        ratio(F.col("cum_pos"), F.col("p"), None).alias("tpr"),
+        ranked = ranked.filter(first | last | bend)
+    fields = ("threshold", "fpr", "tpr")
+    here = (
+        F.col("score"), ratio(F.col("cum_neg"), F.col("all_neg"), None), ratio(F.col("cum_pos"), F.col("all_pos"), None)
     )
-    start = totals.select(
-        "model", F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
-    )
-    return shown.unionByName(start)
+    start = F.struct(*[F.lit(v).alias(f) for v, f in zip((float("inf"), 0.0, 0.0), fields)])
+    point = F.struct(*[v.alias(f) for v, f in zip(here, fields)])
+    return ranked.select("model", F.inline(F.when(first, F.array(start, point)).otherwise(F.array(point))))
 
 
 def with_diagonal(points: DataFrame) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.columns import (
-    clip, effect, half_even, label_of, ratio, sign_mark, signed_text, text_bar,
+    clip, effect, half_even, label_of, ratio, rows_of, sign_mark, signed_text, text_bar,
 )
 from riskloom.operators.clean import iqr_limits
 from riskloom.operators.quantiles import quantile_table
-from riskloom.session import local_rows, pin
+from riskloom.session import local_rows, pin, stage
 from riskloom.spec import normalise
 
 ALL = "Todos"
@@ -64,10 +64,10 @@ def kpis(df: DataFrame, target: str, means: dict) -> DataFrame:
 def kpis_by_choice(df: DataFrame, by: str, target: str, means: dict) -> DataFrame:
     """The indicators for the whole table and for every value of ``by`` from a single scan.
 
-    The table is aggregated per value first; the roll-up then only sees one row per value. Rows
-    with a NULL value count in the total only. ``delta`` is the rounded rate minus the overall one.
+    The table is aggregated per value first, and that summary is written; the roll-up and the
+    overall rate then only see one row per value. Rows with a NULL value count in the total only. ``delta`` is the rounded rate minus the overall one.
     """
-    per_value = normalise(df).groupBy(by).agg(*_totals(target, means))
+    per_value = stage(normalise(df).groupBy(by).agg(*_totals(target, means)))
     sums = [F.sum(c).alias(c) for c in per_value.columns if c != by]
     rolled = per_value.rollup(by).agg(F.grouping_id().alias("level"), *sums)
     rolled = rolled.filter(F.col(by).isNotNull() | (F.col("level") == 1))
@@ -107,20 +107,18 @@ def in_order(df: DataFrame, column: str, order: list) -> DataFrame:
 
 def _pearson(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """(pair, r) by position in ``pairs``: each pair over the rows where both are present, NULL for
-    a constant side.
-
-    Each row is turned into one (x, y) per pair of columns and reduced on the map side, which keeps
-    the generated code small for any number of columns.
+    a constant side. One ungrouped aggregate with up to three sums per pair, reduced on the map side.
     """
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    r = F.try_divide(F.covar_samp("x", "y"), F.sqrt(F.var_samp("x") * F.var_samp("y")))
-    return (
-        normalise(df).select(F.inline(cells)).filter("x is not null and y is not null")
-        .groupBy("pair").agg(clip(r, -1.0, 1.0).alias("r"))
-    )
+    sums, cells = [], []
+    for i, (a, b) in enumerate(pairs):
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        sums += [
+            F.covar_samp(x, y).alias(f"c{i}"),
+            F.var_samp(F.when(y.isNotNull(), x)).alias(f"x{i}"), F.var_samp(F.when(x.isNotNull(), y)).alias(f"y{i}"),
+        ] if a != b else [F.var_samp(x).alias(f"{n}{i}") for n in "cxy"]
+        r = F.try_divide(F.col(f"c{i}"), F.sqrt(F.col(f"x{i}") * F.col(f"y{i}")))
+        cells.append([F.lit(i), clip(r, -1.0, 1.0)])
+    return rows_of(normalise(df).agg(*sums), ["pair", "r"], cells)
 
 
 def correlation_matrix(df: DataFrame, columns) -> DataFrame:
@@ -213,8 +211,12 @@ def _bin(x: Column, lo: float, hi: float, bins: int) -> Column:
 
 
 def _range(df: DataFrame, columns) -> dict:
+    """Smallest and largest value; an infinite one has no place on an axis and is an error."""
     row = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in columns for n, f in
                    (("lo", F.min), ("hi", F.max))]).first()
+    for c in columns:
+        if float("inf") in (row[f"hi_{c}"], -(row[f"lo_{c}"] or 0.0)):
+            raise ValueError(f"{c} holds an infinite value")
     return {c: (row[f"lo_{c}"], row[f"hi_{c}"]) for c in columns}
 
 

@@ -14,6 +14,7 @@ from riskloom.spec import RoleSpec, normalise
 
 FEATURES = "features"
 LABEL = "label"
+MOST_CATEGORIES = 1000
 
 
 def separate(df: DataFrame, spec: RoleSpec) -> DataFrame:
@@ -25,6 +26,8 @@ def stratified_split(
     df: DataFrame, spec: RoleSpec, test_share: float = 0.2, seed: int = 42, **kw
 ) -> DataFrame:
     """``df`` with a boolean ``is_test``: exact counts per class, the same rows on any cluster."""
+    if spec.id is None:
+        raise ValueError("an exact split needs a unique key")
     quota = proportional_quota(test_share, [spec.target])
     return mark_selected(df, spec.id, [spec.target], quota, seed, "is_test", **kw)
 
@@ -35,11 +38,14 @@ def hash_split(df: DataFrame, spec: RoleSpec, test_share: float = 0.2, seed: int
     return df.withColumn("is_test", drawn < int(test_share * 2**32))
 
 
-def scale_stats(train: DataFrame, columns) -> dict:
-    """{column: (mean, population deviation)} from one aggregate."""
+def scale_stats(train: DataFrame, columns, categorical=()) -> dict:
+    """{column: (mean, population deviation)} from one aggregate, which also sees to it that the
+    categorical columns have few enough values."""
     row = train.agg(*[
         f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))
-    ]).first()
+    ], *[F.approx_count_distinct(c).alias(f"d_{c}") for c in categorical]).first()
+    for c in categorical:
+        _few(c, row[f"d_{c}"])
     return {c: (row[f"m_{c}"], row[f"s_{c}"]) for c in columns}
 
 
@@ -53,10 +59,21 @@ def standardise(df: DataFrame, stats: dict) -> DataFrame:
     return df.withColumns({c: scaled(c, stats) for c in stats})
 
 
+class TooManyCategories(ValueError):
+    """A column has more distinct values than an encoding by value is meant for."""
+
+
+def _few(column: str, count: int) -> None:
+    if count > MOST_CATEGORIES:
+        raise TooManyCategories(f"{column} has about {count} values; the limit is {MOST_CATEGORIES}")
+
+
 def categories(train: DataFrame, columns) -> dict:
-    """{column: sorted distinct values}."""
+    """{column: sorted distinct values}, at most ``MOST_CATEGORIES`` each, else an error."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    seen = train.select(F.inline(cells)).filter(F.col("value").isNotNull()).distinct()
+    seen = stage(train.select(F.inline(cells)).filter(F.col("value").isNotNull()).distinct())
+    for row in seen.groupBy("column").count().collect():
+        _few(*row)
     rows = seen.groupBy("column").agg(F.sort_array(F.collect_set("value")).alias("values")).collect()
     found = {r["column"]: r["values"] for r in rows}
     return {c: found.get(c, []) for c in columns}
@@ -76,6 +93,8 @@ def one_hot(df: DataFrame, known: dict, keep=()) -> DataFrame:
 
 def label_encoder(train: DataFrame, columns):
     """Sorted categories to 0..k-1 as <column>_enc; a value not seen in training is an error."""
+    for column, count in train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict().items():
+        _few(column, count)
     indexer = StringIndexer(
         inputCols=list(columns), outputCols=[f"{c}_enc" for c in columns],
         stringOrderType="alphabetAsc", handleInvalid="error",
@@ -84,10 +103,11 @@ def label_encoder(train: DataFrame, columns):
 
 
 def _scaling(stats: dict) -> SQLTransformer:
-    """Scaling as a persistable stage with the fitted constants in it."""
+    """Scaling as a persistable stage with the fitted constants in it. A missing value, NULL or
+    NaN, gets the training mean, which is 0 once scaled; so no row ends a scoring job."""
     parts = [
-        f"(CAST(`{c}` AS DOUBLE) - ({mean!r}D)) / ({(dev or 1.0)!r}D) AS `__z_{c}`"
-        for c, (mean, dev) in stats.items()
+        f"coalesce(nanvl((CAST(`{c}` AS DOUBLE) - ({(mean or 0.0)!r}D)) / ({(dev or 1.0)!r}D), CAST(NULL AS DOUBLE)), 0.0D)"
+        f" AS `__z_{c}`" for c, (mean, dev) in stats.items()
     ]
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
@@ -98,8 +118,9 @@ def fit_preparation(train: DataFrame, spec: RoleSpec) -> PipelineModel:
     index = [f"__i_{c}" for c in spec.categorical]
     hot = [f"__v_{c}" for c in spec.categorical]
     stages = []
+    stats = scale_stats(train, spec.numeric, spec.categorical)
     if z:
-        stages.append(_scaling(scale_stats(train, spec.numeric)))
+        stages.append(_scaling(stats))
     if hot:
         stages += [
             StringIndexer(inputCols=list(spec.categorical), outputCols=index,

@@ -1,30 +1,29 @@
 """Running totals over scores in descending order, the base of the ROC curve and its area.
 
 Rows are first counted per distinct score (combined on the map side, so ties and hot scores are one
-row). The distinct scores are cut into buckets of about ``per_bucket`` rows along approximate
-quantiles; each bucket is ordered on its own and the totals of the buckets before it are added from
-a table of one row per bucket.
+row). The distinct scores are spread over range partitions of about ``per_bucket`` rows, as many as
+that takes; each is ordered on its own, and the totals of those before it are added from a table of
+one row per partition.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.session import pin, stage
 
 PER_BUCKET = 1 << 16
-MAX_BUCKETS = 10_000
 
 
 def ranked_scores(
     scored: DataFrame, score: str = "score", label: str = "label", by: str = "model",
     per_bucket: int = PER_BUCKET,
 ) -> DataFrame:
-    """(by, score, pos, neg, cum_pos, cum_neg, next_pos, next_neg), best score first.
+    """(by, score, pos, neg, cum_pos, cum_neg, next_pos, next_neg, all_pos, all_neg), best first.
 
     ``cum_*`` count the rows scored at least this high; ``next_*`` are the counts of the next lower
-    score of the same model, NULL at the lowest. Rows without a score or label are left out.
+    score of the same model, NULL at the lowest; ``all_*`` are the model's totals. Rows without a
+    score or label are left out.
     """
     points = stage(
         scored.filter(F.col(score).isNotNull() & ~F.isnan(score) & F.col(label).isNotNull())
@@ -34,7 +33,9 @@ def ranked_scores(
             F.count_if(F.col(label) != 1).alias("neg"),
         )
     )
-    points = _bucketed(points, per_bucket)
+    parts = points.count() // per_bucket + 1
+    spread = points.repartitionByRange(parts, F.col(by), F.desc("score"))
+    points = stage(spread.withColumn("bucket", F.spark_partition_id()))
 
     inside = Window.partitionBy(by, "bucket").orderBy(F.desc("score"))
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
@@ -49,7 +50,7 @@ def ranked_scores(
     totals = points.groupBy(by, "bucket").agg(
         F.sum("pos").alias("b_pos"), F.sum("neg").alias("b_neg"), first.alias("first")
     )
-    along = Window.partitionBy(by).orderBy(F.desc("bucket"))
+    along = Window.partitionBy(by).orderBy("bucket")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     offsets = pin(
         totals.select(
@@ -58,6 +59,8 @@ def ranked_scores(
             F.coalesce(F.sum("b_neg").over(before), F.lit(0)).alias("off_neg"),
             F.lead("first").over(along)["pos"].alias("f_pos"),
             F.lead("first").over(along)["neg"].alias("f_neg"),
+            F.sum("b_pos").over(Window.partitionBy(by)).alias("all_pos"),
+            F.sum("b_neg").over(Window.partitionBy(by)).alias("all_neg"),
         )
     )
     return counted.join(offsets, [by, "bucket"]).select(
@@ -66,14 +69,5 @@ def ranked_scores(
         (F.col("off_neg") + F.col("in_neg")).alias("cum_neg"),
         F.coalesce("n_pos", "f_pos").alias("next_pos"),
         F.coalesce("n_neg", "f_neg").alias("next_neg"),
+        "all_pos", "all_neg",
     )
-
-
-def _bucketed(points: DataFrame, per_bucket: int) -> DataFrame:
-    wanted = min(points.count() // per_bucket + 1, MAX_BUCKETS)
-    if wanted < 2:
-        return points.withColumn("bucket", F.lit(0.0))
-    probs = [i / wanted for i in range(1, wanted)]
-    cuts = points.agg(F.percentile_approx("score", probs, max(10_000, 10 * wanted))).first()[0]
-    edges = [float("-inf"), *sorted(set(cuts)), float("inf")]
-    return Bucketizer(splits=edges, inputCol="score", outputCol="bucket").transform(points)

@@ -4,7 +4,7 @@ Rows are ordered by the MD5 of (key, seed). A histogram of hash prefixes per str
 prefix the k-th row lies; the prefix is lengthened until it holds few rows, only those are ranked,
 and the result is one cut (hash, key) per stratum. Selecting is then a row-wise comparison with a
 cut table of one row per stratum, so a hot stratum is never gathered. The key must be unique and
-not null.
+not null; a cut that falls on a missing or repeated key is an error.
 """
 
 from __future__ import annotations
@@ -17,6 +17,11 @@ from riskloom.session import any_row, pin
 
 MAX_ROWS = 1 << 20
 DIGITS = 3
+HASH_DIGITS = 32
+
+
+class UnusableKey(ValueError):
+    """The k-th row of a stratum is not determined by its key."""
 
 
 def row_hash(key, seed: int) -> Column:
@@ -61,6 +66,8 @@ def hash_cuts(
     wanted = counts.filter("k > 0").select(*strata, "k", F.col("k").alias("left"))
     cuts = pin(_locate(hist, wanted, strata))
     while any_row(cuts, f"inside > {max_rows}"):
+        if length >= HASH_DIGITS:
+            raise UnusableKey(f"{parts} repeats more than {max_rows} times")
         inside = attach(rows, cuts.select(*strata, F.col("prefix").alias("found")), strata, "inner")
         inside = inside.filter(F.col("h").startswith(F.col("found")))
         length += digits
@@ -72,11 +79,17 @@ def hash_cuts(
     last = attach(rows, cuts.drop("inside"), strata, "inner")
     last = last.filter(F.col("h").startswith(F.col("prefix")))
     order = _per_stratum(strata).orderBy("h", "key")
-    return pin(
+    missing = reduce(lambda a, b: a | b, [F.col(f"key.{p}").isNull() for p in parts])
+    found = pin(
         last.withColumn("place", F.row_number().over(order))
+        .withColumn("same", F.count("*").over(Window.partitionBy(*strata, "h", "key")))
         .filter("place = left")
-        .select(*strata, "k", F.col("h").alias("cut_hash"), F.col("key").alias("cut_key"))
+        .select(*strata, "k", F.col("h").alias("cut_hash"), F.col("key").alias("cut_key"),
+                ((F.col("same") > 1) | missing).alias("unusable"))
     )
+    if any_row(found, "unusable"):
+        raise UnusableKey(f"{parts} is missing or repeated")
+    return found.drop("unusable")
 
 
 def _locate(hist: DataFrame, wanted: DataFrame, strata: list[str]) -> DataFrame:

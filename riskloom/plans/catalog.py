@@ -1,6 +1,7 @@
 """Named queries: each takes a session and the folder of the sample tables, and returns a table.
 
-Every query reads whole tables. Doubles that come out of sums or interpolation are rounded at the
+Every query reads whole tables. Only the queries about missing values make gaps in the customers
+(``customers_with_gaps``). Doubles that come out of sums or interpolation are rounded at the
 very end, so that results can be compared with another engine.
 """
 
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskloom.functions.columns import label_of, text_bar
 from riskloom.functions.risk import Level, base_delta, risk_band
@@ -20,10 +21,13 @@ from riskloom.operators.prepare import (
     stratified_split,
 )
 from riskloom.operators.profile import data_dictionary, describe, null_profile, profile
+from riskloom.operators.ranking import ranked_scores
 from riskloom.plans import data_quality, modelling
 from riskloom.session import fresh_path, local_rows, stage
 from riskloom.sources import synth
-from riskloom.sources.cohorts import CUSTOMERS, DOCUMENTS, LINES, customers, documents, lines, table
+from riskloom.sources.cohorts import (
+    CUSTOMERS, DOCUMENTS, LINES, customers, customers_with_gaps, document_sizes, documents, lines, table,
+)
 from riskloom.sources.tables import read_csv, write_csv
 from riskloom.spec import RoleSpec, validate
 from riskloom.streaming.scoring import read_stream, score_stream
@@ -104,8 +108,9 @@ def customer_risk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
-    """The customer cohort, written once for queries that pass over it several times."""
-    return stage(customers(spark, folder))
+    """The customers with gaps, written once for the cleaning queries, which pass over them several
+    times."""
+    return stage(customers_with_gaps(spark, folder))
 
 
 def _imputed(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,11 +125,11 @@ def _clean(spark: SparkSession, folder: str) -> DataFrame:
 # --- profile and cleaning --------------------------------------------------------------------
 
 def q_null_profile(spark, folder):
-    return rounded(null_profile(customers(spark, folder)), 6, "pct_null")
+    return rounded(null_profile(customers_with_gaps(spark, folder)), 6, "pct_null")
 
 
 def q_table_profile(spark, folder):
-    p = profile(customers(spark, folder))
+    p = profile(customers_with_gaps(spark, folder))
     return rounded(p, 4, "pct_null", "min", "max", "sum", "mean")
 
 
@@ -138,7 +143,7 @@ def q_fill_medians(spark, folder):
 
 
 def q_fill_modes(spark, folder):
-    return cleaning.modes(documents(spark, folder), DOCUMENTS.categorical)
+    return cleaning.modes(document_sizes(spark, folder), DOCUMENTS.categorical)
 
 
 def q_impute_median_mode(spark, folder):
@@ -147,7 +152,7 @@ def q_impute_median_mode(spark, folder):
 
 
 def q_drop_nulls(spark, folder):
-    return customers(spark, folder).na.drop(subset=["c_acctbal"]).select("c_custkey", "c_acctbal")
+    return customers_with_gaps(spark, folder).na.drop(subset=["c_acctbal"]).select("c_custkey", "c_acctbal")
 
 
 _LINE_KEY = ["l_quantity", "l_discount", "l_tax", "l_linestatus", "returned"]
@@ -167,7 +172,7 @@ def q_iqr_limits(spark, folder):
 
 
 def q_iqr_limits_by_group(spark, folder):
-    limits = cleaning.iqr_limits(documents(spark, folder), DOCUMENTS.numeric, ["lang"])
+    limits = cleaning.iqr_limits(document_sizes(spark, folder), DOCUMENTS.numeric, ["lang"])
     return rounded(limits, 6, "q1", "q3", "iqr", "lower", "upper")
 
 
@@ -261,7 +266,7 @@ _CORR = [*CUSTOMERS.numeric, "churned"]
 
 
 def q_corr_matrix(spark, folder):
-    return rounded(explore.correlation_matrix(customers(spark, folder), _CORR), 6, "r")
+    return rounded(explore.correlation_matrix(customers_with_gaps(spark, folder), _CORR), 6, "r")
 
 
 def q_corr_wide(spark, folder):
@@ -283,12 +288,12 @@ def q_box_stats(spark, folder):
 
 
 def q_box_stats_documents(spark, folder):
-    b = explore.box_stats(documents(spark, folder), ["n_chars", "n_words"], "lang")
+    b = explore.box_stats(document_sizes(spark, folder), ["n_chars", "n_words"], "lang")
     return rounded(b, 4, "q1", "median", "q3", "low_whisker", "high_whisker")
 
 
 def q_box_outliers(spark, folder):
-    return explore.box_outliers(documents(spark, folder), "n_chars", "lang", ["doc_id"])
+    return explore.box_outliers(document_sizes(spark, folder), "n_chars", "lang", ["doc_id"])
 
 
 def q_histogram30(spark, folder):
@@ -296,7 +301,7 @@ def q_histogram30(spark, folder):
 
 
 def q_histogram30_scaled(spark, folder):
-    rows = _customers(spark, folder).select("avg_price")
+    rows = stage(customers(spark, folder)).select("avg_price")
     z = standardise(rows, scale_stats(rows, ["avg_price"]))
     return rounded(explore.histogram(z, "avg_price", 30), 6, "low", "high")
 
@@ -372,7 +377,7 @@ def q_onehot(spark, folder):
 
 
 def q_label_encode(spark, folder):
-    rows = documents(spark, folder)
+    rows = document_sizes(spark, folder)
     coded = label_encoder(rows, DOCUMENTS.categorical).transform(rows)
     return coded.select("doc_id", F.col("lang_enc").cast("int").alias("lang_enc"),
                         F.col("source_enc").cast("int").alias("source_enc"))
@@ -386,8 +391,8 @@ def q_feature_names(spark, folder):
 def q_feature_vector(spark, folder):
     rows = _customer_split(spark, folder)
     fitted = fit_preparation(rows.filter("not is_test"), CUSTOMERS)
-    values = fitted.transform(rows.filter("is_test")).select(
-        "c_custkey", F.posexplode(vector_to_array("features")).alias("slot", "value"))
+    values = fitted.transform(rows).select(
+        "c_custkey", "is_test", F.posexplode(vector_to_array("features")).alias("slot", "value"))
     return rounded(values, 6, "value")
 
 
@@ -475,14 +480,26 @@ def q_score_bars(spark, folder):
 
 
 # --- trained models --------------------------------------------------------------------------
+#
+# Fitted numbers have no SQL form. These queries return the keys that SQL knows, next to checks of
+# the fitted numbers against a second way to get them; SQL expects every check to hold.
 
 def _prepared(spark, folder):
     return prepare(_clean(spark, folder), CUSTOMERS)
 
 
+def _near(a: Column, b: Column, by: float) -> Column:
+    return F.abs(a - b) <= by
+
+
 def q_lr_coefficients(spark, folder):
+    """The texts beside the coefficients say the same number and direction."""
     ready = _prepared(spark, folder)
-    return models.coefficients(ready.train, models.fit_logistic(ready.train), ready.names)
+    c = F.col("coefficient")
+    return models.coefficients(ready.train, models.fit_logistic(ready.train), ready.names).select(
+        "slot", "feature", _near(F.col("text").cast("double"), c, 5.001e-4).alias("text_fits"),
+        (F.substring("text", 1, 1) == F.when(c < 0, "-").otherwise("+")).alias("sign_fits"),
+        (F.col("effect") == F.when(c > 0, "raises").otherwise("lowers")).alias("effect_fits"))
 
 
 def q_lr_optimality(spark, folder):
@@ -503,40 +520,109 @@ def q_lr_optimality(spark, folder):
 
 
 def q_lr_scores(spark, folder):
+    """Exactly the rows of the split are scored; the score is the logistic of the weighted features."""
+    ready = _prepared(spark, folder)
+    fitted = models.fit_logistic(ready.train)
+    weights = F.array(*[F.lit(float(w)) for w in fitted.coefficients.toArray()])
+    margin = F.aggregate(
+        F.zip_with(vector_to_array("features"), weights, lambda x, w: x * w), F.lit(float(fitted.intercept)), lambda a, b: a + b)
+    rows = ready.test.withColumn("by_hand", F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)))
+    return models.predict(fitted, rows, models.LOGISTIC, ["c_custkey", "by_hand"]).select(
+        "c_custkey", "model", "label", _near(F.col("score"), F.col("by_hand"), 1e-9).alias("score_fits"),
+        (F.col("prediction") == (F.col("score") > 0.5).cast("int")).alias("prediction_fits"))
+
+
+def _importances(spark, folder):
     ready = _prepared(spark, folder)
-    return models.predict(models.fit_logistic(ready.train), ready.test, models.LOGISTIC, ["c_custkey"])
+    return stage(models.importances(ready.train, models.fit_forest(ready.train), ready.names))
 
 
 def q_rf_importances(spark, folder):
-    ready = _prepared(spark, folder)
-    table_ = models.importances(ready.train, models.fit_forest(ready.train, depth=8), ready.names)
-    return models.flag_importances(table_)
+    """One row per slot; shares of one, flagged from the 75th percentile as read off the sorted shares."""
+    table_ = _importances(spark, folder)
+    shares = table_.agg(F.array_sort(F.collect_list("importance")).alias("v")).select(
+        "v", (F.lit(0.75) * (F.size("v") - 1)).alias("at"), F.aggregate("v", F.lit(0.0), lambda a, b: a + b).alias("total"))
+    low = F.floor("at").cast("int")
+    upper = F.get("v", low) + (F.get("v", F.ceil("at").cast("int")) - F.get("v", low)) * (F.col("at") - low)
+    known = shares.select("total", F.size("v").alias("n"), upper.alias("upper"))
+    return models.flag_importances(table_).join(F.broadcast(known)).select(
+        "slot", "feature", F.col("importance").between(0.0, 1.0).alias("is_share"),
+        _near(F.col("total"), F.lit(1.0), 1e-9).alias("sums_to_one"), _near(F.col("mean") * F.col("n"), F.lit(1.0), 1e-9).alias("mean_fits"),
+        (F.col("strong") == (F.col("importance") >= F.col("upper") - 1e-12)).alias("flag_fits"))
 
 
 def q_rf_top_importances(spark, folder):
-    ready = _prepared(spark, folder)
-    table_ = models.importances(ready.train, models.fit_forest(ready.train, depth=8), ready.names)
-    return models.top_importances(table_, 5)
+    """The five largest in order: as many slots as the place says have at least that share."""
+    table_ = _importances(spark, folder)
+    shares = F.broadcast(table_.agg(F.collect_list("importance").alias("v")))
+    v = F.col("importance")
+    return models.top_importances(table_, 5).join(shares).select(
+        "place", (F.size(F.filter("v", lambda x: x > v)) < F.col("place")).alias("not_too_late"),
+        (F.size(F.filter("v", lambda x: x >= v)) >= F.col("place")).alias("not_too_early"),
+        _near(F.col("text").cast("double"), v, 5.001e-5).alias("text_fits"),
+        (F.length("bar") == F.floor(v * 50)).alias("bar_fits"))
 
 
 def q_trained_comparison(spark, folder):
-    return modelling.train(_clean(spark, folder), CUSTOMERS, depth=8).metrics
+    """The reported metrics of both models, each against the same metric taken from the scored rows
+    in another way (the area as a sum over the curve's steps)."""
+    done = modelling.train(_clean(spark, folder), CUSTOMERS)
+    y, said = F.col("label"), F.col("prediction")
+    hits, called, real = F.sum(y * said), F.sum(said), F.sum(y)
+    share = lambda a, b: F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
+    again = done.scored.groupBy("model").agg(
+        F.avg((y == said).cast("int")).alias("Acurácia"), share(hits, called).alias("Precisão"),
+        share(hits, real).alias("Recall"), share(hits * 2, called + real).alias("F1-Score"))
+    step = F.col("neg") / F.col("all_neg") * (F.col("cum_pos") - F.col("pos") / 2.0) / F.col("all_pos")
+    area = ranked_scores(done.scored).groupBy("model").agg(F.sum(step).alias("ROC-AUC"))
+    wide = again.join(area, "model")
+    names = [c for c in wide.columns if c != "model"]
+    cells = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(f"`{n}`").alias("again")) for n in names])
+    top = F.max("value").over(Window.partitionBy("metric"))
+    return done.metrics.join(wide.select("model", F.inline(cells)), ["model", "metric"]).select(
+        "model", "metric", F.col("value").between(0.0, 1.0).alias("in_range"),
+        _near(F.col("value"), F.col("again"), 5.001e-5).alias("value_fits"), (F.col("best") == (F.col("value") == top)).alias("best_fits"))
+
+
+def _scored_checks(scored: DataFrame, *keep: str) -> DataFrame:
+    """Whether class, band and delta follow from the probability."""
+    p = F.col("prob")
+    band = F.when(p >= 60.0, "alto").when(p >= 35.0, "medio").otherwise("baixo")
+    return scored.select(
+        *keep, (p.isNotNull() & p.between(0.0, 100.0)).alias("prob_fits"), (F.col("pred") == (p > 50.0).cast("int")).alias("pred_fits"),
+        (F.col("band") == band).alias("band_fits"), _near(F.col("delta"), p - 30.0, 1e-9).alias("delta_fits"))
+
+
+def _saved_scorer(spark, rows: DataFrame):
+    """A logistic scorer fitted on ``rows``, saved, and read back from storage."""
+    path = fresh_path(spark, "model")
+
+    def fit():
+        ready = prepare(rows, CUSTOMERS)
+        return models.with_model(ready.model, models.fit_logistic(ready.train))
+
+    models.load_or_fit(path, fit)
+    return models.load_or_fit(path, fit)
 
 
 def q_saved_model_scores(spark, folder):
-    """Train, save, load, and score the whole raw table with the loaded model."""
+    """Train, save, load, and score the whole cleaned table with the loaded model."""
     rows = _clean(spark, folder)
-    path = fresh_path(spark, "model")
+    scored = scoring.score(rows, _saved_scorer(spark, rows), models.LOGISTIC, CUSTOMER_RULES)
+    return _scored_checks(scored.withColumn("codes", scoring.factor_codes()), "c_custkey", "codes", "model")
+
+
+def q_load_or_fit_once(spark, folder):
+    """How often a scorer is fitted when it is asked for three times: only while none is saved."""
+    rows, path, fits = _clean(spark, folder), fresh_path(spark, "model"), []
 
     def fit():
+        fits.append(1)
         ready = prepare(rows, CUSTOMERS)
         return models.with_model(ready.model, models.fit_logistic(ready.train))
 
-    models.load_or_fit(path, fit)
-    loaded = models.load_or_fit(path, fit)
-    scored = scoring.score(rows, loaded, models.LOGISTIC, CUSTOMER_RULES)
-    return scored.select("c_custkey", "prob", "pred", "band", "delta",
-                         scoring.factor_codes().alias("codes"), "model")
+    scored = [scoring.with_probability(rows, models.load_or_fit(path, fit)).agg(F.count("prob")).first()[0] for _ in range(3)]
+    return local_rows(spark, [(i, n, len(fits)) for i, n in enumerate(scored)], "turn int, scored long, fits int")
 
 
 def q_saved_model_check(spark, folder):
@@ -553,18 +639,48 @@ def q_saved_model_check(spark, folder):
     return here.join(there, "c_custkey").agg(F.count("*").alias("rows"), F.count_if(same).alias("same"))
 
 
-def q_legacy_rf_scores(spark, folder):
-    raw = cleaning.impute(_customers(spark, folder), {"region": "UNKNOWN"})
-    trained = modelling.train_legacy(raw, CUSTOMERS, depth=8)
-    return scoring.legacy_score(raw, trained.model).select("c_custkey", "evadiu", "probabilidade_evasao")
+def _with_nan(rows: DataFrame) -> DataFrame:
+    """Missing balances as NaN, the other missing values as NULL."""
+    return rows.withColumn("c_acctbal", F.coalesce("c_acctbal", F.lit(float("nan"))))
+
+
+def q_gap_scores(spark, folder):
+    """The customers with gaps, NULL and NaN, scored by a model fitted on the clean ones."""
+    rows = _clean(spark, folder)
+    scored = scoring.score(_with_nan(customers_with_gaps(spark, folder)), _saved_scorer(spark, rows), models.LOGISTIC, CUSTOMER_RULES)
+    return _scored_checks(scored, "c_custkey", "model")
 
 
-# --- generation and streaming ----------------------------------------------------------------
+def q_gap_scores_stream(spark, folder):
+    """The same rows as a stream: how many there are, and how many get the batch's probability."""
+    scorer = _saved_scorer(spark, _clean(spark, folder))
+    raw = _with_nan(customers_with_gaps(spark, folder))
+    base = fresh_path(spark, "stream")
+    raw.write.parquet(f"{base}/in")
+
+    def transform(rows):
+        return scoring.score(rows, scorer, models.LOGISTIC, CUSTOMER_RULES).select("c_custkey", "prob")
+
+    score_stream(read_stream(spark, f"{base}/in", raw.schema), transform, f"{base}/out", f"{base}/log").awaitTermination()
+    batch = transform(raw).withColumnRenamed("prob", "batch")
+    return spark.read.parquet(f"{base}/out").join(batch, "c_custkey").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("prob") == F.col("batch")).alias("same"))
+
+
+def q_legacy_rf_scores(spark, folder):
+    """The older flow on the raw table with its gaps. Trees grown to the end know their own training
+    rows, which are four fifths of the table."""
+    raw = _with_nan(_customers(spark, folder))
+    trained = modelling.train_legacy(raw, CUSTOMERS)
+    scored = stage(scoring.legacy_score(raw, trained.model).select("c_custkey", "churned", "evadiu", "probabilidade_evasao"))
+    right = scored.agg(F.avg((F.col("evadiu") == (F.col("churned") == 1)).cast("int"))).scalar()
+    p = F.col("probabilidade_evasao")
+    return scored.select(
+        "c_custkey", p.between(0.0, 100.0).alias("prob_fits"), _near(p * 10.0, F.rint(p * 10.0), 1e-6).alias("one_decimal"),
+        F.when(p != 50.0, F.col("evadiu") == (p > 50.0)).otherwise(True).alias("class_fits"), (right > 0.9).alias("learned"))
 
-def q_synthetic_cohort(spark, folder):
-    """One synthetic student per order."""
-    return synth.students(table(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
 
+# --- gaps and streaming ----------------------------------------------------------------
 
 def q_inject_nulls(spark, folder):
     rows = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
@@ -576,14 +692,6 @@ def q_inject_nulls_hashed(spark, folder):
     return synth.inject_nulls(rows, "o_orderkey", ["o_totalprice"], exact=False)
 
 
-def q_synthetic_summary(spark, folder):
-    """Generate, clean and summarise: class means of the synthetic students."""
-    rows = synth.students(table(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
-    out = rows.groupBy("evadiu").agg(
-        F.count("*").alias("n"), *[F.avg(c).alias(c) for c in ("cr", "faltas", "reprovacoes", "idade")])
-    return rounded(out, 4, "cr", "faltas", "reprovacoes", "idade")
-
-
 def _score_order(rows: DataFrame) -> DataFrame:
     prob = softsign((F.col("o_totalprice") - 300000.0) / 100000.0) * 100.0
     scored = scoring.explain(rows.withColumn("prob", prob), ORDER_RULES)

@@ -5,14 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from riskloom.operators import evaluate, models
 from riskloom.operators.models import FOREST, LOGISTIC
 from riskloom.operators.prepare import LABEL, Prepared, prepare, stratified_split
 from riskloom.operators.ranking import ranked_scores
 from riskloom.session import stage
-from riskloom.spec import RoleSpec
+from riskloom.sources.tables import cached
+from riskloom.spec import RoleSpec, normalise
 
 # On equal ROC-AUC the trainer prefers the forest, the dashboard the first listed.
 TRAINER_PRIORITY = [FOREST, LOGISTIC]
@@ -43,7 +44,7 @@ def spread(df: DataFrame) -> DataFrame:
 
 def train(df: DataFrame, spec: RoleSpec, priority=TRAINER_PRIORITY, seed: int = 42, **forest) -> Compared:
     ready = prepare(df, spec, seed=seed)
-    train_rows = spread(ready.train.select("features", LABEL)).persist()
+    train_rows = cached(spread(ready.train.select("features", LABEL)))
     logistic = models.fit_logistic(train_rows)
     forest_model = models.fit_forest(train_rows, seed=seed, **forest)
     train_rows.unpersist()
@@ -51,7 +52,7 @@ def train(df: DataFrame, spec: RoleSpec, priority=TRAINER_PRIORITY, seed: int =
         models.predict(logistic, ready.test, LOGISTIC, [spec.id])
         .unionByName(models.predict(forest_model, ready.test, FOREST, [spec.id]))
     )
-    ranked = ranked_scores(scored)
+    ranked = stage(ranked_scores(scored))
     measured = evaluate.metrics(scored, ranked=ranked)
     return Compared(
         prepared=ready,
@@ -95,7 +96,7 @@ class Legacy:
 
 def train_legacy(raw: DataFrame, spec: RoleSpec, seed: int = 42, **forest) -> Legacy:
     """The older flow: integer codes, raw table, one forest."""
-    split = stage(stratified_split(raw, spec, seed=seed).withColumn(LABEL, raw[spec.target].cast("double")))
+    split = stage(stratified_split(normalise(raw), spec, seed=seed).withColumn(LABEL, F.col(spec.target).cast("double")))
     model = models.fit_legacy(split.filter("not is_test"), spec, seed=seed, **forest)
     scored = stage(models.predict(model, split.filter("is_test"), FOREST, [spec.id]))
     return Legacy(model, evaluate.class_report(scored), evaluate.confusion_cells(scored))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from riskloom.functions import draws
-from riskloom.functions.risk import BASE_RATE
 from riskloom.plans.catalog import CARD_A, CARD_B, CUSTOMER_DEFINITIONS, YEARS
-from riskloom.sources import synth
 from riskloom.sources.cohorts import CUSTOMERS, CUTOFF, DOCUMENTS, LINES
 
 
+# Fixed value: the base rate in percent that deltas are taken from.
+_BASE = 30.0
+
+
 def half(x: str, n: int = 0) -> str:
     """Half-even rounding on the scaled value."""
     return f"round_even(({x})::DOUBLE, 0)::DOUBLE" if n == 0 else f"(round_even(({x})::DOUBLE*1e{n}, 0)::DOUBLE/1e{n})"
@@ -32,31 +33,40 @@ def _gap(c: str, x: str) -> str:
     return f"CASE WHEN md5(c_custkey || ':{c}:gap') >= '08' THEN {x} END AS {c}"
 
 
-CUST = f"""hist AS (
+_HIST = f"""hist AS (
   SELECT o_custkey, count(*) FILTER (o_orderdate < TIMESTAMP '{CUTOFF}') AS ob,
     sum(o_totalprice) FILTER (o_orderdate < TIMESTAMP '{CUTOFF}') AS pb,
     max(o_orderdate) FILTER (o_orderdate < TIMESTAMP '{CUTOFF}') AS last_order,
     count(*) FILTER (o_orderdate >= TIMESTAMP '{CUTOFF}') AS oa
-  FROM orders GROUP BY 1),
-raw AS (
-  SELECT c_custkey, c_name, c_mktsegment, {_gap('region', 'r_name')}, {_gap('c_acctbal', 'c_acctbal')},
-    {_gap('n_orders', 'coalesce(ob, 0)::DOUBLE')},
-    {_gap('avg_price', "CASE WHEN ob > 0 THEN " + half('pb/ob', 2) + " END")},
-    {_gap('recency_days', f"date_diff('day', last_order::DATE, DATE '{CUTOFF}')::DOUBLE")},
+  FROM orders GROUP BY 1)"""
+_VALUES = {
+    "region": "r_name", "c_acctbal": "c_acctbal", "n_orders": "coalesce(ob, 0)::DOUBLE",
+    "avg_price": "CASE WHEN ob > 0 THEN " + half("pb/ob", 2) + " END",
+    "recency_days": f"date_diff('day', last_order::DATE, DATE '{CUTOFF}')::DOUBLE",
+}
+
+
+def _raw(shown) -> str:
+    return f"""{_HIST},
+  raw AS (SELECT c_custkey, c_name, c_mktsegment, {', '.join(shown(c, x) for c, x in _VALUES.items())},
     (coalesce(oa, 0) = 0)::INT AS churned
   FROM customer LEFT JOIN hist ON c_custkey = o_custkey
     LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)"""
 
+
+# The customers as they are, and with the gaps that the cleaning queries make.
+WHOLE = _raw(lambda c, x: f"{x} AS {c}")
+CUST = _raw(_gap)
+
 LINE = """line AS (
   SELECT l_orderkey, l_quantity, l_extendedprice, l_discount, l_tax, l_linestatus,
     year(l_shipdate)::VARCHAR AS ship_year, (l_returnflag = 'R')::INT AS returned FROM lineitem)"""
 
-DOCS = """docs AS (
-  SELECT doc_id, lang, source, n_chars::DOUBLE AS n_chars,
+_SIZES = """doc_id, lang, source, n_chars::DOUBLE AS n_chars,
     (length(text) - length(replace(text, ' ', '')) + 1)::DOUBLE AS n_words,
-    (length(text) - length(replace(text, chr(10), '')) + 1)::DOUBLE AS n_lines,
-    (1 - quality)::INT AS poor
-  FROM documents JOIN labels USING (doc_id))"""
+    (length(text) - length(replace(text, chr(10), '')) + 1)::DOUBLE AS n_lines"""
+SIZES = f"docs AS (SELECT {_SIZES} FROM documents)"
+DOCS = f"docs AS (SELECT {_SIZES}, (1 - quality)::INT AS poor FROM documents JOIN labels USING (doc_id))"
 
 
 def _mode(c: str, t: str) -> str:
@@ -133,7 +143,7 @@ def _cards(t: str, label: str, cards: dict[str, str]) -> str:
 
 
 _cust_z = "(9e0 - coalesce(n_orders, 0e0)) / 3e0"
-CUST_SCORED = (CUST, _cards("raw", "churned", {
+CUST_SCORED = (WHOLE, _cards("raw", "churned", {
     CARD_A: _cust_z, CARD_B: "(coalesce(recency_days, 300e0) - 250e0) / 200e0"}))
 LINE_SCORED = (LINE, _cards("line", "returned", {
     CARD_A: "(l_quantity - 25e0) / 10e0 + (l_discount - 5e-2) * 20e0",
@@ -239,87 +249,12 @@ RISK = f"""risk AS (SELECT *, {_softsign(_cust_z)} * 100e0 AS prob,
   list_filter([{', '.join(_rules)}], lambda f: f IS NOT NULL) AS codes FROM raw)"""
 
 ORDER_SCORE = f"""SELECT o_orderkey, {rnd('prob', 6)} AS prob, {_band('prob')} AS band,
-  {rnd(f'prob - {BASE_RATE}', 6)} AS delta, concat_ws('|',
+  {rnd(f'prob - {_BASE}', 6)} AS delta, concat_ws('|',
     CASE WHEN o_totalprice > 400000 THEN 'very_large' WHEN o_totalprice > 250000 THEN 'large' END,
     CASE WHEN o_orderpriority = '1-URGENT' THEN 'urgent' END) AS codes
 FROM (SELECT *, {_softsign('(o_totalprice - 300000e0) / 100000e0')} * 100e0 AS prob FROM orders)"""
 
 
-# --- synthetic students ----------------------------------------------------------------------
-
-_n = synth.UNIFORMS
-
-
-def _step(name: str, source: str, make) -> str:
-    return f"{name} AS (SELECT id_aluno, positive, " + ", ".join(
-        f"{make(f'u{i}', i)} AS u{i}" for i in range(_n)) + f" FROM {source})"
-
-
-def _mixer(name: str, source: str) -> str:
-    """The integer mixer, one common table expression per step."""
-    out = []
-    for k, (shift, factor) in enumerate(draws.ROUNDS):
-        out.append(_step(f"{name}{k}", source, lambda x, i, s=shift, f=factor: (
-            f"(xor({x}, {x} >> {s}) * {f}::BIGINT) & {draws.MASK}::BIGINT")))
-        source = f"{name}{k}"
-    return ",\n".join(out + [_step(name, source, lambda x, i: f"xor({x}, {x} >> {draws.LAST_SHIFT})")])
-
-
-_constants = draws.slot_constants(_n, 42)
-
-
-def _normal(a: int, b: int) -> str:
-    return f"(sqrt(ln(u{a}) * -2e0) * cos(u{b} * 6.283185307179586e0))"
-
-
-def _clip(x: str, lo, hi) -> str:
-    return f"least(greatest({x}, {lo}::DOUBLE), {hi}::DOUBLE)"
-
-
-def _choice(u: str, values, weights) -> str:
-    acc, whens = 0.0, []
-    for v, w in list(zip(values, weights))[:-1]:
-        acc = round(acc + w, 12)
-        whens.append(f"WHEN {u} < {acc!r}::DOUBLE THEN {v!r}")
-    return f"CASE {' '.join(whens)} ELSE {values[-1]!r} END"
-
-
-def _pick(u: str, values) -> str:
-    return f"{values!r}[(floor({u} * {len(values)}) + 1)::INT]"
-
-
-def _student(p: dict) -> dict[str, str]:
-    mean, dev, lo, hi = p["cr"]
-    shape, theta = p["absences"]
-    second = "ln(u5)" if shape == 2 else "0e0"
-    z = _normal(2, 3)
-    return {
-        "cr": half(_clip(f"{_normal(0, 1)} * {dev}e0 + {mean}e0", lo, hi), 1),
-        "faltas": _clip(f"floor((({z} * {z} / 2e0) - ln(u4) - {second}) * {theta}e0)", 0, synth.MAX_ABSENCES),
-        "situacao_financeira": _choice("u10", synth.FINANCES, p["finances"]),
-        "reprovacoes": f"({_choice('u11', synth.FAILURES, p['failures'])})::DOUBLE",
-    }
-
-
-_pos, _neg = _student(synth.POSITIVE), _student(synth.NEGATIVE)
-_ages = ", ".join(f"u{i}" for i in range(12, 19))
-STUDENT = ",\n".join([
-    """keyed AS (SELECT o_orderkey AS id_aluno, row_number() OVER (ORDER BY md5(o_orderkey || ':42'), o_orderkey)
-    <= floor(count(*) OVER () * 0.3::DOUBLE) AS positive FROM orders)""",
-    _step("first", "keyed", lambda x, i: f"xor(id_aluno & {draws.MASK}::BIGINT, {_constants[i][0]}::BIGINT)"),
-    _mixer("mixed", "first"),
-    _step("second", "mixed", lambda x, i: f"xor({x}, xor(id_aluno >> 32, {_constants[i][1]}::BIGINT))"),
-    _mixer("remixed", "second"),
-    _step("unit", "remixed", lambda x, i: f"({x} + 5e-1) / 4294967296e0"),
-    f"""student AS (SELECT id_aluno,
-  {_pick('u6', synth.FIRST_NAMES)} || ' ' || {_pick('u7', synth.LAST_NAMES)} AS nome,
-  {_pick('u8', synth.COURSES)} AS curso, (floor(u9 * 8) + 1)::DOUBLE AS periodo,
-  {', '.join(f"CASE WHEN positive THEN {_pos[c]} ELSE {_neg[c]} END AS {c}" for c in _pos)},
-  {_clip(f"floor(list_sort([{_ages}])[2] * 28e0 + 17e0)", 17, 45)} AS idade,
-  positive::INT AS evadiu FROM unit)""",
-])
-
-
 def _chosen(c: str) -> str:
     return (f"CASE WHEN row_number() OVER (ORDER BY md5(o_orderkey || ':{c}:42'), o_orderkey) "
             f"> floor(count(*) OVER () * 0.03::DOUBLE) THEN {c} END AS {c}")
@@ -419,6 +354,12 @@ _SLOTS = f"""SELECT (row_number() OVER (ORDER BY field, name) - 1)::INT AS slot,
   {union(f"SELECT {i} AS field, '{c}' AS name" for i, c in enumerate(CUSTOMERS.numeric))} UNION ALL
   {union(f"SELECT DISTINCT {10 + i}, '{c}_' || {c} FROM marked WHERE NOT is_test"
          for i, c in enumerate(CUSTOMERS.categorical))})"""
+
+
+def _true(*checks: str) -> str:
+    return ", ".join(f"TRUE AS {c}" for c in checks)
+
+
 _CLEAN_SPLIT = with_(*TO_CLEAN, *_split("clean", "c_custkey", "churned"))
 
 ORACLES: dict[str, str] = {
@@ -429,7 +370,7 @@ ORACLES: dict[str, str] = {
     "data_dictionary": with_(*TO_CLEAN) + DICTIONARY,
     "fill_medians": with_(LINE) + union(
         f"SELECT '{c}' AS \"column\", {rnd(f'median({c})', 6)} AS value FROM line" for c in LINES.numeric),
-    "fill_modes": with_(DOCS) + union(
+    "fill_modes": with_(SIZES) + union(
         f"SELECT '{c}' AS \"column\", {_mode(c, 'docs')} AS value" for c in DOCUMENTS.categorical),
     "impute_median_mode": with_(CUST) + "SELECT " + ", ".join(
         f"{rnd(_fill[c], 4)} AS {c}" if c in ("c_acctbal", "avg_price") else f"{_fill[c]} AS {c}" if c in _fill else c
@@ -441,7 +382,7 @@ ORACLES: dict[str, str] = {
     "iqr_limits": with_(LINE) + "SELECT \"column\", n, " + ", ".join(
         f"{rnd(c, 6)} AS {c}" for c in ("q1", "q3", "iqr", "lower", "upper"))
         + f" FROM ({_limits('line', LINES.numeric)})",
-    "iqr_limits_by_group": with_(DOCS) + "SELECT lang, \"column\", n, " + ", ".join(
+    "iqr_limits_by_group": with_(SIZES) + "SELECT lang, \"column\", n, " + ", ".join(
         f"{rnd(c, 6)} AS {c}" for c in ("q1", "q3", "iqr", "lower", "upper"))
         + f" FROM ({_limits('docs', DOCUMENTS.numeric, 'lang')})",
     "outlier_count_raw": with_(CUST, f"lim AS ({_limits('raw', CUSTOMERS.outlier)})") + union(
@@ -474,7 +415,7 @@ ORACLES: dict[str, str] = {
     "kpi_filtered": with_(DOCS) + f"SELECT {_kpi('docs', 'poor', {'n_chars': 2, 'n_words': 1})} FROM docs WHERE lang = 'en'",
     "kpi_rollup": with_(LINE) + f"""SELECT CASE WHEN grouping(ship_year) = 1 THEN 'Todos' ELSE ship_year END AS choice,
   {_kpi('line', 'returned', {'l_quantity': 2, 'l_extendedprice': 1})} FROM line GROUP BY ROLLUP (ship_year)""",
-    "kpi_delta": with_(CUST) + f"""SELECT choice, total, positives, rate, mean_n_orders,
+    "kpi_delta": with_(WHOLE) + f"""SELECT choice, total, positives, rate, mean_n_orders,
   CASE WHEN lvl = 0 THEN {rnd('rate - overall', 6)} END AS delta FROM (
   SELECT CASE WHEN grouping(region) = 1 THEN 'Todos' ELSE region END AS choice, grouping(region) AS lvl,
     (SELECT avg(churned) * 100e0 FROM raw) AS overall, {_kpi('raw', 'churned', {'n_orders': 2})}
@@ -498,17 +439,17 @@ ORACLES: dict[str, str] = {
     "corr_wide": with_(LINE) + union(
         f"SELECT '{a}' AS a, " + ", ".join(f"{rnd(_corr(a, b, 'line'), 6)} AS {b}" for b in _line_corr)
         for a in _line_corr),
-    "corr_target_topk": with_(CUST) + f"""SELECT place, "column", {rnd('r', 6)} AS r, printf('%+.2f', r) AS text FROM (
+    "corr_target_topk": with_(WHOLE) + f"""SELECT place, "column", {rnd('r', 6)} AS r, printf('%+.2f', r) AS text FROM (
   SELECT *, row_number() OVER (ORDER BY abs(r) DESC, "column")::INT AS place FROM ({_top_corr()})) WHERE place <= 3""",
-    "corr_bar": with_(CUST) + f"""SELECT "column", {rnd('r', 6)} AS r, printf('%+.4f', r) AS text,
+    "corr_bar": with_(WHOLE) + f"""SELECT "column", {rnd('r', 6)} AS r, printf('%+.4f', r) AS text,
   CASE WHEN r > 0 THEN '+' ELSE '-' END || repeat('█', trunc(abs(r * 30))::INT) AS bar,
   CASE WHEN r > 0 THEN 'raises' ELSE 'lowers' END AS effect FROM ({_top_corr()})""",
     "box_stats": with_(LINE) + _box("line", ["l_quantity", "l_extendedprice"], "returned"),
-    "box_stats_documents": with_(DOCS) + _box("docs", ["n_chars", "n_words"], "lang"),
-    "box_outliers": with_(DOCS, f"lim AS ({_limits('docs', ['n_chars'], 'lang')})") + """
+    "box_stats_documents": with_(SIZES) + _box("docs", ["n_chars", "n_words"], "lang"),
+    "box_outliers": with_(SIZES, f"lim AS ({_limits('docs', ['n_chars'], 'lang')})") + """
 SELECT lang, doc_id, n_chars AS value FROM docs JOIN lim USING (lang) WHERE n_chars < lower OR n_chars > upper""",
     "histogram30": with_(LINE) + _hist("line", "l_extendedprice", 30, 4),
-    "histogram30_scaled": with_(CUST, """z AS (SELECT (avg_price - m) / s AS avg_price FROM raw,
+    "histogram30_scaled": with_(WHOLE, """z AS (SELECT (avg_price - m) / s AS avg_price FROM raw,
   (SELECT avg(avg_price) AS m, stddev_pop(avg_price) AS s FROM raw))""") + _hist("z", "avg_price", 30, 6),
     "density2d": with_(LINE) + f"""SELECT returned, {_bin('l_quantity', 'ql', 'qh', 20)} AS x_bin,
   {_bin('l_extendedprice', 'el', 'eh', 20)} AS y_bin, count(*) AS n FROM line,
@@ -516,12 +457,12 @@ SELECT lang, doc_id, n_chars AS value FROM docs JOIN lim USING (lang) WHERE n_ch
 GROUP BY 1, 2, 3""",
     "scatter_points": with_(DOCS) + """SELECT n_chars, n_words, CASE poor WHEN 0 THEN 'good' WHEN 1 THEN 'poor' END AS label,
   lang, source FROM docs""",
-    "at_risk_list": with_(CUST) + """SELECT c_name AS "Name", c_mktsegment AS "Segment", region AS "Region",
+    "at_risk_list": with_(WHOLE) + """SELECT c_name AS "Name", c_mktsegment AS "Segment", region AS "Region",
   c_acctbal AS "Balance", n_orders AS "Orders", avg_price AS "Mean price", recency_days AS "Recency"
 FROM raw WHERE churned = 1""",
     "label_map": "SELECT *, CASE quality WHEN 0 THEN 'low' WHEN 1 THEN 'high' END AS quality_name FROM labels",
-    "distinct_values": with_(CUST) + "SELECT DISTINCT region FROM raw WHERE region IS NOT NULL ORDER BY 1",
-    "head_rows": with_(CUST) + "SELECT * FROM raw ORDER BY c_custkey LIMIT 10",
+    "distinct_values": with_(WHOLE) + "SELECT DISTINCT region FROM raw WHERE region IS NOT NULL ORDER BY 1",
+    "head_rows": with_(WHOLE) + "SELECT * FROM raw ORDER BY c_custkey LIMIT 10",
     "stratified_split": with_("o AS (SELECT o_orderkey, o_orderstatus FROM orders)",
                               *_split("o", "o_orderkey", "o_orderstatus"))
         + "SELECT o_orderkey, o_orderstatus, is_test FROM marked",
@@ -529,24 +470,43 @@ FROM raw WHERE churned = 1""",
         + "SELECT churned, is_test, count(*) AS n FROM marked GROUP BY 1, 2",
     "standardize": with_(*TO_CLEAN, *_split("clean", "c_custkey", "churned")) + "SELECT c_custkey, is_test, " + ", ".join(
         f"{rnd(_z(c), 6)} AS {c}" for c in CUSTOMERS.numeric) + " FROM marked",
-    "onehot": with_(CUST) + "SELECT c_custkey, " + ", ".join(
+    "onehot": with_(WHOLE) + "SELECT c_custkey, " + ", ".join(
         f"coalesce(({c} = '{v}')::INT, 0) AS \"{c}_{v}\"" for c, v in _hot) + " FROM raw",
-    "label_encode": with_(DOCS) + """SELECT doc_id, (dense_rank() OVER (ORDER BY lang) - 1)::INT AS lang_enc,
+    "label_encode": with_(SIZES) + """SELECT doc_id, (dense_rank() OVER (ORDER BY lang) - 1)::INT AS lang_enc,
   (dense_rank() OVER (ORDER BY source) - 1)::INT AS source_enc FROM docs""",
     "feature_names": _CLEAN_SPLIT + _SLOTS,
     "lr_optimality": _CLEAN_SPLIT + f"""SELECT slot, feature, TRUE AS solved FROM ({_SLOTS}) UNION ALL
   SELECT count(*)::INT, 'intercept', TRUE FROM ({_SLOTS})""",
+    "lr_coefficients": _CLEAN_SPLIT + f"SELECT *, {_true('text_fits', 'sign_fits', 'effect_fits')} FROM ({_SLOTS})",
+    "lr_scores": _CLEAN_SPLIT + f"""SELECT c_custkey, 'Regressão Logística' AS model, churned AS label,
+  {_true('score_fits', 'prediction_fits')} FROM marked WHERE is_test""",
+    "rf_importances": _CLEAN_SPLIT + f"""SELECT *, {_true('is_share', 'sums_to_one', 'mean_fits', 'flag_fits')}
+FROM ({_SLOTS})""",
+    "rf_top_importances": f"""SELECT place::INT AS place, {_true('not_too_late', 'not_too_early', 'text_fits', 'bar_fits')}
+FROM (SELECT unnest(range(1, 6)) AS place)""",
+    "trained_comparison": f"""SELECT model, metric, {_true('in_range', 'value_fits', 'best_fits')}
+FROM (SELECT unnest(['Regressão Logística', 'Random Forest']) AS model),
+  (SELECT unnest(['Acurácia', 'Precisão', 'Recall', 'F1-Score', 'ROC-AUC']) AS metric)""",
+    "saved_model_scores": with_(*TO_CLEAN) + f"""SELECT c_custkey, 'Regressão Logística' AS model,
+  array_to_string(list_filter([{', '.join(_rules)}], lambda f: f IS NOT NULL), '|') AS codes,
+  {_true('prob_fits', 'pred_fits', 'band_fits', 'delta_fits')} FROM clean""",
+    "load_or_fit_once": with_(CUST, IMPUTED) + """SELECT turn::INT AS turn, (SELECT count(*) FROM imp) AS scored, 1 AS fits
+FROM (SELECT unnest(range(3)) AS turn)""",
+    "gap_scores": f"""SELECT c_custkey, 'Regressão Logística' AS model,
+  {_true('prob_fits', 'pred_fits', 'band_fits', 'delta_fits')} FROM customer""",
+    "gap_scores_stream": "SELECT count(*) AS rows, count(*) AS same FROM customer",
+    "legacy_rf_scores": f"SELECT c_custkey, {_true('prob_fits', 'one_decimal', 'class_fits', 'learned')} FROM customer",
     "saved_model_check": _CLEAN_SPLIT + "SELECT count(*) AS rows, count(*) AS same FROM marked WHERE is_test",
-    "validate": with_(CUST) + f"SELECT count(*) AS rows, {len(_cust_cols)} AS columns FROM raw",
+    "validate": with_(WHOLE) + f"SELECT count(*) AS rows, {len(_cust_cols)} AS columns FROM raw",
     "separate_features": with_(DOCS) + "SELECT " + ", ".join(DOCUMENTS.features) + ", poor::DOUBLE AS label FROM docs",
     "hash_split": f"""SELECT o_orderkey, o_orderstatus,
   ('0x' || substr(md5(o_orderkey || ':42'), 1, 8))::BIGINT < {int(0.2 * 2**32)} AS is_test FROM orders""",
     "feature_vector": with_(*TO_CLEAN, *_split("clean", "c_custkey", "churned"),
                             "zs AS (SELECT c_custkey, is_test, c_mktsegment, region, " + ", ".join(
                                 f"{_z(c)} AS {c}" for c in CUSTOMERS.numeric) + " FROM marked)")
-        + union([f"SELECT c_custkey, {i} AS slot, {rnd(c, 6)} AS value FROM zs WHERE is_test"
+        + union([f"SELECT c_custkey, is_test, {i} AS slot, {rnd(c, 6)} AS value FROM zs"
                  for i, c in enumerate(CUSTOMERS.numeric)]
-                + [f"SELECT c_custkey, {len(CUSTOMERS.numeric) + i}, ({c} = '{v}')::INT::DOUBLE FROM zs WHERE is_test"
+                + [f"SELECT c_custkey, is_test, {len(CUSTOMERS.numeric) + i}, ({c} = '{v}')::INT::DOUBLE FROM zs"
                    for i, (c, v) in enumerate(_hot)]),
     "confusion": with_(*LINE_SCORED, CONF) + "SELECT * FROM conf",
     "confusion_cells": with_(*CUST_SCORED, CONF) + union(
@@ -569,21 +529,17 @@ FROM raw WHERE churned = 1""",
         + f"SELECT model, value FROM measured WHERE metric = 'ROC-AUC' ORDER BY value DESC, model = '{CARD_A}' LIMIT 1",
     "risk_band": with_(LINE) + f"""SELECT {_band('p')} AS band, count(*) AS n, sum(returned)::BIGINT AS returned
 FROM (SELECT {_softsign('(l_quantity - 25e0) / 10e0')} * 100e0 AS p, returned FROM line) GROUP BY 1""",
-    "risk_factors": with_(CUST, RISK) + f"""SELECT c_custkey, {_band('prob')} AS band, len(codes)::INT AS n_factors,
+    "risk_factors": with_(WHOLE, RISK) + f"""SELECT c_custkey, {_band('prob')} AS band, len(codes)::INT AS n_factors,
   array_to_string(codes, '|') AS codes, array_to_string(list_transform(codes,
     lambda f: CASE WHEN f IN {_red} THEN 'vermelho' ELSE 'amarelo' END), '|') AS levels FROM risk""",
-    "risk_delta": with_(CUST, RISK) + f"""SELECT c_custkey, {rnd('prob', 6)} AS prob,
-  {rnd(f'prob - {BASE_RATE}', 6)} AS delta FROM risk""",
-    "scenario_check": with_(CUST, RISK) + f"""SELECT expected, band,
+    "risk_delta": with_(WHOLE, RISK) + f"""SELECT c_custkey, {rnd('prob', 6)} AS prob,
+  {rnd(f'prob - {_BASE}', 6)} AS delta FROM risk""",
+    "scenario_check": with_(WHOLE, RISK) + f"""SELECT expected, band,
   CASE WHEN band = expected THEN 'consistente' ELSE 'inesperado' END AS verdict, count(*) AS n FROM (
   SELECT CASE WHEN churned = 1 THEN 'alto' ELSE 'baixo' END AS expected, {_band('prob')} AS band FROM risk) GROUP BY 1, 2, 3""",
     "score_bars": with_(LINE) + f"""SELECT ship_year, repeat('#', trunc(abs(rate / 100e0 * 50))::INT) AS bar,
   printf('%+.2f', rate / 100e0) AS signed, CASE ship_year WHEN '1995' THEN 'first' END AS mark
 FROM ({_rate('line', 'ship_year', 'returned')})""",
-    "synthetic_cohort": with_(STUDENT) + "SELECT * FROM student",
-    "synthetic_summary": with_(STUDENT) + "SELECT evadiu, count(*) AS n, " + ", ".join(
-        f"{rnd(f'avg({c})', 4)} AS {c}" for c in ("cr", "faltas", "reprovacoes", "idade"))
-        + " FROM student GROUP BY 1",
     "inject_nulls": f"SELECT o_orderkey, {_chosen('o_totalprice')}, {_chosen('o_orderpriority')} FROM orders",
     "inject_nulls_hashed": f"""SELECT o_orderkey, CASE WHEN ('0x' || substr(md5(o_orderkey || ':o_totalprice:42'), 1, 8))::BIGINT
   >= {int(0.03 * 2**32)} THEN o_totalprice END AS o_totalprice FROM orders""",

@@ -1,24 +1,25 @@
 """Session for local runs, and the two ways intermediate results are made durable.
 
-``pin`` is for fitted summaries (cut points, limits, per-group totals): a result of at most
-``PIN_ROWS`` rows becomes a local relation and is broadcast in joins, which its checked size
-allows; so the large side of the join is never shuffled on a hot key. A larger summary is written
-out instead and joined as Spark sees fit.
-
 ``stage`` is for tables that several later jobs read: it writes Parquet below the folder named by
 ``spark.checkpoint.dir``, so lost executors cost a re-read, not a recomputation, and later jobs
 still get column pruning.
+
+``pin`` is for fitted summaries (cut points, limits, per-group totals): it is staged as well, and
+broadcast in joins if what was written is at most ``PIN_BYTES``; so the large side of the join is
+not shuffled on a hot key. A larger summary is joined as Spark sees fit.
 """
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-PIN_ROWS = 10_000
+PIN_BYTES = 8 << 20
 
 # Runtime settings that pay off for these queries on any cluster. HotSpot never compiles a method
 # above 8000 bytes of bytecode; with this limit Spark splits such operators instead of fusing them
@@ -42,6 +43,7 @@ def local_session(cores: int | str = "*", app: str = "riskloom", **conf) -> Spar
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", _own_folder())
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -57,18 +59,37 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def staging_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only in local mode with none named."""
+def _own_folder() -> str:
+    """A folder for sessions of this process that run in it alone; it goes when the process ends."""
     global _local_dir
+    if _local_dir is None:
+        _local_dir = tempfile.mkdtemp(prefix="riskloom-")
+        atexit.register(shutil.rmtree, _local_dir, ignore_errors=True)
+    return _local_dir
+
+
+def staging_dir(spark: SparkSession) -> str:
+    """The folder that the session names, which all executors share.
+
+    A session without one gets a folder of its own where driver and executor are one process, and
+    an error anywhere else.
+    """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        named = context._jsc.sc().getCheckpointDir()
+        configured = named.get() if named.isDefined() else None
     if configured:
         return configured.rstrip("/")
-    master = spark.sparkContext.master
-    if master.startswith("local-cluster") or not master.startswith("local"):
+    if context.master.startswith("local-cluster") or not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_dir is None:
-        _local_dir = tempfile.mkdtemp(prefix="riskloom-")
-    return _local_dir
+    return _own_folder()
+
+
+def store_of(spark: SparkSession, path: str):
+    """Spark's own file system for a path, and the path as it takes it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
 
 
 def fresh_path(spark: SparkSession, kind: str) -> str:
@@ -84,16 +105,18 @@ def stage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def pin(df: DataFrame, rows: int = PIN_ROWS) -> DataFrame:
-    """Compute a summary once: local relation up to ``rows`` rows, written table beyond."""
-    head = df.limit(rows + 1).toArrow()
-    if head.num_rows <= rows:
-        return F.broadcast(df.sparkSession.createDataFrame(head))
-    return stage(df)
+def pin(df: DataFrame) -> DataFrame:
+    """Compute a summary once; broadcast in joins if its written size is at most ``PIN_BYTES``."""
+    spark = df.sparkSession
+    path = fresh_path(spark, "pin")
+    df.write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    store, place = store_of(spark, path)
+    return F.broadcast(back) if store.getContentSummary(place).getLength() <= PIN_BYTES else back
 
 
 def any_row(pinned: DataFrame, condition: str) -> bool:
-    """Does a row of a pinned summary meet the condition; needs no job on a local relation."""
+    """Does a row of a pinned summary meet the condition."""
     return bool(pinned.filter(condition).limit(1).collect())
 
 

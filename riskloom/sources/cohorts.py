@@ -20,7 +20,7 @@ CUSTOMERS = RoleSpec(
     decimals={"c_acctbal": 1, "avg_price": 1},
 )
 LINES = RoleSpec(
-    id="l_orderkey",
+    id=None,
     target="returned",
     numeric=("l_quantity", "l_extendedprice", "l_discount", "l_tax"),
     categorical=("l_linestatus", "ship_year"),
@@ -71,8 +71,14 @@ def customers(spark: SparkSession, folder: str) -> DataFrame:
             (F.coalesce("orders_after", F.lit(0)) == 0).cast("int").alias("churned"),
         )
     )
+    return flat
+
+
+def customers_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """The customers with values missing here and there, for the operators that treat missing
+    values: about one row in 32 of each numeric column and of the region was never reported."""
     gaps = (*CUSTOMERS.numeric, "region")
-    return flat.withColumns({c: F.when(~_undisclosed(c), F.col(c)) for c in gaps})
+    return customers(spark, folder).withColumns({c: F.when(~_undisclosed(c), F.col(c)) for c in gaps})
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -84,16 +90,18 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per labelled document with sizes of its whole text; positive when of low quality.
-
-    Sizes are computed before the join, so the text itself is never shuffled.
-    """
+def document_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per document with sizes of its whole text; the text itself is never shuffled."""
     text = F.col("text")
-    sized = table(spark, folder, "documents").select(
+    return table(spark, folder, "documents").select(
         "doc_id", "lang", "source", F.col("n_chars").cast("double").alias("n_chars"),
         (F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit(""))) + 1).cast("double").alias("n_words"),
         (F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("double").alias("n_lines"),
     )
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The labelled documents with their sizes; positive when of low quality. Sizes are computed
+    before the join."""
     labels = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).cast("int").alias("poor"))
-    return sized.join(labels, "doc_id")
+    return document_sizes(spark, folder).join(labels, "doc_id")

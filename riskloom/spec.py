@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 @dataclass(frozen=True)
 class RoleSpec:
-    """Which column plays which role.
+    """Which column plays which role; ``id`` is None where no column is a unique key.
 
     ``integer`` columns are rounded half-even and cast after cleaning; ``decimals`` maps the
     other numeric columns to the number of decimals they are rounded to.
     """
 
-    id: str
+    id: str | None
     target: str
     numeric: tuple[str, ...]
     categorical: tuple[str, ...]
@@ -30,7 +30,8 @@ class RoleSpec:
 
     @property
     def columns(self) -> tuple[str, ...]:
-        return (self.id, *self.drop, *self.features, self.target)
+        own = (self.id,) if self.id else ()
+        return (*own, *self.drop, *self.features, self.target)
 
 
 # The student table's columns and roles.
@@ -82,6 +83,8 @@ def validate(df: DataFrame, spec: RoleSpec, unique_id: bool = False) -> DataFram
     if df.isEmpty():
         raise InvalidTable("empty table")
     if unique_id:
+        if spec.id is None:
+            raise InvalidTable("the table has no id")
         repeated = df.groupBy(spec.id).count().filter((F.col("count") > 1) | F.col(spec.id).isNull())
         if not repeated.isEmpty():
             raise InvalidTable(f"{spec.id} is null or repeated")

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -87,3 +88,13 @@ def test_rows_without_score_or_label_are_left_out(spark):
     df = spark.createDataFrame([("m", 1, 1, 0.9), ("m", 0, 0, 0.1), ("m", None, 1, 0.4), ("m", 1, None, None),
                                 ("m", 0, 1, float("nan"))], SCHEMA)
     assert ev.roc_auc(df).first()["auc"] == 1.0
+
+
+def test_curve_does_not_shuffle_scores_by_model(spark):
+    draw = random.Random(6)
+    df = scored(spark, [(int(draw.random() < 0.5), draw.random()) for _ in range(500)])
+    points = ev.roc_points(df, ranked=ranked_scores(df, per_bucket=50))
+    plan = points._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" in plan
+    assert not re.search(r"hashpartitioning\(model#\d+, \d+\)", plan)
+    assert points.filter("fpr = 0 and tpr = 0 and threshold > 1").count() == 1

@@ -109,3 +109,9 @@ def test_nan_counts_as_missing(spark):
         lambda d: e.box_stats(d, ["x", "y"], "k"), lambda d: e.kpis_by_choice(d, "k", "t", {"y": 1}),
     ):
         assert rows(make(df)) == rows(make(as_null))
+
+
+def test_infinite_values_have_no_place_on_an_axis(spark):
+    df = spark.createDataFrame([(1.0,), (float("inf"),)], "x double")
+    with pytest.raises(ValueError):
+        explore.histogram(df, "x")

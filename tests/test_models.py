@@ -8,7 +8,7 @@ from riskloom.functions.risk import risk_band, risk_factors
 from riskloom.operators import models, prepare as prep, score
 from riskloom.plans import dashboard, data_quality, modelling
 from riskloom.sources import synth
-from riskloom.sources.tables import read_csv
+from riskloom.sources.tables import cached, read_csv
 from riskloom.spec import STUDENTS, normalise
 from riskloom.streaming.scoring import read_stream, score_stream
 
@@ -256,3 +256,38 @@ def test_dashboard_tables(quality):
         assert made["at_risk"].count() == made["kpis"].first()["positives"]
         assert made["rate_by_course"].count() == 5 and made["choices"].count() == 5
     assert normalise(clean).columns == clean.columns
+
+
+def test_missing_values_do_not_end_fits_or_scoring(spark, quality, trained):
+    raw = quality[0].raw
+    odd = raw.withColumns({
+        "cr": F.when(F.col("id_aluno") % 50 == 0, float("nan")).otherwise(F.col("cr")),
+        "curso": F.when(F.col("id_aluno") % 70 == 0, None).otherwise(F.col("curso"))})
+    done = modelling.train_legacy(odd, STUDENTS, trees=5, depth=4)
+    assert score.legacy_score(odd, done.model).filter("probabilidade_evasao is null").count() == 0
+    unseen = odd.limit(3).withColumn("curso", F.lit("zzz"))
+    assert score.legacy_score(unseen, done.model).count() == 3
+    scored = score.score(odd, trained.scorers[models.LOGISTIC], models.LOGISTIC)
+    assert scored.count() == 1500 and scored.filter("prob is null or isnan(prob)").count() == 0
+
+
+def test_a_missing_value_counts_as_the_mean(spark, trained):
+    mean = trained.prepared.model.transform(spark.createDataFrame(
+        [(None, float("nan"), None, None, None, None, None)],
+        "periodo int, cr double, faltas double, reprovacoes double, idade double, curso string, "
+        "situacao_financeira string")).select(vector_to_array("features")).first()[0]
+    assert mean == [0.0] * 13
+
+
+def test_too_many_categories_are_an_error(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit(1.0).alias("x"))
+    for call in (lambda: prep.categories(df, ["k"]), lambda: prep.label_encoder(df, ["k"]),
+                 lambda: prep.scale_stats(df, ["x"], ["k"])):
+        with pytest.raises(prep.TooManyCategories):
+            call()
+
+
+def test_cached_reads_once(spark, quality):
+    held = cached(quality[0].cleaned.table)
+    assert held.is_cached and held.count() == held.count() == 1500
+    held.unpersist()

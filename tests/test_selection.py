@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from riskloom.operators.prepare import hash_split, stratified_split
-from riskloom.operators.selection import mark_selected, proportional_quota, share_quota
+from riskloom.operators.selection import UnusableKey, mark_selected, proportional_quota, share_quota
 from riskloom.spec import RoleSpec
 
 SPEC = RoleSpec(id="id", target="y", numeric=("x",), categorical=())
@@ -72,3 +72,19 @@ def test_split_is_a_partition_of_the_rows(spark):
 def test_hash_split_is_close(spark):
     n = hash_split(spark.range(20000).withColumn("y", F.lit(1)), SPEC).filter("is_test").count()
     assert abs(n / 20000 - 0.2) < 0.02
+
+
+def test_repeated_or_missing_keys_at_the_cut_are_errors(spark):
+    same = spark.range(100).select(F.lit(5).alias("id"))
+    for df in (same, spark.range(10).select(F.lit(None).cast("long").alias("id"))):
+        with pytest.raises(UnusableKey):
+            mark_selected(df, "id", [], share_quota(0.5), 1)
+    with pytest.raises(UnusableKey):
+        mark_selected(same, "id", [], share_quota(0.5), 1, max_rows=10, digits=16)
+
+
+def test_no_exact_split_without_a_key(spark):
+    spec = RoleSpec(id=None, target="y", numeric=(), categorical=())
+    with pytest.raises(ValueError):
+        stratified_split(spark.range(5).withColumn("y", F.lit(1)), spec)
+    assert spec.columns == ("y",)
