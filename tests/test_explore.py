@@ -114,4 +114,4 @@ def test_nan_counts_as_missing(spark):
 def test_infinite_values_have_no_place_on_an_axis(spark):
     df = spark.createDataFrame([(1.0,), (float("inf"),)], "x double")
     with pytest.raises(ValueError):
-        explore.histogram(df, "x")
+        e.histogram(df, "x")
