@@ -8,6 +8,7 @@ very end, so that results can be compared with another engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -22,7 +23,7 @@ from riskloom.operators.prepare import (
 )
 from riskloom.operators.profile import data_dictionary, describe, null_profile, profile
 from riskloom.operators.ranking import ranked_scores
-from riskloom.plans import data_quality, modelling
+from riskloom.plans import dashboard, data_quality, modelling
 from riskloom.session import fresh_path, local_rows, stage
 from riskloom.sources import synth
 from riskloom.sources.cohorts import (
@@ -321,6 +322,24 @@ def q_at_risk_list(spark, folder):
     return explore.positives(customers(spark, folder), "churned", shown)
 
 
+CUSTOMER_VIEW = dashboard.View(
+    "region", ("region", "c_mktsegment"), "avg_price", "recency_days", {"n_orders": 2, "avg_price": 1}, ("c_custkey",),
+    {"c_name": "Name", "region": "Region"}, {0: "kept", 1: "churned"})
+
+
+def q_dashboard(spark, folder):
+    """How many rows each chart's table has for the customers of one region."""
+    made = dashboard.tables(stage(customers(spark, folder)), "ASIA", CUSTOMERS, CUSTOMER_VIEW)
+    counts = [t.agg(F.lit(name).alias("chart"), F.count("*").alias("rows")) for name, t in made.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def q_quality_flow(spark, folder):
+    """The whole quality flow on the raw customers; its summary."""
+    done = data_quality.run(_customers(spark, folder), CUSTOMERS, CUSTOMER_DEFINITIONS)
+    return rounded(done.summary, 4, "value")
+
+
 def q_label_map(spark, folder):
     rows = table(spark, folder, "labels")
     return explore.with_label(rows, "quality", {0: "low", 1: "high"}, "quality_name")

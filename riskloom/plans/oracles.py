@@ -546,3 +546,25 @@ FROM ({_rate('line', 'ship_year', 'returned')})""",
     "stream_score": ORDER_SCORE,
     "batch_score": ORDER_SCORE,
 }
+
+
+def _dashboard() -> str:
+    x, y = "avg_price", "recency_days"
+    cell = f"{_bin(x, 'xl', 'xh', 20)}, {_bin(y, 'yl', 'yh', 20)}"
+    charts = {
+        "choices": "SELECT count(DISTINCT region) FROM raw", "kpis": "SELECT 1",
+        "kpis_by_choice": "SELECT count(DISTINCT region) + 1 FROM raw", "scatter": "SELECT count(*) FROM chosen",
+        "density": f"""SELECT count(*) FROM (SELECT DISTINCT churned, {cell} FROM chosen, (SELECT min({x}) AS xl,
+          max({x}) AS xh, min({y}) AS yl, max({y}) AS yh FROM chosen) WHERE {x} IS NOT NULL AND {y} IS NOT NULL)""",
+        "box": f"SELECT count(DISTINCT churned) FROM chosen WHERE {x} IS NOT NULL",
+        "box_outliers": f"SELECT count(*) FROM chosen JOIN lim USING (churned) WHERE {x} < lower OR {x} > upper",
+        "correlations": f"SELECT {len(CUSTOMERS.numeric)}", "at_risk": "SELECT count(*) FROM chosen WHERE churned = 1",
+        "rate_by_region": "SELECT count(DISTINCT region) FROM raw",
+        "rate_by_c_mktsegment": "SELECT count(DISTINCT c_mktsegment) FROM raw",
+    }
+    return with_(WHOLE, "chosen AS (SELECT * FROM raw WHERE region = 'ASIA')", f"lim AS ({_limits('chosen', [x], 'churned')})") + union(
+        f"SELECT '{name}' AS chart, ({sql})::BIGINT AS rows" for name, sql in charts.items())
+
+
+ORACLES["dashboard"] = _dashboard()
+ORACLES["quality_flow"] = ORACLES["quality_summary"]

@@ -254,10 +254,18 @@ def test_dashboard_tables(quality):
         total = made["kpis"].first()["total"]
         assert made["scatter"].count() == total == made["density"].agg(F.sum("n")).first()[0]
         assert made["at_risk"].count() == made["kpis"].first()["positives"]
-        assert made["rate_by_course"].count() == 5 and made["choices"].count() == 5
+        assert made["rate_by_curso"].count() == 5 and made["choices"].count() == 5
+        assert made["box_outliers"].count() == made["box"].agg(F.sum("outliers")).first()[0]
     assert normalise(clean).columns == clean.columns
 
 
+def test_model_tab(trained):
+    made = dashboard.model_tables(trained, 3)
+    assert {n: made[n].count() for n in ("metrics", "best", "confusion", "report", "importances", "top_importances", "coefficients")} == {
+        "metrics": 10, "best": 1, "confusion": 8, "report": 10, "importances": 13, "top_importances": 3, "coefficients": 13}
+    assert made["roc"].count() > 4
+
+
 def test_missing_values_do_not_end_fits_or_scoring(spark, quality, trained):
     raw = quality[0].raw
     odd = raw.withColumns({
