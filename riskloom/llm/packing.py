@@ -34,6 +34,7 @@ from riskloom.session import local_rows, stage
 
 CAPACITY = 4096
 END = 1
+MOST_WORDS = 200_000  # remembered per worker; workers keep them while other stages run
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -43,7 +44,7 @@ def pieces(docs: DataFrame, vocabulary: str, end: int = END, capacity: int = CAP
     themselves if asked for. Only texts above the capacity are cut."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens.encoder(vocabulary)
+        encoder = tokens.encoder(vocabulary, MOST_WORDS)
         for batch in batches:
             texts = batch.column(1)
             for part in tokens.slices(texts):

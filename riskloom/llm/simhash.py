@@ -191,8 +191,9 @@ def copies(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2
     pairs = stage(alike.unionByName(_met(classes, count, 0)).distinct())
     involved = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     known = docs.select(F.col("doc_id").cast("long"), "text")
-    sets = stage(shingle_sets(known.join(involved, "doc_id", "left_semi"), size))
-    gone, turn = None, 0
+    # These grow with the documents, so they are merged at any size and never broadcast.
+    sets = stage(shingle_sets(known.join(involved.hint("merge"), "doc_id", "left_semi"), size)).hint("merge")
+    gone, tested, turn = None, pairs, 0
     while True:
         first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
         second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
@@ -204,8 +205,9 @@ def copies(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2
         if turn and new.isEmpty():
             return gone.distinct()
         turn += 1
-        left = classes.join(involved, "doc_id", "left_semi").join(gone, "doc_id", "left_anti")
-        pairs = _met(stage(left), count, turn)
+        left = stage(classes.join(involved, "doc_id", "left_semi").join(gone, "doc_id", "left_anti"))
+        pairs = stage(_met(left, count, turn).join(tested, ["a", "b"], "left_anti"))
+        tested = tested.unionByName(pairs)
 
 
 def deduplicate(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2, count: int = 8) -> DataFrame:

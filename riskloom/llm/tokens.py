@@ -193,9 +193,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, most_words: int = MOST_WORDS) -> Encoder:
     """The worker's encoder for a vocabulary file; workers live longer than tasks."""
-    return Encoder(path)
+    return Encoder(path, most_words)
 
 
 def slices(texts: pa.Array, size: int = 8_000_000) -> Iterator[slice]:
