@@ -29,7 +29,7 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000):
 
 
 def fit_forest(
-    train: DataFrame, trees: int = 100, depth: int = 30, bins: int = 256, seed: int = 42, memory_mb: int = 512
+    train: DataFrame, trees: int = 100, depth: int = 30, bins: int = 128, seed: int = 42, memory_mb: int = 512
 ):
     """Gini forest on sqrt(features) per split, grown as deep as Spark grows trees. ``bins`` bounds
     the split candidates per feature and must not be below the number of categories."""
