@@ -4,7 +4,8 @@ Each round is a large-star and a small-star step: every node's larger neighbours
 ones, are linked to the smallest node around it. The number of rounds grows with the logarithm of
 the longest path. Every round is written below the shared folder, so the plan stays short and a
 lost executor costs a re-read. A node's links are only ever aggregated or joined; no task gathers
-them, and Spark splits the partition of a node with very many.
+them. What they are joined with is written first, so that Spark can split the links of a node with
+very many.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ from riskloom.session import stage
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    least = stage(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = stage(down.groupBy("u").agg(F.min("v").alias("m")))
     moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     kept = least.select("u", F.col("m").alias("v"))
     return moved.unionByName(kept).filter("u <> v")
