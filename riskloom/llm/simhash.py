@@ -174,15 +174,27 @@ def _met(classes: DataFrame, count: int, turn: int) -> DataFrame:
     return met.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
 
 
+def _near(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+    """Of the pairs ``a, b`` those whose shingle sets share at least ``least`` of what is in either."""
+    first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
+    second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    every = F.size("x") + F.size("y") - both
+    near = F.when(every == 0, True).otherwise(both >= least * every)
+    return pairs.join(first, "a").join(second, "b").filter(near).select("a", "b").distinct()
+
+
 def copies(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2, count: int = 8) -> DataFrame:
-    """``doc_id`` of every document that is near another with a smaller id.
+    """``doc_id`` of every document that is not the smallest id of its group.
+
+    A group is what near pairs connect, however long the chain.
 
     Near means that at least 0.8 of the distinct five-word shingles of both are in both. Such texts
     differ in more bits than ``links`` looks for, so here several fingerprints of shorter shingles
     are made, documents meet when they pass the two-segment chain in any of them, and the shingle
-    sets decide. In each turn documents meet the centres of their buckets; of a near pair the larger
-    id goes. Later turns take other centres, among those that met another, and the last is one in
-    which none went.
+    sets decide. In each turn documents meet the centres of their buckets, and near pairs are kept as
+    links. Later turns take other centres, among those that met another, and the last is one without
+    a new link.
     """
     named = [f"f{i}" for i in range(count)]
     prints = stage(fingerprints(docs, features, count).na.drop(subset=["doc_id"]))
@@ -193,21 +205,17 @@ def copies(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2
     known = docs.select(F.col("doc_id").cast("long"), "text")
     # These grow with the documents, so they are merged at any size and never broadcast.
     sets = stage(shingle_sets(known.join(involved.hint("merge"), "doc_id", "left_semi"), size)).hint("merge")
-    gone, tested, turn = None, pairs, 0
+    linked, tested, turn = None, pairs, 0
     while True:
-        first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-        second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        every = F.size("x") + F.size("y") - both
-        near = F.when(every == 0, True).otherwise(both >= least * every)
-        new = stage(pairs.join(first, "a").join(second, "b").filter(near).select(F.col("b").alias("doc_id")).distinct())
-        gone = new if gone is None else stage(gone.unionByName(new))
+        new = stage(_near(pairs, sets, least))
+        linked = new if linked is None else linked.unionByName(new)
         if turn and new.isEmpty():
-            return gone.distinct()
+            break
         turn += 1
-        left = stage(classes.join(involved, "doc_id", "left_semi").join(gone, "doc_id", "left_anti"))
-        pairs = stage(_met(left, count, turn).join(tested, ["a", "b"], "left_anti"))
+        pairs = stage(_met(classes.join(involved, "doc_id", "left_semi"), count, turn).join(tested, ["a", "b"], "left_anti"))
         tested = tested.unionByName(pairs)
+    groups = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    return groups.filter("node <> component").select(F.col("node").alias("doc_id"))
 
 
 def deduplicate(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2, count: int = 8) -> DataFrame:

@@ -115,6 +115,25 @@ def test_near_copies_go_and_others_stay(spark):
     assert kept == set(groups.values())
 
 
+def edited(words, places, mark):
+    """With the words at these places changed; four of 250 leave a similarity of 0.85, eight 0.72."""
+    return [f"{mark}{i}" if i in places else w for i, w in enumerate(words)]
+
+
+def test_one_of_a_star_and_one_of_a_chain_stays(spark):
+    """Edits of a base with the largest id, and revisions that drift away from the first."""
+    star, chain = prose(77, 250, 5000).split(), [prose(78, 250, 5000).split()]
+    texts = {i: edited(star, range(10 + 12 * i, 250, 62), f"e{i}x") for i in (1, 2, 3, 4)} | {9: star}
+    for i in range(4):
+        chain.append(edited(chain[-1], range(13 + 14 * i, 250, 62), f"r{i}x"))
+    texts |= dict(zip((21, 25, 22, 24, 23), chain))
+    rows = [(i, " ".join(w), "en", "a", 1) for i, w in texts.items()]
+    sets = {r[0]: set(shingles(r[1], 5)) for r in rows}
+    near = {(a, b) for a, b in combinations(sorted(sets), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert near == {(1, 9), (2, 9), (3, 9), (4, 9), (21, 25), (22, 25), (22, 24), (23, 24)}
+    assert {r.doc_id for r in simhash.deduplicate(docs(spark, rows)).collect()} == {1, 21}
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert simhash.near_groups(none).collect() == []
