@@ -17,6 +17,7 @@ its own kind; repeated rows give repeated results; an empty table gives an empty
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,8 @@ from riskloom.session import stage
 SEGMENTS, WIDTH = 4, 16
 MOST_BITS = 3
 HASH_SEED = 42
+SLACK = 1e-9  # for products with a threshold that are not whole in binary
+FEW = 8  # pairs a row, up to which all are tested at once
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -156,24 +159,111 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(convert, "doc_id long, shingles array<long>")
 
 
-def _met(classes: DataFrame, count: int, turn: int) -> DataFrame:
+def _met(classes: DataFrame, count: int) -> DataFrame:
     """Pairs ``a, b`` of ids: each document with the centre of each bucket its chain keys reach.
 
     A bucket holds the documents with one chain key of one fingerprint; its centre is the smallest
-    id, or in later turns the first in another order. So pairs follow the number of documents, not
-    the squares of the buckets' sizes.
+    id. So pairs follow the number of documents, not the squares of the buckets' sizes.
     """
     each = classes.select("doc_id", F.posexplode(F.array(*[f"f{i}" for i in range(count)])).alias("which", "fp"))
     seeded = F.col("_key") + F.shiftleft(F.col("which").cast("long"), 2 * WIDTH + 2)
-    centre = F.min("doc_id") if turn == 0 else F.min_by("doc_id", F.xxhash64("doc_id", F.lit(turn)))
     centres = stage(
         ring_keys(each, "fp", near=False).groupBy(seeded.alias("_key"))
-        .agg(centre.alias("centre")))
+        .agg(F.min("doc_id").alias("centre")))
     probes = ring_keys(each, "fp", near=True).select("doc_id", seeded.alias("_key"))
     met = probes.join(centres, "_key").filter("doc_id <> centre")
     return met.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
 
 
+def _ranks(docs: DataFrame, size: int) -> np.ndarray:
+    """An order of shingles by the 16 highest bits of their hashes, those of common shingles last."""
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << WIDTH, np.int64)
+        for batch in batches:
+            for text in batch.column(1):
+                top = np.unique(shingle_hashes(text.as_py(), size)) >> np.uint64(64 - WIDTH)
+                np.add.at(counts, top.astype(np.int64), 1)
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], names=["top", "n"])
+
+    found = docs.mapInArrow(convert, "top int, n long").groupBy("top").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << WIDTH, np.int64)
+    counts[found["top"].to_numpy()] = found["n"].to_numpy()
+    ranks = np.empty(1 << WIDTH, np.uint32)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(1 << WIDTH, dtype=np.uint32)
+    return ranks
+
+
+def prefixes(docs: DataFrame, size: int, least: float) -> DataFrame:
+    """``key, doc_id, n, at, short``: of each text's ``n`` shingles the first in a common order.
+
+    Two sets that share ``least`` of what is in either have their first common shingle within the
+    first n - ceil(least n) + 1 of the larger one and, marked ``short``, the first
+    n - ceil(2 least / (1 + least) n) + 1 of the smaller one. So every near pair has a key in common.
+    Only keys of several documents are returned.
+    """
+    ranks = _ranks(docs, size)
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, ids, sizes, places, short = [], [], [], [], []
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                hashes = np.unique(shingle_hashes(text.as_py(), size))
+                n = len(hashes)
+                if not n:
+                    continue
+                first = n - math.ceil(least * n - SLACK) + 1
+                order = np.lexsort((hashes, ranks[(hashes >> np.uint64(64 - WIDTH)).astype(np.int64)]))[:first]
+                keys.append(hashes[order].view(np.int64))
+                ids.append(np.full(len(order), doc_id, np.int64))
+                sizes.append(np.full(len(order), n, np.int32))
+                places.append(np.arange(len(order), dtype=np.int32))
+                short.append(places[-1] <= n - math.ceil(2 * least / (1 + least) * n - SLACK))
+            if keys:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c)) for c in (keys, ids, sizes, places, short)],
+                    names=["key", "doc_id", "n", "at", "short"])
+
+    rows = docs.mapInArrow(convert, "key long, doc_id long, n int, at int, short boolean")
+    several = rows.groupBy("key").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.max("short").alias("any_short"))
+    several = stage(several.filter("low < high and any_short").select("key"))
+    return stage(rows.join(several.hint("merge"), "key", "left_semi"))
+
+
+def _open_keys(placed: DataFrame) -> DataFrame:
+    """``key, members, pairs``: the keys that several groups share, and the pairs across groups."""
+    per_group = placed.groupBy("key", "component").agg(F.count("*").cast("double").alias("m"))
+    return per_group.groupBy("key").agg(
+        F.sum("m").alias("members"), (0.5 * (F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m")))).alias("pairs"),
+        F.count("*").alias("groups")).filter("groups > 1")
+
+
+def _candidates(rows: DataFrame, others: DataFrame, least: float) -> DataFrame:
+    """Pairs ``a, b`` across groups that share a key, without those whose sizes and places rule out
+    that it is the first shingle that near texts share."""
+    x = rows.select("key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("component").alias("c_a"))
+    y = others.select("key", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("component").alias("c_b"))
+    sizes = F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - SLACK
+    after = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    places = after >= least / (1 + least) * (F.col("n_a") + F.col("n_b")) - SLACK
+    return x.join(y, "key").filter((F.col("c_a") != F.col("c_b")) & sizes & places)
+
+
+def _each_with_centre(rows: DataFrame, least: float, turn: int) -> DataFrame:
+    """Each document with one of every key it has, another one in every turn."""
+    member = F.struct("doc_id", "n", "at", "component")
+    centres = stage(rows.groupBy("key").agg(F.min_by(member, F.xxhash64("doc_id", "key", F.lit(turn))).alias("c")).select("key", "c.*"))
+    return _candidates(rows, centres, least)
+
+
+def _each_with_each(rows: DataFrame, least: float) -> DataFrame:
+    """All pairs under a key, the smaller set by its short prefix."""
+    smaller = F.struct("n_b", "b") < F.struct("n_a", "a")
+    return _candidates(rows, rows.filter("short"), least).filter(smaller)
+
+
 def _near(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """Of the pairs ``a, b`` those whose shingle sets share at least ``least`` of what is in either."""
     first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
@@ -189,32 +279,43 @@ def copies(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2
 
     A group is what near pairs connect, however long the chain.
 
-    Near means that at least 0.8 of the distinct five-word shingles of both are in both. Such texts
-    differ in more bits than ``links`` looks for, so here several fingerprints of shorter shingles
-    are made, documents meet when they pass the two-segment chain in any of them, and the shingle
-    sets decide. In each turn documents meet the centres of their buckets, and near pairs are kept as
-    links. Later turns take other centres, among those that met another, and the last is one without
-    a new link.
+    Near means that at least 0.8 of the distinct five-word shingles of both are in both. First
+    several fingerprints of shorter shingles are made, and documents meet the centres of the buckets
+    that their two-segment chains reach; the shingle sets decide, near pairs are links. That joins
+    most copies, but not every near pair passes the chain or meets as a centre. So documents then
+    meet by ``prefixes``, which miss none: a key is done when all its documents are in one group.
+    While the pairs left are many and each turn halves them, documents meet one centre per key; then
+    every pair left is tested, or ruled out by sizes and places.
     """
     named = [f"f{i}" for i in range(count)]
     prints = stage(fingerprints(docs, features, count).na.drop(subset=["doc_id"]))
     classes = stage(prints.groupBy(*named).agg(F.min("doc_id").alias("doc_id")))
     alike = prints.join(classes.withColumnRenamed("doc_id", "a"), named).select("a", F.col("doc_id").alias("b")).filter("a <> b")
-    pairs = stage(alike.unionByName(_met(classes, count, 0)).distinct())
-    involved = stage(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    known = docs.select(F.col("doc_id").cast("long"), "text")
+    pairs = stage(alike.unionByName(_met(classes, count)).distinct())
+    known = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
+    shared = prefixes(known, size, least)
     # These grow with the documents, so they are merged at any size and never broadcast.
-    sets = stage(shingle_sets(known.join(involved.hint("merge"), "doc_id", "left_semi"), size)).hint("merge")
-    linked, tested, turn = None, pairs, 0
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(shared.select("doc_id")).distinct()
+    sets = stage(shingle_sets(known.join(stage(involved).hint("merge"), "doc_id", "left_semi"), size)).hint("merge")
+    linked, tested, turn, before = stage(_near(pairs, sets, least)), pairs, 0, None
     while True:
-        new = stage(_near(pairs, sets, least))
-        linked = new if linked is None else linked.unionByName(new)
-        if turn and new.isEmpty():
+        groups = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        placed = stage(shared.join(groups.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left")
+                       .withColumn("component", F.coalesce("component", "doc_id")))
+        keys = stage(_open_keys(placed))
+        left, members = keys.agg(F.sum("pairs"), F.sum("members")).first()
+        if not left:
+            break
+        rows = stage(placed.join(keys, "key", "left_semi"))
+        last = left <= FEW * members or (before is not None and left > before / 2)
+        found = _each_with_each(rows, least) if last else _each_with_centre(rows, least, turn)
+        found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = stage(found.join(tested, ["a", "b"], "left_anti"))
+        linked = linked.unionByName(stage(_near(pairs, sets, least)))
+        if last:
+            groups = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
             break
-        turn += 1
-        pairs = stage(_met(classes.join(involved, "doc_id", "left_semi"), count, turn).join(tested, ["a", "b"], "left_anti"))
-        tested = tested.unionByName(pairs)
-    groups = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        tested, turn, before = tested.unionByName(pairs), turn + 1, left
     return groups.filter("node <> component").select(F.col("node").alias("doc_id"))
 
 

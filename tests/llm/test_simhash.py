@@ -134,6 +134,20 @@ def test_one_of_a_star_and_one_of_a_chain_stays(spark):
     assert {r.doc_id for r in simhash.deduplicate(docs(spark, rows)).collect()} == {1, 21}
 
 
+def test_near_pairs_among_many_similar_texts(spark):
+    """One word repeated turns most bits of all fingerprints alike, so all share the same buckets."""
+    texts = {}
+    for g in range(40):
+        words = prose(500 + g, 240, 5000).split()
+        texts[g], texts[100 + (17 * g) % 40] = words, edited(words, range(5 + g % 50, 240, 62), f"e{g}x")
+    rows = [(i, " ".join(w + ["z"] * 31), "en", "a", 1) for i, w in texts.items()]
+    sets = {r[0]: set(shingles(r[1], 5)) for r in rows}
+    near = {(a, b) for a, b in combinations(sorted(sets), 2) if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert len(near) == 40
+    gone = [r.doc_id for r in simhash.copies(docs(spark, rows), count=1).collect()]
+    assert sorted(gone) == sorted(b for _, b in near)
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert simhash.near_groups(none).collect() == []
