@@ -159,13 +159,32 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(convert, "doc_id long, shingles array<long>")
 
 
-def _met(classes: DataFrame, count: int) -> DataFrame:
+def _prints(docs: DataFrame, size: int, features: int, count: int) -> DataFrame:
+    """``doc_id, prints, digest``: each row's fingerprints, and 128 bits of its shingle set."""
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for batch in batches:
+            prints, digests = [], []
+            for text in batch.column(1):
+                hashes = shingle_hashes(text.as_py(), features)
+                prints.append([majority_bits(remixed(hashes, i)) for i in range(count)])
+                digests.append(xxhash.xxh3_128_digest(np.unique(shingle_hashes(text.as_py(), size)).tobytes()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(prints, pa.list_(pa.int64())), pa.array(digests, pa.binary())],
+                names=["doc_id", "prints", "digest"])
+
+    return docs.mapInArrow(convert, "doc_id long, prints array<long>, digest binary")
+
+
+def _met(classes: DataFrame) -> DataFrame:
     """Pairs ``a, b`` of ids: each document with the centre of each bucket its chain keys reach.
 
     A bucket holds the documents with one chain key of one fingerprint; its centre is the smallest
     id. So pairs follow the number of documents, not the squares of the buckets' sizes.
     """
-    each = classes.select("doc_id", F.posexplode(F.array(*[f"f{i}" for i in range(count)])).alias("which", "fp"))
+    each = classes.select("doc_id", F.posexplode("prints").alias("which", "fp"))
     seeded = F.col("_key") + F.shiftleft(F.col("which").cast("long"), 2 * WIDTH + 2)
     centres = stage(
         ring_keys(each, "fp", near=False).groupBy(seeded.alias("_key"))
@@ -279,7 +298,8 @@ def copies(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2
 
     A group is what near pairs connect, however long the chain.
 
-    Near means that at least 0.8 of the distinct five-word shingles of both are in both. First
+    Near means that at least 0.8 of the distinct five-word shingles of both are in both. Texts with
+    one shingle set are represented by the smallest id; all sets take part in what follows. First
     several fingerprints of shorter shingles are made, and documents meet the centres of the buckets
     that their two-segment chains reach; the shingle sets decide, near pairs are links. That joins
     most copies, but not every near pair passes the chain or meets as a centre. So documents then
@@ -287,17 +307,18 @@ def copies(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2
     While the pairs left are many and each turn halves them, documents meet one centre per key; then
     every pair left is tested, or ruled out by sizes and places.
     """
-    named = [f"f{i}" for i in range(count)]
-    prints = stage(fingerprints(docs, features, count).na.drop(subset=["doc_id"]))
-    classes = stage(prints.groupBy(*named).agg(F.min("doc_id").alias("doc_id")))
-    alike = prints.join(classes.withColumnRenamed("doc_id", "a"), named).select("a", F.col("doc_id").alias("b")).filter("a <> b")
-    pairs = stage(alike.unionByName(_met(classes, count)).distinct())
     known = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
-    shared = prefixes(known, size, least)
+    prints = stage(_prints(known, size, features, count))
+    classes = stage(prints.groupBy("digest").agg(F.min_by("prints", "doc_id").alias("prints"), F.min("doc_id").alias("doc_id")))
+    firsts = classes.select("digest", F.col("doc_id").alias("a")).hint("merge")
+    alike = stage(prints.join(firsts, "digest").select("a", F.col("doc_id").alias("b")).filter("a <> b").distinct())
+    repeats = stage(alike.select(F.col("b").alias("doc_id")).join(classes.hint("merge"), "doc_id", "left_anti").distinct())
+    pairs = stage(_met(classes))
+    shared = prefixes(known.join(repeats, "doc_id", "left_anti"), size, least)
     # These grow with the documents, so they are merged at any size and never broadcast.
     involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(shared.select("doc_id")).distinct()
     sets = stage(shingle_sets(known.join(stage(involved).hint("merge"), "doc_id", "left_semi"), size)).hint("merge")
-    linked, tested, turn, before = stage(_near(pairs, sets, least)), pairs, 0, None
+    linked, tested, turn, before = alike.unionByName(stage(_near(pairs, sets, least))), pairs, 0, None
     while True:
         groups = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
         placed = stage(shared.join(groups.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left")

@@ -148,6 +148,15 @@ def test_near_pairs_among_many_similar_texts(spark):
     assert sorted(gone) == sorted(b for _, b in near)
 
 
+def test_near_pair_with_the_fingerprints_of_a_smaller_id(spark):
+    """Half of each text is one word, so all fingerprints are that word pair's hash."""
+    texts = {i: prose(600 + i, 240, 5000).split() for i in range(1, 9)}
+    texts |= {20 + i: edited(texts[i], range(5 + i, 240, 62), f"e{i}x") for i in range(3, 9)}
+    rows = [(i, " ".join(w + ["z"] * 400), "en", "a", 1) for i, w in texts.items()]
+    assert len({r[1:] for r in simhash.fingerprints(docs(spark, rows), 2, 8).collect()}) == 1
+    assert {r.doc_id for r in simhash.deduplicate(docs(spark, rows)).collect()} == set(range(1, 9))
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert simhash.near_groups(none).collect() == []
