@@ -7,14 +7,15 @@ empty turns it lacks. Each of these costs a fixed amount, so what a turn can do
 costs between states, and a stretch of turns is the (min, +) product of its turns' tables.
 
 That product is associative, so a conversation of any length is never in one task: turns are cut
-into blocks by number, blocks into blocks of blocks. Costs are multiplied upwards until a
+into blocks by their place in the conversation, blocks into blocks of blocks. Costs are multiplied upwards until a
 conversation has one block; then the cheapest path's states are handed down, block by block, to the
-turns. Texts move once, with the last step. Conversations within one block need that step only.
+turns. Conversations within one block need the last step only; the texts of longer ones are sorted
+first, as turns with equal numbers follow by text.
 
 Defined results: role names are compared without case and outer white space; any other role, or
 none, must be given a role or merged; a null text renders as empty; a null turn number comes last,
 a null ``conv_id`` is a conversation of its own; turns with equal numbers follow by role and text
-(a block holds all of them); of several cheapest repairs one is chosen by a fixed order; an empty
+(any number of them, in as many blocks as it takes); of several cheapest repairs one is chosen by a fixed order; an empty
 table gives an empty one; other columns are ignored.
 """
 
@@ -27,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskloom.llm.common import numbered
 from riskloom.session import stage
 
 BLOCK_BITS = 9
@@ -113,15 +115,24 @@ def _above(block: str) -> Column:
 def _products(rows: DataFrame) -> DataFrame:
     """Rows ``conv_id, above, at, cost`` to ``conv_id, at, cost``: the tables of a block, multiplied."""
 
+    def made(key: tuple, table: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([key[0]], pa.int64()), pa.array([key[1]], pa.int64()),
+             pa.array([table.ravel()], pa.list_(pa.float64()))], names=["conv_id", "at", "cost"])
+
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (conv, block), group in _groups(batches, 2):
-            table = None
-            for _, cost in group:
+        key, table = None, None
+        for batch in batches:
+            for conv, block, _, cost in zip(*[c.to_pylist() for c in batch.columns]):
                 own = np.array(cost).reshape(4, 4)
-                table = own if table is None else _times(table, own)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([conv], pa.int64()), pa.array([block], pa.int64()),
-                 pa.array([table.ravel()], pa.list_(pa.float64()))], names=["conv_id", "at", "cost"])
+                if table is not None and (conv, block) == key:
+                    table = _times(table, own)
+                    continue
+                if table is not None:
+                    yield made(key, table)
+                key, table = (conv, block), own
+        if table is not None:
+            yield made(key, table)
 
     dealt = rows.select("conv_id", "above", "at", "cost").repartition("conv_id", "above")
     ordered = dealt.sortWithinPartitions("conv_id", "above", "at")
@@ -148,15 +159,36 @@ def _handed_down(parents: DataFrame, children: DataFrame) -> DataFrame:
         convert, "conv_id long, at long, entry int, leave int, last boolean")
 
 
-def _block_paths(turns: DataFrame) -> DataFrame | None:
-    """``conv_id, at, entry, leave, last`` per block of the conversations with several; or None."""
-    spread = turns.groupBy("conv_id").agg(F.min("above").alias("low"), F.max("above").alias("high"))
-    several = stage(spread.filter("low <> high").select(F.col("conv_id").alias("long_conv")))
+def _same(turns: DataFrame, conv: str) -> Column:
+    return turns["conv_id"].eqNullSafe(F.col(conv))
+
+
+def in_blocks(turns: DataFrame, block_bits: int) -> tuple[DataFrame, DataFrame | None]:
+    """The turns with ``above``, their block, and ``at``, their order in it; and those of the
+    conversations with several blocks alone, or None.
+
+    No block has more than 2^block_bits rows: those of a longer conversation are cut by the row's
+    place in it, which a range sort over all such rows gives.
+    """
+    counts = turns.groupBy("conv_id").agg(F.count("*").alias("n"))
+    several = stage(counts.filter(F.col("n") > 1 << block_bits).select(F.col("conv_id").alias("long_conv")))
+    whole = lambda rows: rows.withColumns({"at": F.col("number"), "above": F.lit(0).cast("long")})
     if several.isEmpty():
-        return None
+        return whole(turns), None
+    long_ones = turns.join(several, _same(turns, "long_conv"), "left_semi").withColumn("_tie", F.monotonically_increasing_id())
+    placed = stage(numbered(long_ones, *map(F.col, ("conv_id", "number", "role", "text", "_tie"))).drop("_tie"))
+    first = stage(placed.groupBy(F.col("conv_id").alias("long_conv")).agg(F.min("place").alias("low")))
+    at = F.col("place") - F.col("low")
+    cut = placed.join(first, _same(placed, "long_conv")).withColumns(
+        {"at": at, "above": F.shiftrightunsigned(at, block_bits)}).drop("place", "low", "long_conv")
+    rest = turns.join(several, _same(turns, "long_conv"), "left_anti")
+    return whole(rest).unionByName(cut), cut
+
+
+def _block_paths(turns: DataFrame) -> DataFrame:
+    """``conv_id, at, entry, leave, last`` per block of conversations with several."""
     tables = F.array(*[F.array(*[F.lit(float(c)) for c in COSTS[k].ravel()]) for k in range(4)])
-    long_ones = turns.join(several, F.col("conv_id").eqNullSafe(F.col("long_conv")), "left_semi")
-    base = long_ones.select("conv_id", "above", F.col("number").alias("at"), F.get(tables, "kind").alias("cost"))
+    base = turns.select("conv_id", "above", "at", F.get(tables, "kind").alias("cost"))
     levels = [stage(_products(base).withColumn("above", _above("at")))]
     while not levels[-1].groupBy("conv_id").count().filter("count > 1").isEmpty():
         levels.append(stage(_products(levels[-1]).withColumn("above", _above("at"))))
@@ -175,16 +207,15 @@ def repair(conversations: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
     ``inserted`` lists the empty turns before this one (after it, for what ends a conversation, is
     in ``appended``). The ``rendered`` pieces of a conversation, joined in order, are its text.
     """
-    number = F.coalesce(F.col("turn").cast("long"), F.lit(2**63 - 1)).bitwiseXOR(F.lit(-(2**63)))
+    number = F.coalesce(F.col("turn").cast("long"), F.lit(2**63 - 1))
     turns = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role",
         F.coalesce("text", F.lit("")).alias("text"), number.alias("number"), _kind(F.col("role")).alias("kind"))
-    turns = turns.withColumn("above", F.shiftrightunsigned("number", block_bits))
-    paths = _block_paths(turns.select("conv_id", "number", "kind", "above"))
-    if paths is None:
+    turns, long_ones = in_blocks(turns, block_bits)
+    if long_ones is None:
         known = turns.withColumns({"entry": F.lit(START), "leave": F.lit(None).cast("int"), "last": F.lit(True)})
     else:
-        p = paths.select(F.col("conv_id").alias("p_conv"), F.col("at").alias("p_at"), "entry", "leave", "last")
+        p = _block_paths(long_ones).select(F.col("conv_id").alias("p_conv"), F.col("at").alias("p_at"), "entry", "leave", "last")
         joined = turns.join(p, F.col("conv_id").eqNullSafe(F.col("p_conv")) & (F.col("above") == F.col("p_at")), "left")
         known = joined.withColumns({"entry": F.coalesce("entry", F.lit(START)), "last": F.coalesce("last", F.lit(True))})
 
@@ -210,8 +241,8 @@ def repair(conversations: DataFrame, block_bits: int = BLOCK_BITS) -> DataFrame:
         if out["turn"]:
             yield _batch(out)
 
-    rows = known.select("conv_id", "above", "turn", "role", "kind", "text", "entry", "leave", "last", "number")
-    dealt = rows.repartition("conv_id", "above").sortWithinPartitions("conv_id", "above", "number", "role", "text").drop("number")
+    rows = known.select("conv_id", "above", "turn", "role", "kind", "text", "entry", "leave", "last", "at")
+    dealt = rows.repartition("conv_id", "above").sortWithinPartitions("conv_id", "above", "at", "role", "text").drop("at")
     return dealt.mapInArrow(convert, (
         "conv_id long, turn long, role string, new_role string, action string, inserted array<string>, "
         "appended array<string>, cost double, rendered string"))

@@ -158,3 +158,20 @@ def test_awkward_turns(spark):
     assert Counter(r.action for r in by[7]) == {"relabel": 1} and by[7][0].cost == 5
     assert sum(r.cost for r in by[5]) == 0  # equal turns follow by role: a space comes first
     assert chat.repair(spark.createDataFrame([], TURNS)).collect() == []
+
+
+def test_equal_turn_numbers_are_cut_into_blocks(spark):
+    """Many turns with null or equal numbers, of no conversation and of one, in blocks of four."""
+    rows = [(c, t, NAMES[i % 2], f"text {i:03}") for c, t in ((None, None), (None, 3), (7, 3)) for i in range(40)]
+    table = spark.createDataFrame(rows + [(8, 0, "user", "a")], TURNS).repartition(5)
+    turns = table.withColumns({"number": F.coalesce("turn", F.lit(99)), "kind": F.lit(2)})
+    blocks, _ = chat.in_blocks(turns, 2)
+    sizes = [r["count"] for r in blocks.groupBy("conv_id", "above").count().collect()]
+    assert max(sizes) == 4 and sum(sizes) == 121
+    by = defaultdict(list)
+    for r in chat.repair(table, 2).collect():
+        by[r.conv_id].append(r)
+    assert {c: len(v) for c, v in by.items()} == {None: 80, 7: 40, 8: 1}
+    for c, turns in by.items():
+        turns.sort(key=lambda r: (r.turn is None, r.turn, r.role, r.rendered.split("text ")[-1]))
+        assert sum(r.cost for r in turns) == least_cost(tuple(r.role for r in turns))
