@@ -4,7 +4,7 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.join(ROOT, "tests")]
 
 from riskloom.session import local_session  # noqa: E402
 
@@ -21,9 +21,3 @@ def spark():
 @pytest.fixture(scope="session")
 def folder():
     return SMALL
-
-
-def rows(df, *order):
-    """Collected rows as tuples, sorted."""
-    got = [tuple(r) for r in (df.select(*order) if order else df).collect()]
-    return sorted(got, key=lambda t: tuple((v is None, str(type(v)), v) for v in t))

@@ -2,7 +2,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from riskloom.functions.columns import half_even
 from riskloom.operators import clean as c
 from riskloom.operators.profile import data_dictionary, describe, null_profile, profile

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from conftest import rows
+from helpers import rows
 from riskloom.operators import evaluate as ev
 from riskloom.operators.ranking import ranked_scores
 

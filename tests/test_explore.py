@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from riskloom.operators import explore as e
 
 

@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from riskloom.functions.risk import risk_band, risk_factors
 from riskloom.operators import models, prepare as prep, score
 from riskloom.plans import dashboard, data_quality, modelling

@@ -3,7 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from riskloom.operators.prepare import hash_split, stratified_split
 from riskloom.operators.selection import UnusableKey, mark_selected, proportional_quota, share_quota
 from riskloom.spec import RoleSpec
