@@ -9,15 +9,17 @@ the bit unset). What meets under a key must pass the longer chains, the last of
 Hamming check. Only distinct fingerprints are joined; a pair under 32 bits of key meets by chance
 once in four billion, so work follows the number of texts, and a group of copies is one fingerprint.
 
+Components are those of the fingerprints; a component's id is the smallest document id in it.
+
 Defined results: upper-case A to Z count as lower case; a null or empty text, or one of white space
 only, has fingerprint 0, which links like any other; a text with fewer words than a shingle has one
-shingle, all its words; a document with a null id links others but is the smallest id of none but
-its own kind; repeated rows give repeated results; an empty table gives an empty one.
+shingle, all its words; a document with a null id links others and gets their component's id, which
+is null where all ids are null; repeated rows give repeated results; an empty table gives an empty
+one.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +33,6 @@ from riskloom.session import stage
 SEGMENTS, WIDTH = 4, 16
 MOST_BITS = 3
 HASH_SEED = 42
-SLACK = 1e-9  # for products with a threshold that are not whole in binary
-FEW = 8  # pairs a row, up to which all are tested at once
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -64,30 +64,15 @@ def majority_bits(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def remixed(hashes: np.ndarray, number: int) -> np.ndarray:
-    """The hashes for a further, independent fingerprint; number 0 leaves them as they are."""
-    if number == 0:
-        return hashes
-    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64((0x9E3779B97F4A7C15 * (2 * number + 1)) % 2**64)
-    return mixed ^ (mixed >> np.uint64(29))
-
-
-def fingerprints(docs: DataFrame, size: int = 3, count: int = 1) -> DataFrame:
-    """``doc_id, f0, f1, ...``: each row's fingerprints as signed 64-bit numbers."""
-    names = [f"f{i}" for i in range(count)]
+def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
+    """``doc_id, fp``: each row's fingerprint as a signed 64-bit number."""
 
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[] for _ in names]
-            for text in batch.column(1):
-                hashes = shingle_hashes(text.as_py(), size)
-                for i, column in enumerate(found):
-                    column.append(majority_bits(remixed(hashes, i)))
-            columns = [batch.column(0), *[pa.array(c, pa.int64()) for c in found]]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", *names])
+            found = [majority_bits(shingle_hashes(text.as_py(), size)) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
 
-    schema = ", ".join(["doc_id long", *[f"{n} long" for n in names]])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(convert, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(convert, "doc_id long, fp long")
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -136,214 +121,25 @@ def links(distinct: DataFrame, fp: str = "fp") -> DataFrame:
 
 def near_groups(docs: DataFrame, size: int = 3) -> DataFrame:
     """``doc_id, fp, component_id`` per row; the component is the smallest id reachable by links."""
-    printed = stage(fingerprints(docs, size).withColumnRenamed("f0", "fp"))
-    classes = stage(printed.groupBy("fp").agg(F.min("doc_id").alias("node")))
-    first = classes.select(F.col("fp").alias("a"), F.col("node").alias("u"))
-    second = classes.select(F.col("fp").alias("b"), F.col("node").alias("v"))
-    edges = links(classes).join(first, "a").join(second, "b").select("u", "v").na.drop()
-    found = components(edges)
-    labelled = classes.join(found, "node", "left").select(
-        "fp", F.coalesce("component", "node").alias("component_id"))
-    return printed.join(labelled, "fp").select("doc_id", "fp", "component_id")
-
+    return grouped(stage(fingerprints(docs, size)))
 
-def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, shingles``: the distinct shingle hashes of each text."""
-
-    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t.as_py(), size)).view(np.int64) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(convert, "doc_id long, shingles array<long>")
-
-
-def _prints(docs: DataFrame, size: int, features: int, count: int) -> DataFrame:
-    """``doc_id, prints, digest``: each row's fingerprints, and 128 bits of its shingle set."""
-
-    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        for batch in batches:
-            prints, digests = [], []
-            for text in batch.column(1):
-                hashes = shingle_hashes(text.as_py(), features)
-                prints.append([majority_bits(remixed(hashes, i)) for i in range(count)])
-                digests.append(xxhash.xxh3_128_digest(np.unique(shingle_hashes(text.as_py(), size)).tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(prints, pa.list_(pa.int64())), pa.array(digests, pa.binary())],
-                names=["doc_id", "prints", "digest"])
+def grouped(printed: DataFrame) -> DataFrame:
+    """The same from rows ``doc_id, fp``, which are read several times."""
+    classes = stage(printed.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    found = components(links(classes).select(F.col("a").alias("u"), F.col("b").alias("v")))
+    root = F.coalesce("component", "fp").alias("root")
+    rooted = classes.join(found, F.col("fp") == F.col("node"), "left").select("fp", "first", root)
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return printed.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
-    return docs.mapInArrow(convert, "doc_id long, prints array<long>, digest binary")
 
+def deduplicate(docs: DataFrame, size: int = 3) -> DataFrame:
+    """One document of each component stays, with all its columns: the one with the smallest id.
 
-def _met(classes: DataFrame) -> DataFrame:
-    """Pairs ``a, b`` of ids: each document with the centre of each bucket its chain keys reach.
-
-    A bucket holds the documents with one chain key of one fingerprint; its centre is the smallest
-    id. So pairs follow the number of documents, not the squares of the buckets' sizes.
-    """
-    each = classes.select("doc_id", F.posexplode("prints").alias("which", "fp"))
-    seeded = F.col("_key") + F.shiftleft(F.col("which").cast("long"), 2 * WIDTH + 2)
-    centres = stage(
-        ring_keys(each, "fp", near=False).groupBy(seeded.alias("_key"))
-        .agg(F.min("doc_id").alias("centre")))
-    probes = ring_keys(each, "fp", near=True).select("doc_id", seeded.alias("_key"))
-    met = probes.join(centres, "_key").filter("doc_id <> centre")
-    return met.select(F.least("doc_id", "centre").alias("a"), F.greatest("doc_id", "centre").alias("b")).distinct()
-
-
-def _ranks(docs: DataFrame, size: int) -> np.ndarray:
-    """An order of shingles by the 16 highest bits of their hashes, those of common shingles last."""
-
-    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << WIDTH, np.int64)
-        for batch in batches:
-            for text in batch.column(1):
-                top = np.unique(shingle_hashes(text.as_py(), size)) >> np.uint64(64 - WIDTH)
-                np.add.at(counts, top.astype(np.int64), 1)
-        at = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts[at])], names=["top", "n"])
-
-    found = docs.mapInArrow(convert, "top int, n long").groupBy("top").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(1 << WIDTH, np.int64)
-    counts[found["top"].to_numpy()] = found["n"].to_numpy()
-    ranks = np.empty(1 << WIDTH, np.uint32)
-    ranks[np.argsort(counts, kind="stable")] = np.arange(1 << WIDTH, dtype=np.uint32)
-    return ranks
-
-
-def prefixes(docs: DataFrame, size: int, least: float) -> DataFrame:
-    """``key, doc_id, n, at, short``: of each text's ``n`` shingles the first in a common order.
-
-    Two sets that share ``least`` of what is in either have their first common shingle within the
-    first n - ceil(least n) + 1 of the larger one and, marked ``short``, the first
-    n - ceil(2 least / (1 + least) n) + 1 of the smaller one. So every near pair has a key in common.
-    Only keys of several documents are returned.
-    """
-    ranks = _ranks(docs, size)
-
-    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, ids, sizes, places, short = [], [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                hashes = np.unique(shingle_hashes(text.as_py(), size))
-                n = len(hashes)
-                if not n:
-                    continue
-                first = n - math.ceil(least * n - SLACK) + 1
-                order = np.lexsort((hashes, ranks[(hashes >> np.uint64(64 - WIDTH)).astype(np.int64)]))[:first]
-                keys.append(hashes[order].view(np.int64))
-                ids.append(np.full(len(order), doc_id, np.int64))
-                sizes.append(np.full(len(order), n, np.int32))
-                places.append(np.arange(len(order), dtype=np.int32))
-                short.append(places[-1] <= n - math.ceil(2 * least / (1 + least) * n - SLACK))
-            if keys:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(c)) for c in (keys, ids, sizes, places, short)],
-                    names=["key", "doc_id", "n", "at", "short"])
-
-    rows = docs.mapInArrow(convert, "key long, doc_id long, n int, at int, short boolean")
-    several = rows.groupBy("key").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.max("short").alias("any_short"))
-    several = stage(several.filter("low < high and any_short").select("key"))
-    return stage(rows.join(several.hint("merge"), "key", "left_semi"))
-
-
-def _open_keys(placed: DataFrame) -> DataFrame:
-    """``key, members, pairs``: the keys that several groups share, and the pairs across groups."""
-    per_group = placed.groupBy("key", "component").agg(F.count("*").cast("double").alias("m"))
-    return per_group.groupBy("key").agg(
-        F.sum("m").alias("members"), (0.5 * (F.sum("m") * F.sum("m") - F.sum(F.col("m") * F.col("m")))).alias("pairs"),
-        F.count("*").alias("groups")).filter("groups > 1")
-
-
-def _candidates(rows: DataFrame, others: DataFrame, least: float) -> DataFrame:
-    """Pairs ``a, b`` across groups that share a key, without those whose sizes and places rule out
-    that it is the first shingle that near texts share."""
-    x = rows.select("key", F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("at").alias("at_a"), F.col("component").alias("c_a"))
-    y = others.select("key", F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("at").alias("at_b"), F.col("component").alias("c_b"))
-    sizes = F.least("n_a", "n_b") >= least * F.greatest("n_a", "n_b") - SLACK
-    after = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
-    places = after >= least / (1 + least) * (F.col("n_a") + F.col("n_b")) - SLACK
-    return x.join(y, "key").filter((F.col("c_a") != F.col("c_b")) & sizes & places)
-
-
-def _each_with_centre(rows: DataFrame, least: float, turn: int) -> DataFrame:
-    """Each document with one of every key it has, another one in every turn."""
-    member = F.struct("doc_id", "n", "at", "component")
-    centres = stage(rows.groupBy("key").agg(F.min_by(member, F.xxhash64("doc_id", "key", F.lit(turn))).alias("c")).select("key", "c.*"))
-    return _candidates(rows, centres, least)
-
-
-def _each_with_each(rows: DataFrame, least: float) -> DataFrame:
-    """All pairs under a key, the smaller set by its short prefix."""
-    smaller = F.struct("n_b", "b") < F.struct("n_a", "a")
-    return _candidates(rows, rows.filter("short"), least).filter(smaller)
-
-
-def _near(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
-    """Of the pairs ``a, b`` those whose shingle sets share at least ``least`` of what is in either."""
-    first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-    second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    every = F.size("x") + F.size("y") - both
-    near = F.when(every == 0, True).otherwise(both >= least * every)
-    return pairs.join(first, "a").join(second, "b").filter(near).select("a", "b").distinct()
-
-
-def copies(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2, count: int = 8) -> DataFrame:
-    """``doc_id`` of every document that is not the smallest id of its group.
-
-    A group is what near pairs connect, however long the chain.
-
-    Near means that at least 0.8 of the distinct five-word shingles of both are in both. Texts with
-    one shingle set are represented by the smallest id; all sets take part in what follows. First
-    several fingerprints of shorter shingles are made, and documents meet the centres of the buckets
-    that their two-segment chains reach; the shingle sets decide, near pairs are links. That joins
-    most copies, but not every near pair passes the chain or meets as a centre. So documents then
-    meet by ``prefixes``, which miss none: a key is done when all its documents are in one group.
-    While the pairs left are many and each turn halves them, documents meet one centre per key; then
-    every pair left is tested, or ruled out by sizes and places.
-    """
-    known = docs.select(F.col("doc_id").cast("long"), "text").filter("doc_id is not null")
-    prints = stage(_prints(known, size, features, count))
-    classes = stage(prints.groupBy("digest").agg(F.min_by("prints", "doc_id").alias("prints"), F.min("doc_id").alias("doc_id")))
-    firsts = classes.select("digest", F.col("doc_id").alias("a")).hint("merge")
-    alike = stage(prints.join(firsts, "digest").select("a", F.col("doc_id").alias("b")).filter("a <> b").distinct())
-    repeats = stage(alike.select(F.col("b").alias("doc_id")).join(classes.hint("merge"), "doc_id", "left_anti").distinct())
-    pairs = stage(_met(classes))
-    shared = prefixes(known.join(repeats, "doc_id", "left_anti"), size, least)
-    # These grow with the documents, so they are merged at any size and never broadcast.
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(shared.select("doc_id")).distinct()
-    sets = stage(shingle_sets(known.join(stage(involved).hint("merge"), "doc_id", "left_semi"), size)).hint("merge")
-    linked, tested, turn, before = alike.unionByName(stage(_near(pairs, sets, least))), pairs, 0, None
-    while True:
-        groups = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        placed = stage(shared.join(groups.withColumnRenamed("node", "doc_id").hint("merge"), "doc_id", "left")
-                       .withColumn("component", F.coalesce("component", "doc_id")))
-        keys = stage(_open_keys(placed))
-        left, members = keys.agg(F.sum("pairs"), F.sum("members")).first()
-        if not left:
-            break
-        rows = stage(placed.join(keys, "key", "left_semi"))
-        last = left <= FEW * members or (before is not None and left > before / 2)
-        found = _each_with_each(rows, least) if last else _each_with_centre(rows, least, turn)
-        found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = stage(found.join(tested, ["a", "b"], "left_anti"))
-        linked = linked.unionByName(stage(_near(pairs, sets, least)))
-        if last:
-            groups = components(linked.select(F.col("a").alias("u"), F.col("b").alias("v")))
-            break
-        tested, turn, before = tested.unionByName(pairs), turn + 1, left
-    return groups.filter("node <> component").select(F.col("node").alias("doc_id"))
-
-
-def deduplicate(docs: DataFrame, size: int = 5, least: float = 0.8, features: int = 2, count: int = 8) -> DataFrame:
-    """One document of each group of near copies stays, with all its columns: the smallest id.
-
-    Rows without an id stay; rows that share an id stay or go together.
+    Rows without an id stay; rows that share an id stay if one of them is to stay.
     """
-    gone = copies(docs, size, least, features, count).select(F.col("doc_id").alias("_id"))
+    found = near_groups(docs, size).filter("doc_id is not null")
+    stays = found.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    gone = stays.filter("not stays").select(F.col("doc_id").alias("_id"))
     return boxed(docs).join(gone, F.col("_row.doc_id") == F.col("_id"), "left_anti").select("_row.*")

@@ -4,73 +4,89 @@ A word's top four bits select how many numbers it holds and of how many bits eac
 an escape: its low bits are a place in the block's list of numbers too wide for any other. A block
 is encoded by itself and holds ``BLOCK`` numbers (the last may hold fewer), so decoding can start
 at any block; all words of a call are decoded at once, selector by selector.
+
+Defined results: numbers are unsigned and of up to 64 bits; no numbers make no words and no blocks;
+a number too wide for any selector, or one of too few left at a block's end, is escaped.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+from riskloom.llm.bytes_of import gathered
+
 BLOCK = 16_384
 ESCAPE = 15
 
 # Numbers per word and bits of each, by selector; a run of zeros takes no bits.
 COUNTS = (240, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2)
 BITS = (0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30)
-# One number of up to 60 bits is an escape's place in the list, so such numbers need no selector.
-_WIDTHS = np.arange(60, dtype=np.uint64)
+_LIMITS = np.array(sorted({1 << b for b in BITS}), np.uint64)  # a width is a number of limits reached
+_ORDER = [int(np.searchsorted(_LIMITS, (1 << b) - 1, "right")) for b in BITS]
+_STEPS = np.array([*COUNTS, 1], np.int64)
 
 
 def _selectors(values: np.ndarray) -> np.ndarray:
     """For each place, the selector of the word that would begin there: the one holding most."""
     n = len(values)
     chosen = np.full(n, ESCAPE, np.int8)
+    width = np.searchsorted(_LIMITS, values, "right").astype(np.uint8)
     for selector in range(len(COUNTS) - 1, -1, -1):
         count = COUNTS[selector]
-        wide = values >= np.uint64(1 << BITS[selector])
-        if count > n or n - np.count_nonzero(wide) < count:
+        fits = np.flatnonzero(width <= _ORDER[selector])
+        if len(fits) < count:
             continue
-        seen = np.zeros(n + 1, np.int32)
-        np.cumsum(wide, out=seen[1:])
-        chosen[: n - count + 1][seen[count:] == seen[: n - count + 1]] = selector
+        # In a run of numbers that fit, words begin where enough of the run is left.
+        breaks = np.flatnonzero(np.diff(fits) != 1) + 1
+        begin = np.concatenate([[0], breaks])
+        room = np.concatenate([breaks, [len(fits)]]) - begin - count + 1
+        own = room > 0
+        if own.any():
+            chosen[gathered(fits[begin[own]], room[own])] = selector
     # Near the end fewer numbers are left than any word holds: they go one per word.
     return chosen
 
 
-def encode_block(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The words of one block and its list of escaped numbers."""
+def _words_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of one block begin, and their selectors."""
+    chosen = _selectors(values)
+    # From each place the place of the next word; with each round twice as many words are known.
+    n = len(values)
+    jump = np.append(np.arange(n) + _STEPS[chosen], n)
+    first = np.zeros(1, np.int64)
+    while (new := jump[first])[-1] < n:
+        first, jump = np.concatenate([first, new]), jump[jump]
+    first = np.concatenate([first, new[new < n]])
+    return first, chosen[first]
+
+
+def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, escaped numbers, and per block where its numbers, words and escapes begin.
+
+    Words are found block by block and filled for all blocks at once, selector by selector.
+    """
     values = values.astype(np.uint64)
-    chosen = _selectors(values).tolist()
-    steps = [*COUNTS, 1]
-    starts, at, n = [], 0, len(values)
-    while at < n:
-        starts.append(at)
-        at += steps[chosen[at]]
-    first = np.array(starts, np.int64)
-    selector = np.array(chosen, np.int64)[first] if n else np.zeros(0, np.int64)
+    blocks = range(0, len(values), BLOCK)
+    found = [_words_of(values[at:at + BLOCK]) for at in blocks]
+    none = np.zeros(0, np.int64)
+    first = np.concatenate([none, *[f + at for (f, _), at in zip(found, blocks)]])
+    selector = np.concatenate([none.astype(np.int8), *[s for _, s in found]])
     words = selector.astype(np.uint64) << np.uint64(60)
     escaped = np.flatnonzero(selector == ESCAPE)
-    words[escaped] |= np.arange(len(escaped), dtype=np.uint64)
+    many = np.array([len(f) for f, _ in found], np.int64)
+    extras = np.array([np.count_nonzero(s == ESCAPE) for _, s in found], np.int64)
+    words[escaped] |= (np.arange(len(escaped)) - np.repeat(np.cumsum(extras) - extras, extras)).astype(np.uint64)
     for s in np.unique(selector).tolist():
         if s == ESCAPE or BITS[s] == 0:
             continue
         own = np.flatnonzero(selector == s)
+        at, filled = first[own], words[own]
         for i in range(COUNTS[s]):
-            words[own] |= values[first[own] + i] << np.uint64(BITS[s] * i)
-    return words, values[first[escaped]]
-
-
-def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words, escaped numbers, and per block where its numbers, words and escapes begin."""
-    words, extras, table, w, e = [], [], [], 0, 0
-    for at in range(0, len(values), BLOCK):
-        table.append((at, w, e))
-        a, b = encode_block(values[at:at + BLOCK])
-        words.append(a)
-        extras.append(b)
-        w, e = w + len(a), e + len(b)
-    table.append((len(values), w, e))
-    none = [np.zeros(0, np.uint64)]
-    return np.concatenate(words or none), np.concatenate(extras or none), np.array(table, np.int64)
+            filled |= values[at + i] << np.uint64(BITS[s] * i)
+        words[own] = filled
+    sums = [np.concatenate([[0], np.cumsum(x)]) for x in (many, extras)]
+    table = np.stack([np.array([*blocks, len(values)], np.int64), *sums], axis=1)
+    return words, values[first[escaped]], table
 
 
 def decode(words: np.ndarray, extras: np.ndarray, table: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:

@@ -3,8 +3,12 @@
 The merges are the slow part and most words come again, so each Python worker remembers the ids of
 the words it has met, up to a fixed number, and asks the tokenizer for the others. A text is cut
 where the tokenizer's own splitting pattern always cuts: at white space, and between letters and
-the punctuation after them. So the ids are those of the whole text. Texts that hold ``<|``, which
-may begin a special token, or unusual white space go to the tokenizer as they are.
+the punctuation after them. So the ids are those of the whole text. Arrow cuts the batch and finds
+its distinct pieces; ids are put together by numpy. Texts that hold ``<|``, which may begin a special
+token, or unusual white space go to the tokenizer as they are.
+
+Defined results: an empty text has no ids but the end; a null one must be filled in before; a text
+has the same ids in any batch, whatever the worker has met before.
 """
 
 from __future__ import annotations
@@ -12,15 +16,16 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, islice, repeat
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from riskloom.llm.bytes_of import gathered
+
 MOST_WORDS = 500_000
 
 # Punctuation that joins no letter before it; the apostrophe may begin a contraction.
@@ -38,6 +43,15 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+def _ends(texts: pa.Array, lengths: np.ndarray) -> pa.Array:
+    """The last bytes of each text, so many as given."""
+    _, offsets, body = texts.buffers()
+    stops = np.frombuffer(offsets, np.int32, len(texts) + 1, 4 * texts.offset)[1:].astype(np.int64)
+    data = np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
+    at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(at), pa.py_buffer(data[gathered(stops - lengths, lengths)]))
+
+
 class Encoder:
     """``Tokenizer.encode(text, add_special_tokens=False).ids`` for many texts."""
 
@@ -52,7 +66,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.most_words = most_words
         self.letters = _byte_letters()
-        self.pieces: dict[str, bytes] = {}
+        self.space = self.letters[32]
         self.slots: dict[str, int] = {}
         self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
@@ -61,51 +75,32 @@ class Encoder:
     def _direct(self, texts: list[str]) -> list[list[int]]:
         return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _word(self, piece: str) -> bytes | None:
-        """Ids of a run of letters, straight from the model; None where that might not be one piece."""
-        if not piece:
-            return b""
-        bare = piece[1:] if piece[0] == " " else piece
+    def _spelled(self, piece: str) -> str | None:
+        """A run of letters as the vocabulary writes it; None where that might not be one piece."""
+        bare = piece[1:] if piece[:1] == " " else piece
         if not bare.isalpha():
             return None
-        if not self.keeps_space:
-            if not piece.isascii():
-                piece = unicodedata.normalize("NFC", piece)
-                if "Σ" in piece:
-                    return None
-            piece = piece.lower()
-            if not piece.isalpha():
+        if self.keeps_space:
+            if bare.isascii():
+                return piece if bare is piece else self.space + bare
+            return piece.encode().decode("latin-1").translate(self.letters)
+        if not piece.isascii():
+            piece = unicodedata.normalize("NFC", piece)
+            if "Σ" in piece:
                 return None
-        if not bare.isascii():
-            spelled = "".join(map(self.letters.__getitem__, piece.encode()))
-        else:
-            spelled = piece if piece[0] != " " else self.letters[32] + bare
-        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-
-    def _learn(self, chunks: list[str]) -> list[bytes]:
-        """Ids of new chunks, four bytes each."""
-        pieces, split, ask = self.pieces, [], {}
-        for chunk in chunks:
-            core = chunk.rstrip(_ENDS)
-            if core[1:].isalpha():
-                parts = (core, chunk[len(core):]) if len(core) < len(chunk) else (chunk,)
-            elif self.keeps_space and "\n" in chunk:
-                parts = _CHUNK.findall(chunk)
-            else:
-                parts = (core, chunk[len(core):]) if len(core) < len(chunk) and core[-1:].isalpha() else (chunk,)
-            split.append(parts)
-            for part in parts:
-                if part not in pieces:
-                    got = self._word(part)
-                    if got is None:
-                        ask[part] = None
-                    else:
-                        pieces[part] = got
-        if ask:
-            pieces.update((p, array("I", ids).tobytes()) for p, ids in zip(ask, self._direct(list(ask))))
-        got = [pieces[p[0]] if len(p) == 1 else b"".join([pieces[x] for x in p]) for p in split]
-        for piece in list(islice(pieces, self.most_words, None)):
-            del pieces[piece]
+        piece = piece.lower()
+        if not piece.isalpha():
+            return None
+        return piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+
+    def _learn(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of new pieces; words straight from the model, anything else from the tokenizer."""
+        tokenize = self.model.tokenize
+        spelled = [self._spelled(p) for p in pieces]
+        got = [None if w is None else [t.id for t in tokenize(w)] for w in spelled]
+        ask = [i for i, ids in enumerate(got) if ids is None]
+        for i, ids in zip(ask, self._direct([pieces[i] for i in ask]) if ask else ()):
+            got[i] = ids
         return got
 
     def _slots_of(self, chunks: list[str]) -> np.ndarray:
@@ -117,10 +112,10 @@ class Encoder:
             names = [chunks[i] for i in missing.tolist()]
             new = {name: len(self.starts) + i for i, name in enumerate(dict.fromkeys(names))}
             got = self._learn(list(new))
-            more = np.fromiter(map(len, got), np.int64, len(got)) // 4
+            more = np.fromiter(map(len, got), np.int64, len(got))
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(more) - more])
             self.lengths = np.concatenate([self.lengths, more])
-            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(got), np.uint32)])
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), np.uint32, int(more.sum()))])
             slots[missing] = np.fromiter(map(new.__getitem__, names), np.int64, len(names))
             if len(known) < self.most_words:
                 known.update(new)
@@ -136,25 +131,50 @@ class Encoder:
         """Ids of texts with so many chunks each, and where each text begins."""
         size = self.lengths[slots]
         ends = np.cumsum(size)
-        body = np.zeros(0, np.uint32)
-        if len(slots):
-            body = self.ids[np.repeat(self.starts[slots] - (ends - size), size) + np.arange(ends[-1])]
+        body = self.ids[gathered(self.starts[slots], size)]
         return body, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per)])]
 
+    def _cut(self, chunks: pa.Array, line: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The slots of the pieces of distinct chunks, and where each chunk's begin and how many it
+        has. A word and the marks after it are two pieces; ``line`` says which chunks come after a
+        line's end, which is a piece of its own before them."""
+        core = pc.utf8_rtrim(chunks, _ENDS)
+        word = pc.match_substring_regex(core, r"^ ?\p{L}+$").to_numpy(False)
+        marks = pc.binary_length(chunks).to_numpy() - pc.binary_length(core).to_numpy()
+        two = word & (marks > 0)
+        first = pc.if_else(pa.array(word), core, chunks).dictionary_encode()
+        after = _ends(chunks, np.where(two, marks, 0)).filter(pa.array(two)).dictionary_encode()
+        count = 1 + line.astype(np.int64) + two
+        begin = np.cumsum(count) - count
+        slots = np.empty(int(count.sum()), np.int64)
+        slots[begin[line]] = self._slots_of(["\n"])[0] if line.any() else 0
+        slots[begin + line] = self._slots_of(first.dictionary.to_pylist())[first.indices.to_numpy()]
+        slots[(begin + count - 1)[two]] = self._slots_of(after.dictionary.to_pylist())[after.indices.to_numpy()]
+        return slots, begin, count
+
     def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Texts cut by Arrow; each distinct chunk is looked up once."""
-        cut = pc.split_pattern(texts, " ") if self.keeps_space else pc.ascii_split_whitespace(texts)
-        edges = cut.offsets.to_numpy()
-        flat = cut.flatten()
-        coded = flat.dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        if not self.keeps_space:
-            slots = self._slots_of(names)[coded.indices.to_numpy()]
+        if self.keeps_space:
+            cut = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         else:
-            slots = self._slots_of([" " + n for n in names])[coded.indices.to_numpy()]
-            begins = edges[:-1]
-            slots[begins - edges[0]] = self._slots_of(flat.take(pa.array(begins - edges[0])).to_pylist())
-        return self._gathered(slots, np.diff(edges))
+            cut = pc.ascii_split_whitespace(texts)
+        edges = cut.offsets.to_numpy().astype(np.int64)
+        edges = edges - edges[0]
+        coded = cut.flatten().dictionary_encode()
+        chunks, place = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        line = np.zeros(len(chunks), bool)
+        if self.keeps_space:
+            # A space goes with the chunk after it, but a text's first and those after a line's end have none.
+            line = pc.starts_with(chunks, "\n").to_numpy(False)
+            spaced = pc.binary_join_element_wise(pc.if_else(pa.array(line), "", " "), pc.utf8_ltrim(chunks, "\n"), "")
+            first, which = np.unique(place[edges[:-1]], return_inverse=True)
+            place[edges[:-1]] = len(chunks) + which
+            chunks = pa.concat_arrays([spaced, chunks.take(pa.array(first))])
+            line = np.concatenate([line, np.zeros(len(first), bool)])
+        slots, begin, count = self._cut(chunks, line)
+        per = count[place]
+        upto = np.concatenate([[0], np.cumsum(per)])[edges]
+        return self._gathered(slots[gathered(begin[place], per)], np.diff(upto))
 
     def _by_pattern(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Texts with runs of white space, cut as the tokenizer's own pattern does."""

@@ -86,7 +86,23 @@ def test_capped_target_and_mean_of_draws(spark):
     assert got["a"] == (150, 150)
     assert got["b"][0] == pytest.approx(2 * got["c"][0])
     for target, taken in got.values():
-        assert abs(taken - target) < 0.06 * target
+        assert abs(taken - target) <= 10
+
+
+def test_each_document_is_drawn_with_its_fraction(spark):
+    """Over many seeds every document gets the copy about as often as the fraction says, and every
+    source's words come within its largest document of the target."""
+    rows = [(i, "w " * (1 + i % 7), "en", "ab"[i % 2], 1) for i in range(60)]
+    table, extra, seeds = docs(spark, rows).coalesce(1).cache(), Counter(), 12
+    for seed in range(seeds):
+        found = mixing.copies(table, seed=seed).collect()
+        for source in "ab":
+            own = [r for r in found if r.source == source]
+            assert abs(sum(r.copies * r["size"] for r in own) - own[0].target) <= 7
+        extra.update({r.doc_id: r.copies for r in found})
+    for r in found:
+        assert abs(extra[r.doc_id] / seeds - r.target / r.source_size) < 0.5
+    assert abs(sum(extra.values()) / seeds - sum(r.target / r.source_size for r in found)) < 1
 
 
 def test_mix_emits_the_copies(spark):
