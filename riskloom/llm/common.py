@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from riskloom.session import stage
@@ -73,3 +79,28 @@ def numbered(df: DataFrame, *order: Column, name: str = "place") -> DataFrame:
         .withColumn(name, F.col("_base") + F.col("_at").bitwiseAND((1 << 33) - 1))
         .drop("_at", "_part", "_base")
     )
+
+
+def _return_memory() -> None:
+    """Gives the system what this worker has freed; an allocator would keep it for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux"):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(convert: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], tokens: bool = False):
+    """The same function for workers that outlive tasks: it begins without what other stages keep
+    (the tokenizers' tables, unless it uses them itself) and gives back what it has freed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = sys.modules.get("riskloom.llm.tokens")
+        if kept and not tokens:
+            kept.encoder.cache_clear()
+        _return_memory()
+        try:
+            yield from convert(batches)
+        finally:
+            _return_memory()
+
+    return run

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.bytes_of import Words, gathered, shingles_of, words_of
+from riskloom.llm.common import lean
 from riskloom.llm.tokens import slices
 from riskloom.session import pin, stage
 
@@ -63,7 +64,7 @@ def _windows(items: DataFrame, size: int) -> DataFrame:
                      _hash_lists(found, begin, length, shingle)], names=["item_id", "words", "hashes"])
 
     rows = items.select(F.col("item_id").cast("string"), "text").filter("text is not null")
-    return rows.mapInArrow(convert, "item_id string, words array<string>, hashes array<long>")
+    return rows.mapInArrow(lean(convert), "item_id string, words array<string>, hashes array<long>")
 
 
 def _hash_lists(found: Words, begin: np.ndarray, length: np.ndarray, shingle: np.ndarray) -> pa.ListArray:
@@ -149,7 +150,7 @@ def _scanned(docs: DataFrame, field: np.ndarray, kinds: list[tuple[int, int, int
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInArrow(
-        convert, "doc_id long, n_words long, pieces array<struct<start:int, words:array<string>, hashes:array<long>>>")
+        lean(convert), "doc_id long, n_words long, pieces array<struct<start:int, words:array<string>, hashes:array<long>>>")
 
 
 def _prefixes(windows: DataFrame, places: DataFrame) -> DataFrame:

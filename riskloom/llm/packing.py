@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from riskloom.llm import tokens
-from riskloom.llm.common import partitions, whole
+from riskloom.llm.common import lean, partitions, whole
 from riskloom.session import local_rows, stage
 
 CAPACITY = 4096
@@ -71,7 +71,7 @@ def pieces(docs: DataFrame, vocabulary: str, end: int = END, capacity: int = CAP
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = PIECES + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long"), whole().alias("text")).mapInArrow(convert, schema)
+    return docs.select(F.col("doc_id").cast("long"), whole().alias("text")).mapInArrow(lean(convert, tokens=True), schema)
 
 
 class _Gaps:

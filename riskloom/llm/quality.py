@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from riskloom.llm.common import whole
+from riskloom.llm.common import lean, whole
 
 SHRINK = 0.05
 FOLDS, HELD_OUT = 3, 1
@@ -78,7 +78,7 @@ def features(docs: DataFrame, *keep: str) -> DataFrame:
 
     rows = docs.select(*keep, whole().alias("_text"))
     fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(convert, f"{fields}{', ' if keep else ''}x array<double>")
+    return rows.mapInArrow(lean(convert), f"{fields}{', ' if keep else ''}x array<double>")
 
 
 @dataclass(frozen=True)
@@ -116,7 +116,7 @@ def fit(labelled: DataFrame, shrink: float = SHRINK) -> Discriminant:
             "label": pa.array([0, 1], pa.int32()), "sums": pa.array(list(total), pa.list_(pa.float64()))})
 
     rows = labelled.filter("label in (0, 1)").select("x", F.col("label").cast("int"))
-    parts = rows.mapInArrow(sums, "label int, sums array<double>")
+    parts = rows.mapInArrow(lean(sums), "label int, sums array<double>")
     added = parts.select("label", F.posexplode("sums").alias("at", "value")).groupBy("label", "at").agg(
         F.sum("value").alias("value")).collect()
     total = np.zeros((2, 1 + k + k * k))
@@ -158,7 +158,7 @@ def scores(docs: DataFrame, model: Discriminant, least: float | None = None) ->
                 yield batch.filter(pa.array(score >= least))
 
     score = [T.StructField("score", T.DoubleType())] if least is None else []
-    return docs.mapInArrow(convert, T.StructType([*docs.schema.fields, *score]))
+    return docs.mapInArrow(lean(convert), T.StructType([*docs.schema.fields, *score]))
 
 
 def fold(folds: int = FOLDS) -> Column:

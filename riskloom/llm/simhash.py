@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import boxed
+from riskloom.llm.common import boxed, lean
 from riskloom.llm.components import components
 from riskloom.session import stage
 
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, size: int = 3) -> DataFrame:
             found = [majority_bits(shingle_hashes(text.as_py(), size)) for text in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(convert, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(convert), "doc_id long, fp long")
 
 
 def _segment(fp: Column, i: int) -> Column:

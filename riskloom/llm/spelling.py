@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.bytes_of import Words, bytes_and_offsets, runs
-from riskloom.llm.common import partitions
+from riskloom.llm.common import lean, partitions
 from riskloom.llm.tokens import slices
 from riskloom.session import pin, stage
 
@@ -135,7 +135,7 @@ def vocabulary(docs: DataFrame, letters: int = LETTERS_AT_LEAST, times: int = TI
                     names=["word", "n"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInArrow(convert, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= times)
+    return rows.mapInArrow(lean(convert), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= times)
 
 
 def _keyed(ranged: DataFrame) -> DataFrame:
@@ -269,7 +269,7 @@ def near_pairs(words: DataFrame, most: int = MOST) -> DataFrame:
             yield found(held)
 
     placed = blocks(words, most).select(*BLOCK, "word", "n").repartition(partitions(words.sparkSession), *BLOCK).sortWithinPartitions(*BLOCK)
-    return placed.mapInArrow(convert, "word string, near string, near_n long")
+    return placed.mapInArrow(lean(convert), "word string, near string, near_n long")
 
 
 def roots(forms: DataFrame) -> DataFrame:

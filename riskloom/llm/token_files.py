@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskloom.llm import simple8b, tokens
-from riskloom.llm.common import partitions, prefix_sums, whole
+from riskloom.llm.common import lean, partitions, prefix_sums, whole
 from riskloom.session import fresh_path, stage
 
 MAGIC = b"RLT1"
@@ -107,7 +107,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end: int = END, file_id
     _make(folder)
     rows = docs.select(F.col("doc_id").cast("long"), whole().alias("text"))
     placed = rows.repartitionByRange(partitions(spark), "doc_id").sortWithinPartitions("doc_id", "text")
-    return stage(placed.mapInArrow(convert, "part long, number long, n_docs long, n_ids long, n_bytes long"))
+    return stage(placed.mapInArrow(lean(convert, tokens=True), "part long, number long, n_docs long, n_ids long, n_bytes long"))
 
 
 def _make(folder: str) -> None:
@@ -155,7 +155,7 @@ def read(spark: SparkSession, folder: str, files: DataFrame, with_ids: bool = Fa
     if with_ids:
         schema += ", ids array<long>"
     loaded = spark.read.format("binaryFile").option("pathGlobFilter", "*.ids").load(folder).select("path", "content")
-    rows = loaded.mapInArrow(convert, schema)
+    rows = loaded.mapInArrow(lean(convert, tokens=True), schema)
     at = starts(files).select("part", "number", "first")
     return rows.join(at, ["part", "number"]).withColumn("start", F.col("first") + F.col("before")).select(*names)
 

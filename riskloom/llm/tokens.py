@@ -218,7 +218,7 @@ def encoder(path: str, most_words: int = MOST_WORDS) -> Encoder:
     return Encoder(path, most_words)
 
 
-def slices(texts: pa.Array, size: int = 8_000_000) -> Iterator[slice]:
+def slices(texts: pa.Array, size: int = 3_000_000) -> Iterator[slice]:
     """Consecutive slices of about so many bytes, so that memory does not follow the batch."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(False)) if len(texts) else np.zeros(0)
     start = 0

@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
+from riskloom.llm.common import lean
 from riskloom.session import pin, stage
 
 SCALE = 256
@@ -150,7 +151,7 @@ def first_entries(vectors: DataFrame, entries: int) -> tuple[int, np.ndarray]:
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0).take(pa.array(rows)), pa.array(lists, pa.list_(pa.int64()))], names=["vec_id", "x"])
 
-        kept = vectors.select("vec_id", "embedding").mapInArrow(convert, "vec_id long, x array<long>")
+        kept = vectors.select("vec_id", "embedding").mapInArrow(lean(convert), "vec_id long, x array<long>")
         return [r.x for r in kept.orderBy(F.col("vec_id").asc_nulls_last(), "x").limit(entries).collect()]
 
     found = smallest(None)
@@ -175,7 +176,7 @@ def _sums(vectors: DataFrame, dimension: int, books: np.ndarray) -> np.ndarray:
                     np.add.at(total[p], entry, np.pad(cut[:, p], ((0, 0), (0, 1)), constant_values=1))
         yield pa.RecordBatch.from_arrays([pa.array([total.ravel()], pa.list_(pa.int64()))], names=["sums"])
 
-    rows = vectors.select("embedding").mapInArrow(convert, "sums array<long>")
+    rows = vectors.select("embedding").mapInArrow(lean(convert), "sums array<long>")
     added = rows.select(F.posexplode("sums").alias("at", "value")).groupBy("at").agg(F.sum("value").alias("value")).toArrow()
     total = np.zeros(books.size + parts * entries, np.int64)
     total[added["at"].to_numpy()] = added["value"].to_numpy()
@@ -224,7 +225,7 @@ def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
     kind = vectors.schema["label"].dataType.simpleString()
     rows = vectors.select(F.col("vec_id").cast("long"), "label", "embedding")
     dimension, books = fit(rows, parts, entries, rounds)
-    found = stage(rows.mapInArrow(encoder(dimension, books), f"vec_id long, label {kind}, code string, error long"))
+    found = stage(rows.mapInArrow(lean(encoder(dimension, books)), f"vec_id long, label {kind}, code string, error long"))
     labels = pin(found.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error")))
     return found.join(labels, F.col("label").eqNullSafe(F.col("_label"))).select(
         "vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
