@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.columns import clip, half_even, outside, rows_of
+from riskloom.operators import sketches
 from riskloom.operators.profile import null_profile
 from riskloom.operators.quantiles import quantile_table
 from riskloom.session import local_rows, pin, stage
@@ -15,8 +16,11 @@ from riskloom.spec import RoleSpec, normalise
 FENCE = 1.5
 
 
-def medians(df: DataFrame, columns) -> DataFrame:
-    """(column, value): exact median, missing values ignored."""
+def medians(df: DataFrame, columns, approx: bool = False) -> DataFrame:
+    """(column, value): exact median, missing values ignored; or one from a mergeable sketch, whose
+    rank is off by at most ``sketches.rank_error`` of the rows."""
+    if approx:
+        return sketches.quantiles(sketches.sketch(df, columns), [0.5]).select("column", "value")
     return quantile_table(df, columns, [0.5], ["value"]).select("column", "value")
 
 
@@ -45,14 +49,24 @@ def impute(df: DataFrame, fills: dict) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fills.items()}) if fills else df
 
 
-def drop_duplicates(df: DataFrame, subset=None, key: str | None = None) -> DataFrame:
+def first_per_key(df: DataFrame, subset, order=()) -> DataFrame:
+    """Of the rows that agree on ``subset`` the first in the given order, rows of equal rank by all
+    their columns, so that the same row stays under any partitioning. NULL keys agree. Each task
+    hands on one row per key, so a hot key reaches no task with more rows than there are tasks."""
+    rank = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order)], F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+    return df.groupBy(*[F.col(f"`{c}`").alias(f"__key{i}") for i, c in enumerate(subset)]).agg(F.min(rank).alias("__first")).select("__first.row.*")
+
+
+def drop_duplicates(df: DataFrame, subset=None, key: str | None = None, order=()) -> DataFrame:
     """Keep one of equal rows; copies are combined before the shuffle, so a hot row costs nothing.
 
+    With ``subset`` rows are equal that agree on these columns, and the first in ``order`` stays.
+
     With ``key`` only key values are shuffled first: equal rows share their key, so rows whose key
     occurs once are left as they are, and only the others are compared in full.
     """
     if subset:
-        return df.dropDuplicates(list(subset))
+        return first_per_key(df, subset, order)
     if key is None:
         return df.distinct()
     repeated = pin(df.groupBy(F.col(key).alias("__key")).count().filter("count > 1").select("__key"))

@@ -77,10 +77,15 @@ def class_report(scored: DataFrame, names: dict = CLASS_NAMES) -> DataFrame:
 
 
 def roc_points(
-    scored: DataFrame, drop_intermediate: bool = True, ranked: DataFrame | None = None
+    scored: DataFrame, drop_intermediate: bool = True, ranked: DataFrame | None = None, max_points: int | None = None
 ) -> DataFrame:
     """(model, threshold, fpr, tpr) from (0, 0), whose threshold is infinite, to (1, 1).
 
+    ``max_points`` bounds the points of a model. The way along the curve, fpr + tpr, rises from 0 to
+    2 and is cut into max_points - 3 cells; the last point of each stays, and the first of all. All
+    points between two that stay are in the cell of the second, so the area under the curve changes
+    by at most ``area_bound(max_points)``. Points that stay are points of the full curve.
+
     ``drop_intermediate`` leaves out points on a straight line between their neighbours: those
     whose next score carries the same counts. The first and last scores always stay. Everything is
     row-wise: totals come with the ranked scores, and the start goes with each model's first score.
@@ -91,6 +96,13 @@ def roc_points(
         last = F.col("next_pos").isNull()
         bend = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
         ranked = ranked.filter(first | last | bend)
+    if max_points is not None:
+        cells = _cells(max_points)
+        step = lambda pos, neg: F.floor((F.coalesce(ratio(neg, F.col("all_neg"), None), F.lit(0.0)) + F.coalesce(
+            ratio(pos, F.col("all_pos"), None), F.lit(0.0))) * cells / 2.0)
+        here = step(F.col("cum_pos"), F.col("cum_neg"))
+        after = step(F.col("cum_pos") + F.col("next_pos"), F.col("cum_neg") + F.col("next_neg"))
+        ranked = ranked.filter(first | F.col("next_pos").isNull() | (after > here))
     fields = ("threshold", "fpr", "tpr")
     here = (
         F.col("score"), ratio(F.col("cum_neg"), F.col("all_neg"), None), ratio(F.col("cum_pos"), F.col("all_pos"), None)
@@ -100,6 +112,22 @@ def roc_points(
     return ranked.select("model", F.inline(F.when(first, F.array(start, point)).otherwise(F.array(point))))
 
 
+def _cells(max_points: int) -> int:
+    if max_points < 4:
+        raise ValueError("a curve has at least four points")
+    return max_points - 3
+
+
+def area_bound(max_points: int) -> float:
+    """How far the area under a curve of so many points may be from the full curve's.
+
+    With cells of length d = 2 / cells, left-out points lie behind a step of length s into a cell.
+    The triangle of that step and the way on within the cell is at most s * d / 2, what the curve
+    does within the cell at most d * d / 8; the steps add up to 2, the cells to 2.
+    """
+    return 2.5 / _cells(max_points)
+
+
 def with_diagonal(points: DataFrame) -> DataFrame:
     """The curve plus the two end points of a random classifier."""
     ends = local_rows(

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions.columns import (
-    clip, effect, half_even, label_of, ratio, rows_of, sign_mark, signed_text, text_bar,
+    clip, effect, half_even, label_of, ratio, sign_mark, signed_text, text_bar,
 )
 from riskloom.operators.clean import iqr_limits
+from riskloom.operators.comoments import pearson
 from riskloom.operators.quantiles import quantile_table
+from riskloom.operators.selection import at_most_quota, mark_selected
 from riskloom.session import local_rows, pin, stage
 from riskloom.spec import normalise
 
@@ -105,30 +107,16 @@ def in_order(df: DataFrame, column: str, order: list) -> DataFrame:
 
 # --- correlations ----------------------------------------------------------------------------
 
-def _pearson(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
-    """(pair, r) by position in ``pairs``: each pair over the rows where both are present, NULL for
-    a constant side. One ungrouped aggregate with up to three sums per pair, reduced on the map side.
-    """
-    sums, cells = [], []
-    for i, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        sums += [
-            F.covar_samp(x, y).alias(f"c{i}"),
-            F.var_samp(F.when(y.isNotNull(), x)).alias(f"x{i}"), F.var_samp(F.when(x.isNotNull(), y)).alias(f"y{i}"),
-        ] if a != b else [F.var_samp(x).alias(f"{n}{i}") for n in "cxy"]
-        r = F.try_divide(F.col(f"c{i}"), F.sqrt(F.col(f"x{i}") * F.col(f"y{i}")))
-        cells.append([F.lit(i), clip(r, -1.0, 1.0)])
-    return rows_of(normalise(df).agg(*sums), ["pair", "r"], cells)
-
-
 def correlation_matrix(df: DataFrame, columns) -> DataFrame:
-    """(a, b, r) for all ordered pairs of columns, from one pass over the distinct pairs."""
+    """(a, b, r) for all ordered pairs of columns, each over the rows where both are present; NULL
+    where a side is constant there."""
     columns = list(columns)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    place = {pair: i for i, pair in enumerate(pairs)}
-    names = [(a, b, place.get((a, b), place.get((b, a)))) for a in columns for b in columns]
-    every = local_rows(df.sparkSession, names, "a string, b string, pair int")
-    return every.join(_pearson(df, pairs), "pair", "left").select("a", "b", "r")
+    names = local_rows(df.sparkSession, list(enumerate(columns)), "place int, name string")
+    half = pearson(df, columns, columns)
+    both = half.unionByName(half.filter("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
+    a = names.select(F.col("place").alias("a"), F.col("name").alias("first"))
+    b = names.select(F.col("place").alias("b"), F.col("name").alias("second"))
+    return both.join(F.broadcast(a), "a").join(F.broadcast(b), "b").select(F.col("first").alias("a"), F.col("second").alias("b"), "r")
 
 
 def correlation_wide(df: DataFrame, columns) -> DataFrame:
@@ -140,8 +128,8 @@ def correlation_wide(df: DataFrame, columns) -> DataFrame:
 def target_correlations(df: DataFrame, columns, target: str) -> DataFrame:
     """(column, r): only the pairs with the target."""
     columns = list(columns)
-    names = local_rows(df.sparkSession, list(enumerate(columns)), "pair int, column string")
-    return names.join(_pearson(df, [(c, target) for c in columns]), "pair", "left").select("column", "r")
+    names = local_rows(df.sparkSession, list(enumerate(columns)), "a int, column string")
+    return pearson(df, columns, [target]).join(F.broadcast(names), "a").select("column", "r")
 
 
 def strongest_correlations(df: DataFrame, columns, target: str, k: int = 3) -> DataFrame:
@@ -246,6 +234,15 @@ def scatter_points(df: DataFrame, x: str, y: str, target: str, names: dict, hove
     return df.select(x, y, label_of(F.col(target), names).alias("label"), *hover)
 
 
+def scatter_sample(df: DataFrame, key, x: str, y: str, target: str, names: dict, k: int, hover=(), seed: int = 42) -> DataFrame:
+    """The same for at most ``k`` rows of each class that have both values: those whose hash of the
+    key is smallest, so that the sample is exact in size and the same under any partitioning. Only
+    counts per hash prefix are shuffled; rows stay where they are until the few are known."""
+    present = normalise(df).filter(F.col(x).isNotNull() & F.col(y).isNotNull() & F.col(target).isNotNull())
+    chosen = mark_selected(present, key, [target], at_most_quota(k), seed).filter("selected")
+    return scatter_points(chosen, x, y, target, names, hover)
+
+
 def density(df: DataFrame, x: str, y: str, by: str, bins: int = 20) -> DataFrame:
     """(by, x_bin, y_bin, n): the scatter as counts on a grid, bounded at any table size."""
     df = normalise(df)

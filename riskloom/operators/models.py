@@ -19,6 +19,8 @@ from riskloom.spec import RoleSpec, normalise
 # Display names of the two models, in the order the dashboard lists them.
 LOGISTIC, FOREST = "Regressão Logística", "Random Forest"
 
+BINS = 256
+
 
 def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000):
     """L2 logistic regression on the summed loss: the penalty per row is 1 / (n * C)."""
@@ -29,13 +31,18 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000):
 
 
 def fit_forest(
-    train: DataFrame, trees: int = 100, depth: int = 30, bins: int = 128, seed: int = 42, memory_mb: int = 512
+    train: DataFrame, trees: int = 100, depth: int = 30, bins: int = BINS, seed: int = 42, memory_mb: int = 512
 ):
     """Gini forest on sqrt(features) per split, grown as deep as Spark grows trees. ``bins`` bounds
-    the split candidates per feature and must not be below the number of categories."""
+    the split candidates per feature and must not be below the number of categories.
+
+    Every row keeps the node it has reached in each tree, so a level costs the same however deep it
+    is; that state is checkpointed in the session's folder every ten levels. ``memory_mb`` bounds the
+    statistics of the nodes that are split in one pass.
+    """
     return RandomForestClassifier(
         featuresCol=FEATURES, labelCol=LABEL, numTrees=trees, maxDepth=depth, maxBins=bins, impurity="gini",
-        featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=memory_mb,
+        featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=memory_mb, cacheNodeIds=True, checkpointInterval=10,
     ).fit(train)
 
 
@@ -60,7 +67,8 @@ def fit_legacy(df: DataFrame, spec: RoleSpec, **kw) -> PipelineModel:
         VectorAssembler(inputCols=features, outputCol=FEATURES),
         SQLTransformer(statement=f"SELECT * EXCEPT ({helpers}) FROM __THIS__"),
     ]).fit(df)
-    return PipelineModel(stages=[*prepared.stages, fit_forest(prepared.transform(df), **kw)])
+    most = max((len(labels) + 1 for labels in prepared.stages[1].labelsArray), default=0)
+    return PipelineModel(stages=[*prepared.stages, fit_forest(prepared.transform(df), **{"bins": max(BINS, most)} | kw)])
 
 
 def with_model(preparation: PipelineModel, model) -> PipelineModel:

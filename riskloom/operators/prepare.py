@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskloom.operators.dictionary import LabelEncoder, fit_labels
 from riskloom.operators.selection import mark_selected, proportional_quota, row_hash
 from riskloom.session import stage
 from riskloom.spec import RoleSpec, normalise
@@ -82,7 +83,8 @@ def categories(train: DataFrame, columns) -> dict:
 def one_hot(df: DataFrame, known: dict, keep=()) -> DataFrame:
     """One 0/1 column per known category, named column_value; unseen and NULL are all zero.
 
-    Meant for plain columns. Many categories belong in the sparse vector of ``fit_preparation``.
+    Meant for plain columns, hence the limit. A vector over any number of categories is
+    ``dictionary.with_slots``.
     """
     out = [
         F.coalesce((F.col(c).cast("string") == v).cast("int"), F.lit(0)).alias(f"{c}_{v}")
@@ -91,15 +93,10 @@ def one_hot(df: DataFrame, known: dict, keep=()) -> DataFrame:
     return df.select(*keep, *out)
 
 
-def label_encoder(train: DataFrame, columns):
-    """Sorted categories to 0..k-1 as <column>_enc; a value not seen in training is an error."""
-    for column, count in train.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).first().asDict().items():
-        _few(column, count)
-    indexer = StringIndexer(
-        inputCols=list(columns), outputCols=[f"{c}_enc" for c in columns],
-        stringOrderType="alphabetAsc", handleInvalid="error",
-    )
-    return indexer.fit(train)
+def label_encoder(train: DataFrame, columns) -> LabelEncoder:
+    """Sorted categories to 0..k-1 as <column>_enc, any number of them; a value not seen in training
+    is an error."""
+    return fit_labels(train, columns)
 
 
 def _scaling(stats: dict) -> SQLTransformer:

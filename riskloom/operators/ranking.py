@@ -8,7 +8,7 @@ one row per partition.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.session import pin, stage
 
@@ -71,3 +71,18 @@ def ranked_scores(
         F.coalesce("n_neg", "f_neg").alias("next_neg"),
         "all_pos", "all_neg",
     )
+
+
+def placed(df: DataFrame, *order: Column | str, name: str = "place") -> DataFrame:
+    """Adds each row's place in the given order, from 0, as a written table."""
+    ranked = stage(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", 33)
+    sizes = ranked.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    # One row per partition of the sort.
+    before = Window.partitionBy(F.lit(0)).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    place = F.col("__base") + F.col("__at").bitwiseAND((1 << 33) - 1)
+    return (
+        ranked.withColumn("__part", part).join(F.broadcast(base), "__part")
+        .withColumn(name, place).drop("__at", "__part", "__base")
+    )

@@ -9,11 +9,13 @@ not null; a cut that falls on a missing or repeated key is an error.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskloom.session import any_row, pin
+from riskloom.operators.ranking import placed
+from riskloom.session import any_row, pin, stage
 
 MAX_ROWS = 1 << 20
 DIGITS = 3
@@ -61,7 +63,7 @@ def hash_cuts(
         *strata, F.struct(*parts).alias("key"), row_hash(parts, seed).alias("h")
     )
     length = digits
-    hist = rows.groupBy(*strata, F.substring("h", 1, length).alias("prefix")).agg(F.count("*").alias("inside"))
+    hist = stage(rows.groupBy(*strata, F.substring("h", 1, length).alias("prefix")).agg(F.count("*").alias("inside")))
     counts = quota(hist.groupBy(*strata).agg(F.sum("inside").alias("n")))
     wanted = counts.filter("k > 0").select(*strata, "k", F.col("k").alias("left"))
     cuts = pin(_locate(hist, wanted, strata))
@@ -125,26 +127,27 @@ def proportional_quota(share: float, strata: list[str]):
     """Test rows per stratum for a stratified split.
 
     ceil(share * n) rows are taken in total; the rest is spread over the strata by largest
-    remainder, the smaller stratum value first on a tie. Works on the per-stratum counts only.
+    remainder, the smaller stratum value first on a tie. Works on the per-stratum counts only, which
+    a range sort by remainder puts in order, so any number of strata will do.
     """
 
     def quota(counts: DataFrame) -> DataFrame:
-        every = Window.partitionBy("__one")
-        exact = "decimal(19,0)"
-        sized = (
-            counts.withColumn("__one", F.lit(0))
-            .withColumn("total", F.sum("n").over(every))
-            .withColumn("train", F.col("total") - F.ceil(F.col("total") * F.lit(float(share))))
-            .withColumn("product", F.col("n").cast(exact) * F.col("train").cast(exact))
-            .withColumn("over", F.col("product") % F.col("total"))
-            .withColumn("base", ((F.col("product") - F.col("over")) / F.col("total")).cast("long"))
-        )
-        spare = F.col("train") - F.sum("base").over(every)
-        place = F.row_number().over(every.orderBy(F.desc("over"), *strata))
-        return (
-            sized.withColumn("spare", spare).withColumn("place", place)
-            .withColumn("k", F.col("n") - F.col("base") - (F.col("place") <= F.col("spare")).cast("long"))
-            .select(*strata, "n", "k")
-        )
+        exact = "decimal(38,0)"
+        counts = stage(counts)
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        train = total - math.ceil(total * float(share))
+        product = F.col("n").cast(exact) * F.lit(train).cast("decimal(19,0)")
+        whole = F.lit(max(total, 1)).cast("decimal(19,0)")
+        sized = counts.withColumn("over", (product % whole).cast("decimal(19,0)")).withColumn(
+            "base", ((product - F.col("over")) / whole).cast("long"))
+        ranked = placed(sized, F.desc("over"), *strata)
+        spare = train - (ranked.agg(F.sum("base")).first()[0] or 0)
+        k = F.col("n") - F.col("base") - (F.col("place") < spare).cast("long")
+        return ranked.select(*strata, "n", k.alias("k"))
 
     return quota
+
+
+def at_most_quota(k: int):
+    """k rows of every stratum, or all of them."""
+    return lambda counts: counts.withColumn("k", F.least(F.col("n"), F.lit(k)).cast("long"))

@@ -8,6 +8,7 @@ very end, so that results can be compared with another engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
@@ -16,12 +17,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from riskloom.functions.columns import label_of, text_bar
 from riskloom.functions.risk import Level, base_delta, risk_band
 from riskloom.operators import clean as cleaning
-from riskloom.operators import evaluate, explore, models, score as scoring
+from riskloom.operators import evaluate, explore, models, score as scoring, sketches
+from riskloom.operators.dictionary import fit_dictionary, with_slots
 from riskloom.operators.prepare import (
     categories, fit_preparation, hash_split, label_encoder, one_hot, prepare, scale_stats, separate, standardise,
     stratified_split,
 )
 from riskloom.operators.profile import data_dictionary, describe, null_profile, profile
+from riskloom.operators.quantiles import long_values
 from riskloom.operators.ranking import ranked_scores
 from riskloom.plans import dashboard, data_quality, modelling
 from riskloom.session import fresh_path, local_rows, stage
@@ -29,7 +32,8 @@ from riskloom.sources import synth
 from riskloom.sources.cohorts import (
     CUSTOMERS, DOCUMENTS, LINES, customers, customers_with_gaps, document_sizes, documents, lines, table,
 )
-from riskloom.sources.tables import read_csv, write_csv
+from riskloom.sources.inferred import read_csv_inferred
+from riskloom.sources.tables import cached, read_csv, write_csv
 from riskloom.spec import RoleSpec, validate
 from riskloom.streaming.scoring import read_stream, score_stream
 
@@ -159,6 +163,9 @@ def q_drop_nulls(spark, folder):
 _LINE_KEY = ["l_quantity", "l_discount", "l_tax", "l_linestatus", "returned"]
 
 
+_SUBSET = ["l_quantity", "l_discount", "l_tax"]
+
+
 def q_dedupe_count(spark, folder):
     return cleaning.duplicate_count(lines(spark, folder).select(*_LINE_KEY))
 
@@ -213,6 +220,46 @@ def q_csv_roundtrip(spark, folder):
     return read_csv(spark, path, rows.schema)
 
 
+def q_csv_inferred(spark, folder):
+    """The customers with gaps as CSV, read without a schema."""
+    path = fresh_path(spark, "csv")
+    write_csv(customers_with_gaps(spark, folder), path)
+    return read_csv_inferred(spark, path).table
+
+
+def q_dedupe_subset(spark, folder):
+    """Of the lines that agree on the key the first by order and line number, whole."""
+    rows = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *_SUBSET, "l_extendedprice")
+    return cleaning.drop_duplicates(rows, _SUBSET, order=["l_orderkey", "l_linenumber"])
+
+
+PROBS = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+def q_sketched_quantiles(spark, folder):
+    """Lines arrive in two batches, the second twice; the quantiles of the merged sketches, and
+    whether each has the rank it should have within the bound."""
+    rows, path = stage(lines(spark, folder)), fresh_path(spark, "sketches")
+    early = F.col("ship_year") < "1998"
+    for name, part in (("early", rows.filter(early)), ("late", rows.filter(~early)), ("late", rows.filter(~early))):
+        sketches.add_batch(path, name, part, LINES.numeric)
+    found = stage(sketches.quantiles(sketches.stored(spark, path), PROBS))
+    ranked = long_values(rows, LINES.numeric).join(F.broadcast(found), "column").groupBy("column", "prob", "n").agg(
+        F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto"))
+    slack = sketches.rank_error() * F.col("n") + 1
+    wanted = F.col("prob") * F.col("n")
+    return ranked.select("column", "prob", "n", ((F.col("below") <= wanted + slack) & (F.col("upto") >= wanted - slack)).alias("within"))
+
+
+def q_cached_summary(spark, folder):
+    """Two reports from one cached table."""
+    rows = cached(document_sizes(spark, folder))
+    shares = explore.share_by(rows, "lang").select(F.col("lang").alias("value"), "n", "pct")
+    made = stage(shares.unionByName(explore.share_by(rows, "source").select(F.col("source").alias("value"), "n", "pct")))
+    rows.unpersist()
+    return made
+
+
 # --- exploration -----------------------------------------------------------------------------
 
 _MEANS = {"l_quantity": 2, "l_extendedprice": 1}
@@ -316,6 +363,11 @@ def q_scatter_points(spark, folder):
     return explore.scatter_points(documents(spark, folder), "n_chars", "n_words", "poor", names, ["lang", "source"])
 
 
+def q_scatter_sample(spark, folder):
+    names = {0: "good", 1: "poor"}
+    return explore.scatter_sample(documents(spark, folder), "doc_id", "n_chars", "n_words", "poor", names, 20, ["doc_id", "lang"])
+
+
 def q_at_risk_list(spark, folder):
     shown = {"c_name": "Name", "c_mktsegment": "Segment", "region": "Region", "c_acctbal": "Balance",
              "n_orders": "Orders", "avg_price": "Mean price", "recency_days": "Recency"}
@@ -374,6 +426,12 @@ def q_stratified_split(spark, folder):
     return stratified_split(rows, ORDERS)
 
 
+def q_split_many_strata(spark, folder):
+    """Every customer's orders are a stratum."""
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    return stratified_split(rows, replace(ORDERS, target="o_custkey"))
+
+
 def _customer_split(spark, folder) -> DataFrame:
     """Cleaned customers with the split column, written once."""
     return stage(stratified_split(_clean(spark, folder), CUSTOMERS))
@@ -402,6 +460,20 @@ def q_label_encode(spark, folder):
                         F.col("source_enc").cast("int").alias("source_enc"))
 
 
+def q_label_encode_many(spark, folder):
+    """Codes for a column in which every row has a value of its own, and for one with repeats."""
+    rows = table(spark, folder, "orders").select(
+        "o_orderkey", F.col("o_orderkey").cast("string").alias("order"), F.col("o_custkey").cast("string").alias("customer"))
+    return label_encoder(rows, ["order", "customer"]).transform(rows).select("o_orderkey", "order_enc", "customer_enc")
+
+
+def q_onehot_many(spark, folder):
+    """The set slots of a vector over all customer names and segments."""
+    rows = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    known = [fit_dictionary(rows, c) for c in ("c_name", "c_mktsegment")]
+    return with_slots(rows, known).select("c_custkey", F.explode("slots").alias("slot"))
+
+
 def q_feature_names(spark, folder):
     names = prepare(_clean(spark, folder), CUSTOMERS).names
     return local_rows(spark, list(enumerate(names)), "slot int, feature string")
@@ -447,6 +519,15 @@ def q_roc_points_all(spark, folder):
     return rounded(curve, 9, "threshold", "fpr", "tpr")
 
 
+ROC_POINTS = 100
+
+
+def q_roc_points_bounded(spark, folder):
+    """The curves of all lines in at most a hundred points each."""
+    curve = evaluate.roc_points(line_scores(spark, folder), drop_intermediate=False, max_points=ROC_POINTS)
+    return rounded(curve, 9, "threshold", "fpr", "tpr")
+
+
 def q_roc_auc(spark, folder):
     return rounded(evaluate.roc_auc(line_scores(spark, folder)), 9, "auc")
 

@@ -411,6 +411,28 @@ ORACLES: dict[str, str] = {
       f"SELECT '{c}' AS c, {_corr(c, 'churned', 'clean')} AS r" for c in CUSTOMERS.numeric)})) WHERE place <= 3""",
     ]),
     "csv_roundtrip": with_(*TO_CLEAN) + "SELECT * FROM clean",
+    "csv_inferred": with_(CUST) + "SELECT * FROM raw",
+    "dedupe_subset": """SELECT l_orderkey, l_linenumber, l_quantity, l_discount, l_tax, l_extendedprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_quantity, l_discount, l_tax ORDER BY l_orderkey, l_linenumber) AS place FROM lineitem)
+WHERE place = 1""",
+    "sketched_quantiles": with_(LINE) + union(
+        f"""SELECT '{c}' AS "column", {p!r}::DOUBLE AS prob, count({c}) AS n, TRUE AS within FROM line"""
+        for c in LINES.numeric for p in (0.01, 0.25, 0.5, 0.75, 0.99)),
+    "cached_summary": with_(SIZES) + union(
+        f"""SELECT {c} AS value, count(*) AS n, {half('count(*) * 100e0 / (SELECT count(*) FROM docs)', 1)} AS pct FROM docs GROUP BY 1"""
+        for c in ("lang", "source")),
+    "scatter_sample": with_(DOCS) + """SELECT n_chars, n_words, CASE poor WHEN 0 THEN 'good' WHEN 1 THEN 'poor' END AS label, doc_id, lang FROM (
+  SELECT *, row_number() OVER (PARTITION BY poor ORDER BY md5(doc_id || ':42'), doc_id) AS place FROM docs) WHERE place <= 20""",
+    "split_many_strata": with_("o AS (SELECT o_orderkey, o_custkey FROM orders)", *_split("o", "o_orderkey", "o_custkey")[:2],
+        """ranked AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY md5(o_orderkey || ':42'), o_orderkey) AS place FROM o)""")
+        + "SELECT o_orderkey, o_custkey, place <= k AS is_test FROM ranked JOIN alloc ON s = o_custkey",
+    "label_encode_many": """SELECT o_orderkey, dense_rank() OVER (ORDER BY o_orderkey::VARCHAR) - 1 AS order_enc,
+  dense_rank() OVER (ORDER BY o_custkey::VARCHAR) - 1 AS customer_enc FROM orders""",
+    "onehot_many": """SELECT c_custkey, dense_rank() OVER (ORDER BY c_name) - 1 AS slot FROM customer UNION ALL
+SELECT c_custkey, (SELECT count(DISTINCT c_name) FROM customer) + dense_rank() OVER (ORDER BY c_mktsegment) - 1 FROM customer""",
+    "roc_points_bounded": with_(*LINE_SCORED, CURVE) + _roc(
+        "WHERE place = 1 OR np IS NULL OR floor(((cn + nn)::DOUBLE / n + (cp + np)::DOUBLE / p) * 97 / 2e0) > "
+        "floor((cn::DOUBLE / n + cp::DOUBLE / p) * 97 / 2e0)"),
     "kpi_all": with_(LINE) + f"SELECT {_kpi('line', 'returned', {'l_quantity': 2, 'l_extendedprice': 1})} FROM line",
     "kpi_filtered": with_(DOCS) + f"SELECT {_kpi('docs', 'poor', {'n_chars': 2, 'n_words': 1})} FROM docs WHERE lang = 'en'",
     "kpi_rollup": with_(LINE) + f"""SELECT CASE WHEN grouping(ship_year) = 1 THEN 'Todos' ELSE ship_year END AS choice,

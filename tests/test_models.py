@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from helpers import rows
@@ -9,7 +10,7 @@ from riskloom.operators import models, prepare as prep, score
 from riskloom.plans import dashboard, data_quality, modelling
 from riskloom.sources import synth
 from riskloom.sources.tables import cached, read_csv
-from riskloom.spec import STUDENTS, normalise
+from riskloom.spec import STUDENTS, RoleSpec, normalise
 from riskloom.streaming.scoring import read_stream, score_stream
 
 
@@ -112,7 +113,7 @@ def test_label_encoder(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("a",)], "k string")
     fitted = prep.label_encoder(df, ["k"])
     assert rows(fitted.transform(df).distinct()) == [("a", 0.0), ("b", 1.0), ("c", 2.0)]
-    with pytest.raises(Exception, match="Unseen label"):
+    with pytest.raises(Exception, match="unknown value new"):
         fitted.transform(spark.createDataFrame([("new",)], "k string")).collect()
 
 
@@ -289,13 +290,55 @@ def test_a_missing_value_counts_as_the_mean(spark, trained):
 
 def test_too_many_categories_are_an_error(spark):
     df = spark.range(3000).select(F.col("id").cast("string").alias("k"), F.lit(1.0).alias("x"))
-    for call in (lambda: prep.categories(df, ["k"]), lambda: prep.label_encoder(df, ["k"]),
-                 lambda: prep.scale_stats(df, ["x"], ["k"])):
+    for call in (lambda: prep.categories(df, ["k"]), lambda: prep.scale_stats(df, ["x"], ["k"])):
         with pytest.raises(prep.TooManyCategories):
             call()
+    assert prep.label_encoder(df, ["k"]).transform(df).agg(F.max("k_enc")).first()[0] == 2999
 
 
 def test_cached_reads_once(spark, quality):
     held = cached(quality[0].cleaned.table)
     assert held.is_cached and held.count() == held.count() == 1500
     held.unpersist()
+
+
+def gini_by_hand(tree, size):
+    """Summed gain of each feature in one tree: what its splits take from the rows' impurity."""
+    total = np.zeros(size)
+
+    def impurity(node):
+        counts = np.array([node.impurityStats().stats()[i] for i in range(2)])
+        return 1.0 - ((counts / counts.sum()) ** 2).sum(), counts.sum()
+
+    def walk(node):
+        if node.subtreeDepth() == 0:
+            return
+        here, n = impurity(node)
+        (left, a), (right, b) = impurity(node.leftChild()), impurity(node.rightChild())
+        total[node.split().featureIndex()] += n * here - a * left - b * right
+        walk(node.leftChild())
+        walk(node.rightChild())
+
+    walk(tree._call_java("rootNode"))
+    return total / total.sum() if total.sum() else total
+
+
+def test_importances_are_the_gains_of_the_splits(spark):
+    """A second way to the numbers, from the nodes of the grown trees, at the default depth."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, 1, (300, 4))
+    y = (x[:, 0] + 0.5 * x[:, 1] + rng.normal(0, 0.3, 300) > 0).astype(float)
+    df = spark.createDataFrame([(Vectors.dense(v), float(t)) for v, t in zip(x, y)], ["features", "label"])
+    forest = models.fit_forest(df, trees=8)
+    want = sum(gini_by_hand(t, 4) for t in forest.trees)
+    assert forest.featureImportances.toArray() == pytest.approx(want / want.sum(), abs=1e-9)
+    assert forest.transform(df).filter("prediction = label").count() >= 290
+
+
+def test_legacy_forest_of_many_categories(spark):
+    """More values than the usual number of bins."""
+    data = [(i, float(i % 9), f"k{i % 400}", int(i % 400 < 120)) for i in range(1200)]
+    df = spark.createDataFrame(data, "id long, x double, k string, y int")
+    spec = RoleSpec(id="id", target="y", numeric=("x",), categorical=("k",))
+    model = models.fit_legacy(df.withColumn("label", F.col("y").cast("double")), spec, trees=5)
+    assert model.transform(df).filter("prediction = y").count() > 1000
