@@ -31,7 +31,7 @@ PAGES = "page_id long, url string, html string"
 def test_hosts_paths_and_rules(spark):
     rows = [(i, u[0], None) for i, u in enumerate(URLS)]
     table = spark.createDataFrame(rows, PAGES).withColumn("host", F.lit("clash")).withColumn("good", F.lit(1))
-    found = {r.page_id: r for r in link_trust.judge(table, steps=2).collect()}
+    found = {r.page_id: r for r in link_trust.judge(table).collect()}
     for i, (_, host, path, rule, verdict) in enumerate(URLS):
         r = found[i]
         assert (r.host, r.path, r.rule) == (host, path, rule)
@@ -51,26 +51,66 @@ def test_edges(spark):
     assert got == want
 
 
-def test_propagation_equals_power_iteration(spark):
+def limits(hosts, edges, seeds, damping):
+    """Trust and distrust of each host, where the walks' sums end: a linear system."""
     import numpy as np
 
-    rng = random.Random(1)
-    hosts = [f"h{i}" for i in range(12)]
-    edges = {(a, b): float(rng.randrange(1, 5)) for a in hosts for b in hosts if a != b and rng.random() < 0.2}
+    w = np.array([[edges.get((a, b), 0.0) for b in hosts] for a in hosts])
+    found = []
+    for flow, at in ((w, 0), (w.T, 1)):
+        flow = flow / np.maximum(flow.sum(1, keepdims=True), 1e-300)
+        seed = np.array([seeds.get(h, (0, 0))[at] for h in hosts], float)
+        seed /= max(seed.sum(), 1)
+        found.append(np.linalg.solve(np.eye(len(hosts)) - damping * flow.T, (1 - damping) * seed))
+    return found
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_verdicts_are_those_of_the_limit(spark, seed):
+    rng = random.Random(seed)
+    hosts = [f"h{i}" for i in range(30)]
+    edges = {(a, b): float(rng.randrange(1, 5)) for a in hosts for b in hosts if a != b and rng.random() < 0.06}
     seeds = {"h0": (3, 0), "h1": (1, 2), "h5": (0, 4)}
     got = link_trust.propagate(
         spark.createDataFrame([(*e, w) for e, w in edges.items()], "src string, dst string, weight double"),
-        spark.createDataFrame([(h, *s) for h, s in seeds.items()], "host string, good long, bad long"), 0.7, 9).collect()
-    w = np.array([[edges.get((a, b), 0.0) for b in hosts] for a in hosts])
-    for column, flow, at in (("trust", w, 0), ("distrust", w.T, 1)):
-        flow = flow / np.maximum(flow.sum(1, keepdims=True), 1e-12)
-        seed = np.array([seeds.get(h, (0, 0))[at] for h in hosts], float)
-        seed /= seed.sum()
-        x = seed
-        for _ in range(9):
-            x = 0.3 * seed + 0.7 * x @ flow
-        for r in got:
-            assert getattr(r, column) == pytest.approx(x[hosts.index(r.host)])
+        spark.createDataFrame([(h, *seeds.get(h, (0, 0)), 1) for h in hosts], "host string, good long, bad long, open long")).collect()
+    trust, distrust = limits(hosts, edges, seeds, link_trust.DAMPING)
+    assert {r.host for r in got} == set(hosts)
+    for r in got:
+        i = hosts.index(r.host)
+        assert r.trust <= trust[i] + 1e-12 and r.distrust <= distrust[i] + 1e-12
+        assert (r.trust > 0, r.distrust > 0) == (trust[i] > 1e-300, distrust[i] > 1e-300)
+        assert r.trust == pytest.approx(trust[i], abs=0.05) and r.distrust == pytest.approx(distrust[i], abs=0.05)
+        if abs(distrust[i] - trust[i]) > 1e-5 * (distrust[i] + trust[i]):
+            assert (r.distrust > r.trust) == (distrust[i] > trust[i])
+
+
+def test_long_ways_to_a_blocked_host(spark):
+    """However many links lead to a blocked host, those that lead nowhere else are blocked."""
+    link = lambda h: f'<a href="http://{h}/">'
+    names = [f"h{i}.info" for i in range(15)] + ["bad.net"]
+    rows = [(i, f"http://{h}/", link(names[i + 1]) if i + 1 < len(names) else None) for i, h in enumerate(names)]
+    rows += [(100, "http://good.org/fr/", link("fine.info")), (101, "http://fine.info/", link("h0.info"))]
+    got = {r.page_id: r.verdict for r in link_trust.judge(spark.createDataFrame(rows, PAGES)).collect()}
+    trust, distrust = limits(*_graph(names), link_trust.DAMPING)
+    want = dict(zip([*range(len(names)), 100, 101], (distrust > trust).tolist()))
+    assert {i: v == "block" for i, v in got.items()} == want | {len(names) - 1: True, 100: False}
+    alone = spark.createDataFrame(rows[:len(names)], PAGES)
+    assert {r.verdict for r in link_trust.judge(alone).collect()} == {"block"}
+
+
+def _graph(names):
+    hosts = [*names, "good.org", "fine.info"]
+    edges = {(a, b): 1.0 for a, b in zip(names, names[1:])} | {("good.org", "fine.info"): 1.0, ("fine.info", "h0.info"): 1.0}
+    return hosts, edges, {"bad.net": (0, 1), "good.org": (1, 0)}
+
+
+def test_a_tie_is_allowed(spark):
+    """A host as far from a trusted as from a blocked one."""
+    link = lambda h: f'<a href="http://{h}/">'
+    rows = [(1, "http://good.org/fr/", link("mid.info")), (2, "http://mid.info/", link("bad.net")), (3, "http://bad.net/", None)]
+    got = {r.page_id: r for r in link_trust.judge(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got[2].trust > 0 and got[2].trust == pytest.approx(got[2].distrust) and got[2].verdict == "allow"
 
 
 def test_links_from_trusted_and_to_blocked_hosts(spark):
