@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,7 +12,7 @@ from riskloom.llm import (
     chat, decontamination, exact_dedup, fingerprint, link_trust, mixing, packing, quality, simhash, spelling, token_files,
     token_rollup, vector_codes,
 )
-from riskloom.llm.common import table, whole, word_count
+from riskloom.llm.common import table, whole
 from riskloom.session import fresh_path, stage
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -21,27 +22,32 @@ NOISE = r"[!#$%&*]+"
 
 
 def op1_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    """Loads all documents under one tokenizer, adds a second, then deletes the toxic documents and
-    revises the counts of those of low quality; the last two batches are delivered twice."""
-    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", whole().alias("text"))
-    text, plain = F.col("text"), F.regexp_replace("text", NOISE, "")
-    count = token_rollup.TOKENIZERS
-    known = stage(docs.select("doc_id", "source", "lang", *[
-        f(t).alias(f"{n}{when}") for n, f in count.items() for when, t in (("", text), (":later", plain))]))
-    now = {n: F.col(f"`{n}`") for n in count}
-    later = {n: F.col(f"`{n}:later`") for n in count}
+    """Loads all documents under one tokenizer, adds a second, folds both into a snapshot, then
+    deletes the toxic documents and revises the counts of those of low quality, whose noise goes;
+    the last two batches are delivered twice."""
+    labels = table(spark, folder, "labels").filter("doc_id is not null").groupBy("doc_id").agg(
+        F.bool_or(F.col("toxic") == 1).alias("_toxic"), F.bool_or((F.col("quality") == 0) & (F.col("toxic") != 1)).alias("_low"))
+    docs = table(spark, folder, "documents").select("doc_id", "source", "lang", whole().alias("now"))
+    toxic, low = F.coalesce("_toxic", F.lit(False)), F.coalesce("_low", F.lit(False))
+    marked = docs.join(labels, "doc_id", "left").select("source", "lang", "now", toxic.alias("toxic"), (low & ~toxic).alias("low"))
+    texts = marked.withColumn("later", F.when(F.col("low"), F.regexp_replace("now", NOISE, "")))
     state = fresh_path(spark, "rollup")
-    (first, _), (second, _) = count.items()
-    labels = table(spark, folder, "labels")
-    toxic = known.join(labels.filter("toxic = 1").select("doc_id").distinct(), "doc_id", "left_semi")
-    low = labels.filter("quality = 0 and toxic <> 1").select("doc_id").distinct()
-    poor = known.join(low, "doc_id", "left_semi")
-    load = token_rollup.inserted(token_rollup.counted(known, {first: now[first]}))
-    adding = token_rollup.inserted(token_rollup.counted(known, {second: now[second]}))
-    cleaning = token_rollup.deleted(token_rollup.counted(toxic, now)).unionByName(
-        token_rollup.revised(token_rollup.counted(poor, now), token_rollup.counted(poor, later)))
-    for name, changes in (("1", load), ("2", adding), ("3", cleaning), ("2", adding), ("3", cleaning)):
-        token_rollup.commit(state, name, changes)
+    rows = token_rollup.counted
+    loads, cleaning = [], []
+    for vocabulary in (WORD_BPE, BYTE_BPE):
+        name = token_rollup.version_of(vocabulary)
+        known = stage(token_rollup.with_counts(texts, ["now", "later"], vocabulary))
+        poor = known.filter("low")
+        loads.append(token_rollup.inserted(rows(known, "now", name)))
+        cleaning += [
+            token_rollup.deleted(rows(known.filter("toxic"), "now", name)),
+            token_rollup.revised(rows(poor, "now", name), rows(poor, "later", name))]
+    changes = reduce(DataFrame.unionByName, cleaning)
+    token_rollup.commit(state, 1, loads[0])
+    token_rollup.commit(state, 2, loads[1])
+    token_rollup.fold(spark, state)
+    for number, batch in ((3, changes), (2, loads[1]), (3, changes)):
+        token_rollup.commit(state, number, batch)
     return token_rollup.totals(spark, state)
 
 
@@ -123,17 +129,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op11_prefix_join, op12_spelling_forms, op13_gnat_codes, pipeline)
 }
 
-_WORDS = r"len(regexp_extract_all({0}, '[^\x20\x09-\x0D]+'))"
-_PIECES = r"len(regexp_extract_all({0}, '[A-Za-z]+|[0-9]+|[^A-Za-z0-9\x20\x09-\x0D]'))"
-_PLAIN = f"regexp_replace(t, '{NOISE}', '', 'g')"
-
-
-def _rollup(tokenizer: str, count: str) -> str:
-    return f"""
-SELECT source, lang, '{tokenizer}' AS tokenizer, count(*)::BIGINT AS documents,
-  sum(CASE WHEN low THEN {count.format(_PLAIN)} ELSE {count.format('t')} END)::BIGINT AS tokens
-FROM kept GROUP BY ALL"""
-
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -156,12 +151,6 @@ def _averaged(books: str, assigned: str) -> str:
 
 
 ORACLES = {
-    "op1_token_rollup": f"""
-WITH kept AS (
-  SELECT source, lang, coalesce(text, '') AS t,
-    doc_id IN (SELECT doc_id FROM labels WHERE quality = 0 AND toxic <> 1) AS low
-  FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))
-{_rollup('words-1', _WORDS)} UNION ALL {_rollup('pieces-1', _PIECES)}""",
     "op7_exact_dedup": r"""
 WITH norm AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),

@@ -212,9 +212,10 @@ class Encoder:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str, most_words: int = MOST_WORDS) -> Encoder:
-    """The worker's encoder for a vocabulary file; workers live longer than tasks."""
+    """The worker's encoder for a vocabulary file, the last one asked for; workers live longer than
+    tasks."""
     return Encoder(path, most_words)
 
 

@@ -1,12 +1,15 @@
 """Exact dedup, source mixing and token rollups against plain Python."""
 
 import hashlib
+import re
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from riskloom.llm import exact_dedup, mixing, token_rollup
+from riskloom.llm import exact_dedup, mixing, queries, token_rollup
 from riskloom.session import fresh_path
 from samples import SCHEMA, WORD, awkward, docs, squeezed, whole
 
@@ -126,30 +129,102 @@ def test_empty_tables(spark):
 KEYED = "source string, lang string, tokenizer string, tokens long"
 
 
+def made(spark, *rows):
+    return spark.createDataFrame(list(rows), KEYED)
+
+
+def sums(spark, state):
+    return {tuple(r) for r in token_rollup.totals(spark, state).collect()}
+
+
 def test_rollup_of_signed_batches(spark):
     state = fresh_path(spark, "rollup-test")
-    make = lambda *rows: spark.createDataFrame(list(rows), KEYED)
-    assert token_rollup.totals(spark, state).collect() == []
-    first = token_rollup.inserted(make(("a", "en", "v1", 5), ("a", "en", "v1", 7), (None, None, "v1", 1), ("z", "en", "v1", 4)))
-    assert token_rollup.commit(state, "1", first)
-    changes = token_rollup.deleted(make(("z", "en", "v1", 4))).unionByName(
-        token_rollup.revised(make(("a", "en", "v1", 5)), make(("a", "en", "v1", 9))))
-    assert token_rollup.commit(state, "2", changes)
-    assert not token_rollup.commit(state, "2", changes)
-    assert token_rollup.commit(state, "3", token_rollup.inserted(make()))
-    got = {tuple(r) for r in token_rollup.totals(spark, state).collect()}
-    assert got == {("a", "en", "v1", 2, 16), (None, None, "v1", 1, 1)}
+    assert sums(spark, state) == set() and token_rollup.fold(spark, state) == 0
+    first = token_rollup.inserted(made(
+        spark, ("a", "en", "v1", 5), ("a", "en", "v1", 7), (None, None, "v1", 1), ("z", "en", "v1", 4)))
+    assert token_rollup.commit(state, 1, first)
+    changes = token_rollup.deleted(made(spark, ("z", "en", "v1", 4))).unionByName(
+        token_rollup.revised(made(spark, ("a", "en", "v1", 5)), made(spark, ("a", "en", "v1", 9))))
+    want = {("a", "en", "v1", 2, 16), (None, None, "v1", 1, 1)}
+    assert token_rollup.commit(state, 2, changes)
+    assert not token_rollup.commit(state, 2, changes)
+    assert token_rollup.commit(state, 3, token_rollup.inserted(made(spark)))
+    assert sums(spark, state) == want
+    assert token_rollup.fold(spark, state) == 3 and token_rollup.fold(spark, state) == 3
+    assert sums(spark, state) == want
+    assert not token_rollup.commit(state, 1, first)
+    with pytest.raises(ValueError):
+        token_rollup.commit(state, 0, first)
+    assert token_rollup.vacuum(spark, state) == 3
+    assert not token_rollup.commit(state, 2, changes)
+    assert sums(spark, state) == want
+
+
+def test_interleaved_batches_and_snapshots(spark):
+    """A batch that comes after a later one, one that two writers publish, and one that is
+    published once more when a snapshot holds it."""
+    state = fresh_path(spark, "rollup-test")
+    batch = {n: token_rollup.inserted(made(spark, ("a", "en", "v1", 10**n))) for n in (1, 2, 3, 4)}
+    token_rollup.commit(state, 1, batch[1])
+    token_rollup.commit(state, 3, batch[3])
+    assert token_rollup.fold(spark, state) == 1
+    assert sums(spark, state) == {("a", "en", "v1", 2, 1010)}
+    for _ in range(2):  # both writers looked before either had published
+        token_rollup._publish(state, "batch-2", batch[2])
+    assert sums(spark, state) == {("a", "en", "v1", 3, 1110)}
+    assert token_rollup.fold(spark, state) == 3
+    token_rollup._publish(state, "batch-2", batch[2])
+    token_rollup._publish(state, "snapshot-1", batch[1])
+    assert token_rollup.commit(state, 4, batch[4])
+    assert sums(spark, state) == {("a", "en", "v1", 4, 11110)}
+    token_rollup.vacuum(spark, state)
+    assert sums(spark, state) == {("a", "en", "v1", 4, 11110)}
 
 
 def test_rollup_ignores_what_a_failed_commit_left(spark):
     state = fresh_path(spark, "rollup-test")
-    rows = token_rollup.inserted(spark.createDataFrame([("a", "en", "v1", 5)], KEYED))
-    rows.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(f"{state}/batch-1")
-    assert token_rollup.totals(spark, state).collect() == []
-    assert token_rollup.commit(state, "1", rows)
-    assert [tuple(r) for r in token_rollup.totals(spark, state).collect()] == [("a", "en", "v1", 1, 5)]
+    rows = token_rollup.inserted(made(spark, ("a", "en", "v1", 5)))
+    rows.write.parquet(f"{state}/_attempt-{'0' * 32}")
+    assert sums(spark, state) == set()
+    assert token_rollup.commit(state, 1, rows)
+    assert sums(spark, state) == {("a", "en", "v1", 1, 5)}
+
 
+tokenizer = lru_cache(Tokenizer.from_file)
 
-def test_counts_of_awkward_texts(spark):
-    rows = token_rollup.counted(docs(spark), {"w": token_rollup.word_count(F.coalesce("text", F.lit("")))})
-    assert rows.agg(F.sum("tokens")).first()[0] == sum(len(WORD.findall(whole(r[1]))) for r in awkward())
+
+def ids_of(vocabulary, text):
+    return len(tokenizer(vocabulary).encode(text, add_special_tokens=False).ids)
+
+
+@pytest.mark.parametrize("vocabulary", [queries.WORD_BPE, queries.BYTE_BPE])
+def test_counts_are_the_tokenizers_own(spark, vocabulary):
+    rows = docs(spark, clashing=True).select("doc_id", F.col("text").alias("now"), "x", F.lit(None).cast("string").alias("later"))
+    got = token_rollup.with_counts(rows, ["now", "later"], vocabulary).collect()
+    count = Counter((r.doc_id, r.now) for r in got)
+    assert count == Counter((r[0], None if r[1] is None else ids_of(vocabulary, r[1])) for r in awkward())
+    assert {(r.x, r.later) for r in got} == {(7, None)}
+
+
+def test_rollup_query_on_awkward_documents(spark):
+    """Against plain Python: toxic documents are gone, those of low quality count without noise."""
+    folder = fresh_path(spark, "rollup-query")
+    rows = awkward() + [(90, "!!! noise $$ here %", "en", "a", 1), (91, "gone", "xx", "only", 1)]
+    docs(spark, rows, clashing=True).write.parquet(f"{folder}/documents.parquet")
+    marks = [(1, 1, 0), (7, 0, 0), (8, 0, 1), (None, 1, 1), (13, None, None), (90, 0, 0), (90, 0, 0), (91, 1, 1), (12, 0, None)]
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    toxic, low = {8, 91}, {7, 90}
+    want = Counter()
+    for vocabulary in (queries.WORD_BPE, queries.BYTE_BPE):
+        for doc_id, text, lang, source, _ in rows:
+            if doc_id in toxic:
+                continue
+            plain = re.sub(queries.NOISE, "", whole(text)) if doc_id in low else whole(text)
+            key = source, lang, token_rollup.version_of(vocabulary)
+            want[*key, "documents"] += 1
+            want[*key, "tokens"] += ids_of(vocabulary, plain)
+    got = Counter()
+    for r in queries.op1_token_rollup(spark, folder).collect():
+        got[r.source, r.lang, r.tokenizer, "documents"] += r.documents
+        got[r.source, r.lang, r.tokenizer, "tokens"] += r.tokens
+    assert got == want
