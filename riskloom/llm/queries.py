@@ -28,15 +28,18 @@ def op1_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").filter("doc_id is not null").groupBy("doc_id").agg(
         F.bool_or(F.col("toxic") == 1).alias("_toxic"), F.bool_or((F.col("quality") == 0) & (F.col("toxic") != 1)).alias("_low"))
     docs = table(spark, folder, "documents").select("doc_id", "source", "lang", whole().alias("now"))
+    # Texts stay where they are read; labels meet the counts. A text without noise keeps its count.
+    plain = F.regexp_replace("now", NOISE, "")
+    texts = docs.withColumn("later", F.when(plain != F.col("now"), plain))
     toxic, low = F.coalesce("_toxic", F.lit(False)), F.coalesce("_low", F.lit(False))
-    marked = docs.join(labels, "doc_id", "left").select("source", "lang", "now", toxic.alias("toxic"), (low & ~toxic).alias("low"))
-    texts = marked.withColumn("later", F.when(F.col("low"), F.regexp_replace("now", NOISE, "")))
     state = fresh_path(spark, "rollup")
     rows = token_rollup.counted
     loads, cleaning = [], []
     for vocabulary in (WORD_BPE, BYTE_BPE):
         name = token_rollup.version_of(vocabulary)
-        known = stage(token_rollup.with_counts(texts, ["now", "later"], vocabulary))
+        counts = stage(token_rollup.with_counts(texts, ["now", "later"], vocabulary))
+        known = stage(counts.join(labels, "doc_id", "left").select(
+            "source", "lang", "now", F.coalesce("later", "now").alias("later"), toxic.alias("toxic"), (low & ~toxic).alias("low")))
         poor = known.filter("low")
         loads.append(token_rollup.inserted(rows(known, "now", name)))
         cleaning += [
