@@ -18,10 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.llm.common import partitions, whole, words
+from riskloom.session import stage
 
 K = 128
 WORDS = 5
 BITS = 64
+# Buckets of ids that a range of them is cut into.
+PER_PART = 8
 
 
 def shingle_hashes(text: Column, size: int = WORDS) -> Column:
@@ -88,21 +91,26 @@ def text_of(a: Column) -> Column:
     return F.concat_ws("", F.transform(a, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")))
 
 
-def _is_cut(cuts: list[int], value: Column, bucket: Column) -> Column:
-    """Whether the value is the cut its bucket begins at."""
-    return F.get(F.array(*[F.lit(c) for c in cuts]), bucket - 1) == value
+def _cuts(docs: DataFrame, buckets: int) -> DataFrame:
+    """One row: the ids, ascending, at which about so many buckets of equal numbers of rows begin.
 
+    Ids are range-partitioned, each partition names a few of its own, so no task sees all of them;
+    what is put together is a number per bucket.
+    """
+    each = min(PER_PART, buckets)
+    ids = docs.select("doc_id").filter("doc_id is not null").repartitionByRange(-(-buckets // each), "doc_id")
+    shares = F.array(*[F.lit(i / each) for i in range(each)])
+    named = ids.groupBy(F.spark_partition_id().alias("_part")).agg(F.percentile_approx("doc_id", shares, 100 * each).alias("_ids"))
+    return stage(named.agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("_ids")))).alias("cuts")))
 
-def _bucket(cuts: list[int], value: Column) -> Column:
-    """The number of cuts that are at most the value, by halving a sorted constant array."""
-    table = F.array(*[F.lit(c) for c in cuts])
-    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
-
-    def step(low: Column, jump: Column) -> Column:
-        ahead = F.get(table, low + jump - 1)
-        return F.when(ahead <= value, low + jump).otherwise(low)
 
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+def _with_bucket(rows: DataFrame, cuts: Column, most: int) -> DataFrame:
+    """Adds ``_bucket``, the number of cuts (at most ``most``) that are not above the id, by halving."""
+    rows = rows.withColumn("_bucket", F.lit(0))
+    for jump in (1 << i for i in reversed(range(most.bit_length()))):
+        ahead = F.get(cuts, F.col("_bucket") + (jump - 1)) <= F.col("doc_id")
+        rows = rows.withColumn("_bucket", F.when(ahead, F.col("_bucket") + jump).otherwise(F.col("_bucket")))
+    return rows
 
 
 def with_next(docs: DataFrame, own: dict[str, Column], buckets: int | None = None) -> DataFrame:
@@ -110,25 +118,24 @@ def with_next(docs: DataFrame, own: dict[str, Column], buckets: int | None = Non
     the next row by ascending id as a struct ``next``; the first follows the last.
 
     Ids are cut into buckets of about equal numbers of rows, at ids that occur (their number
-    follows the number of partitions). The rows a bucket begins with also go, as guests, to the
-    end of the bucket before, so after one shuffle by bucket the next row is a window function
-    away. ``own`` is computed after the shuffle, once.
+    follows the number of partitions, the plan's size its logarithm). The rows a bucket begins
+    with also go, as guests, to the end of the bucket before, so after one shuffle by bucket the
+    next row is a window function away. ``own`` is computed after the shuffle, once.
     """
-    count = buckets or 8 * partitions(docs.sparkSession)
-    shares = F.array(*[F.lit((i + 1) / (count + 1)) for i in range(count)])
-    low, nulls, cuts = docs.agg(
-        F.min("doc_id"), F.count_if(F.col("doc_id").isNull()), F.percentile_approx("doc_id", shares, 20 * count)).first()
-    cuts = sorted({c for c in cuts or [] if c != low or nulls})
-    bucket = F.coalesce(_bucket(cuts, F.col("doc_id")), F.lit(0)) if cuts else F.lit(0)
-    begins = F.coalesce(_is_cut(cuts, F.col("doc_id"), F.col("_bucket")), F.lit(False)) if cuts else F.lit(False)
+    count = buckets or PER_PART * partitions(docs.sparkSession)
+    low, nulls = docs.agg(F.min("doc_id"), F.count_if(F.col("doc_id").isNull())).first()
+    # The least id begins the first bucket, unless rows without an id come before it.
+    cuts = _cuts(docs, count).select(F.filter("cuts", lambda c: F.lit(nulls > 0) | (c != F.lit(low)))).scalar()
+    begins = F.coalesce(F.get(cuts, F.col("_bucket") - 1) == F.col("doc_id"), F.lit(False))
     very_first = F.col("doc_id").isNull() if nulls else F.col("doc_id") == low
     at = F.filter(F.array(
         F.struct(F.col("_bucket").alias("b"), F.lit(False).alias("guest")),
-        F.when(begins, F.struct((F.col("_bucket") - 1).alias("b"), F.lit(True).alias("guest"))),
-        F.when(very_first, F.struct(F.lit(len(cuts)).alias("b"), F.lit(True).alias("guest"))),
+        F.when(F.col("_begins"), F.struct((F.col("_bucket") - 1).alias("b"), F.lit(True).alias("guest"))),
+        F.when(very_first, F.struct(F.col("_last").alias("b"), F.lit(True).alias("guest"))),
     ), lambda x: x.isNotNull())
     dealt = (
-        docs.select("doc_id", whole().alias("text"), bucket.alias("_bucket"))
+        _with_bucket(docs.select("doc_id", whole().alias("text")), cuts, count + PER_PART)
+        .withColumns({"_begins": begins, "_last": F.size(cuts)})
         .select("doc_id", "text", F.inline(at)).repartition("b").withColumns(own)
     )
     order = Window.partitionBy("b").orderBy("guest", F.col("doc_id").asc_nulls_first(), "text")

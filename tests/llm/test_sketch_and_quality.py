@@ -57,6 +57,19 @@ def test_next_row(spark, buckets):
     assert sorted(((r.doc_id, r.text, r.next.doc_id, r.next.text, r.next.n) for r in found), key=key) == sorted(want, key=key)
 
 
+def test_plan_grows_with_the_logarithm_of_the_buckets_only(spark):
+    made = [fingerprint.with_next(docs(spark), {}, n)._jdf.queryExecution().analyzed().toString() for n in (16, 4096)]
+    assert len(made[1]) < 3 * len(made[0])
+
+
+def test_cuts_are_even(spark):
+    ids = spark.range(10_000).select((F.col("id") * F.col("id")).alias("doc_id")).repartition(7)
+    cuts = fingerprint._cuts(ids, 80).first()[0]
+    edges = [round(c**0.5) for c in cuts] + [10_000]
+    assert cuts[0] == 0 and cuts == sorted(set(cuts)) and 70 <= len(cuts) <= 80
+    assert max(b - a for a, b in zip(edges, edges[1:])) < 400
+
+
 def test_bottom_k_query(spark, folder):
     """The edited texts, by plain Python, and the estimates against exact similarity."""
     rows = sorted(queries.table(spark, folder, "documents").select("doc_id", "text").collect())
