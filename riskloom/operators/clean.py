@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions.columns import clip, half_even, outside, rows_of
-from riskloom.operators import sketches
+from riskloom.operators import heavy, sketches
 from riskloom.operators.profile import null_profile
 from riskloom.operators.quantiles import quantile_table
 from riskloom.session import local_rows, pin, stage
@@ -24,8 +24,11 @@ def medians(df: DataFrame, columns, approx: bool = False) -> DataFrame:
     return quantile_table(df, columns, [0.5], ["value"]).select("column", "value")
 
 
-def modes(df: DataFrame, columns) -> DataFrame:
-    """(column, value): most frequent value, the smallest on a tie."""
+def modes(df: DataFrame, columns, many: bool = False) -> DataFrame:
+    """(column, value): most frequent value, the smallest on a tie. With ``many`` by two or three
+    passes that shuffle only values that can be the mode, for columns of very many values."""
+    if many:
+        return heavy.modes(df, columns).select("column", "value")
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
     counts = (
         df.select(F.inline(cells)).filter(F.col("value").isNotNull())
@@ -35,13 +38,14 @@ def modes(df: DataFrame, columns) -> DataFrame:
     return counts.groupBy("column").agg(best["value"].alias("value"))
 
 
-def fill_values(df: DataFrame, spec: RoleSpec) -> dict:
-    """Median or mode per column, one value each; a column without any value has none."""
+def fill_values(df: DataFrame, spec: RoleSpec, many: bool = False) -> dict:
+    """Median or mode per column, one value each; a column without any value has none. ``many`` as
+    in ``modes``."""
     found = {}
     if spec.numeric:
         found |= {r["column"]: r["value"] for r in medians(df, spec.numeric).collect()}
     if spec.categorical:
-        found |= {r["column"]: r["value"] for r in modes(df, spec.categorical).collect()}
+        found |= {r["column"]: r["value"] for r in modes(df, spec.categorical, many).collect()}
     return {c: v for c, v in found.items() if v is not None}
 
 

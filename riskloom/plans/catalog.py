@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from riskloom.functions.columns import label_of, text_bar
 from riskloom.functions.risk import Level, base_delta, risk_band
 from riskloom.operators import clean as cleaning
-from riskloom.operators import evaluate, explore, models, score as scoring, sketches
+from riskloom.operators import evaluate, explore, heavy, models, score as scoring, sketches
 from riskloom.operators.dictionary import fit_dictionary, with_slots
 from riskloom.operators.prepare import (
     categories, fit_preparation, hash_split, label_encoder, one_hot, prepare, scale_stats, separate, standardise,
@@ -151,6 +151,19 @@ def q_fill_modes(spark, folder):
     return cleaning.modes(document_sizes(spark, folder), DOCUMENTS.categorical)
 
 
+def q_fill_modes_many(spark, folder):
+    """Modes of keys as text, thousands of values each, and the rows that hold them."""
+    return heavy.modes(table(spark, folder, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey"])
+
+
+def q_fill_modes_merged(spark, folder):
+    """The same for the orders, from summaries of two halves that are merged."""
+    orders = table(spark, folder, "orders")
+    columns, early = ["o_custkey", "o_orderdate"], F.col("o_orderkey") % 2 == 0
+    halves = [heavy.summary(orders.filter(half), columns) for half in (early, ~early)]
+    return heavy.modes(orders, columns, heavy.merge(*halves))
+
+
 def q_impute_median_mode(spark, folder):
     raw = _customers(spark, folder)
     return rounded(cleaning.impute(raw, cleaning.fill_values(raw, CUSTOMERS)), 4, "c_acctbal", "avg_price")

@@ -73,6 +73,12 @@ def _mode(c: str, t: str) -> str:
     return f"(SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)"
 
 
+def _modes_of(t: str, *columns: str) -> str:
+    """Most frequent value of each column as text, with its rows."""
+    return union(f"""SELECT * FROM (SELECT '{c}' AS "column", count(*) AS n, {c}::VARCHAR AS value FROM {t}
+  WHERE {c} IS NOT NULL GROUP BY 3 ORDER BY n DESC, value LIMIT 1)""" for c in columns)
+
+
 _fill = {c: f"coalesce({c}, (SELECT median({c}) FROM raw))" for c in CUSTOMERS.numeric}
 _fill |= {c: f"coalesce({c}, {_mode(c, 'raw')})" for c in CUSTOMERS.categorical}
 _cust_cols = ["c_custkey", "c_name", "c_mktsegment", "region", "c_acctbal", "n_orders", "avg_price",
@@ -372,6 +378,8 @@ ORACLES: dict[str, str] = {
         f"SELECT '{c}' AS \"column\", {rnd(f'median({c})', 6)} AS value FROM line" for c in LINES.numeric),
     "fill_modes": with_(SIZES) + union(
         f"SELECT '{c}' AS \"column\", {_mode(c, 'docs')} AS value" for c in DOCUMENTS.categorical),
+    "fill_modes_many": _modes_of("lineitem", "l_orderkey", "l_partkey", "l_suppkey"),
+    "fill_modes_merged": _modes_of("orders", "o_custkey", "o_orderdate"),
     "impute_median_mode": with_(CUST) + "SELECT " + ", ".join(
         f"{rnd(_fill[c], 4)} AS {c}" if c in ("c_acctbal", "avg_price") else f"{_fill[c]} AS {c}" if c in _fill else c
         for c in _cust_cols) + " FROM raw",
