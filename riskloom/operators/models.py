@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from riskloom.functions.columns import effect, fixed_text, signed_text, text_bar
 from riskloom.operators.clean import fill_values
 from riskloom.operators.prepare import FEATURES, LABEL
-from riskloom.session import local_rows, store_of
+from riskloom.session import fresh_path, local_rows, store_of
 from riskloom.spec import RoleSpec, normalise
 
 # Display names of the two models, in the order the dashboard lists them.
@@ -110,6 +110,39 @@ def importances(df: DataFrame, forest, names: list[str]) -> DataFrame:
     return _by_slot(df, names, forest.featureImportances.toArray(), "importance")
 
 
+def tree_nodes(forest) -> DataFrame:
+    """(tree, node, feature, threshold, left, right, counts): the grown trees, a row per node, as
+    Spark saves them. ``counts`` holds the training rows of each class, by bootstrap weight; a leaf
+    has NULL for the split, and a split by categories for the threshold."""
+    spark = SparkSession.active()
+    path = fresh_path(spark, "forest")
+    forest.write().save(path)
+    node, split = F.col("nodeData"), F.col("nodeData.split")
+    inner = node["leftChild"] >= 0
+    threshold = F.when(split["numCategories"] < 0, split["leftCategoriesOrThreshold"][0])
+    return spark.read.parquet(f"{path}/data").select(
+        F.col("treeID").alias("tree"), node["id"].alias("node"), F.when(inner, split["featureIndex"]).alias("feature"),
+        F.when(inner, threshold).alias("threshold"), F.when(inner, node["leftChild"]).alias("left"),
+        F.when(inner, node["rightChild"]).alias("right"), node["impurityStats"].alias("counts"))
+
+
+def gains(nodes: DataFrame) -> DataFrame:
+    """(slot, gain): each feature's share of what the splits take from the rows' Gini impurity, every
+    tree counting the same, from the class counts of the nodes alone. A feature that no tree splits
+    by has no row, nor has a tree that is one leaf."""
+    total = F.aggregate("counts", F.lit(0.0), lambda a, x: a + x)
+    mixed = nodes.select("*", (total - F.aggregate("counts", F.lit(0.0), lambda a, x: a + x * x) / total).alias("impure"))
+    child = mixed.select("tree", F.col("node").alias("child"), F.col("impure").alias("left_over"))
+    inner = mixed.filter("feature is not null").select("tree", "feature", "impure", F.explode(F.array("left", "right")).alias("child"))
+    # A split has two rows, one a child, and each takes half of what the node had.
+    taken = inner.join(child, ["tree", "child"]).groupBy("tree", "feature").agg(
+        F.sum(F.col("impure") / 2.0 - F.col("left_over")).alias("taken"))
+    of_tree = taken.groupBy("tree").agg(F.sum("taken").alias("all_taken"))
+    shares = taken.join(of_tree, "tree").filter("all_taken > 0").groupBy("feature").agg(F.sum(F.col("taken") / F.col("all_taken")).alias("share"))
+    whole = shares.agg(F.sum("share")).scalar()
+    return shares.select(F.col("feature").alias("slot"), (F.col("share") / whole).alias("gain"))
+
+
 def coefficients(df: DataFrame, logistic, names: list[str]) -> DataFrame:
     """(slot, feature, coefficient) in log-odds, signed text and direction, smallest first."""
     c = F.col("coefficient")

@@ -646,12 +646,16 @@ def q_lr_scores(spark, folder):
 
 
 def _importances(spark, folder):
+    """Importances as the model gives them, and the gains taken again from its nodes."""
     ready = _prepared(spark, folder)
-    return stage(models.importances(ready.train, models.fit_forest(ready.train), ready.names))
+    forest = models.fit_forest(ready.train)
+    again = models.gains(models.tree_nodes(forest))
+    return stage(models.importances(ready.train, forest, ready.names).join(F.broadcast(again), "slot", "left").fillna(0.0, ["gain"]))
 
 
 def q_rf_importances(spark, folder):
-    """One row per slot; shares of one, flagged from the 75th percentile as read off the sorted shares."""
+    """One row per slot; shares of one, equal to the gains of the splits, flagged from the 75th
+    percentile as read off the sorted shares."""
     table_ = _importances(spark, folder)
     shares = table_.agg(F.array_sort(F.collect_list("importance")).alias("v")).select(
         "v", (F.lit(0.75) * (F.size("v") - 1)).alias("at"), F.aggregate("v", F.lit(0.0), lambda a, b: a + b).alias("total"))
@@ -661,17 +665,19 @@ def q_rf_importances(spark, folder):
     return models.flag_importances(table_).join(F.broadcast(known)).select(
         "slot", "feature", F.col("importance").between(0.0, 1.0).alias("is_share"),
         _near(F.col("total"), F.lit(1.0), 1e-9).alias("sums_to_one"), _near(F.col("mean") * F.col("n"), F.lit(1.0), 1e-9).alias("mean_fits"),
+        _near(F.col("importance"), F.col("gain"), 1e-9).alias("gain_fits"),
         (F.col("strong") == (F.col("importance") >= F.col("upper") - 1e-12)).alias("flag_fits"))
 
 
 def q_rf_top_importances(spark, folder):
-    """The five largest in order: as many slots as the place says have at least that share."""
+    """The five largest in order: as many slots as the place says have at least that share of the
+    splits' gains."""
     table_ = _importances(spark, folder)
-    shares = F.broadcast(table_.agg(F.collect_list("importance").alias("v")))
+    shares = F.broadcast(table_.agg(F.collect_list("gain").alias("v")))
     v = F.col("importance")
     return models.top_importances(table_, 5).join(shares).select(
-        "place", (F.size(F.filter("v", lambda x: x > v)) < F.col("place")).alias("not_too_late"),
-        (F.size(F.filter("v", lambda x: x >= v)) >= F.col("place")).alias("not_too_early"),
+        "place", (F.size(F.filter("v", lambda x: x > v + 1e-9)) < F.col("place")).alias("not_too_late"),
+        (F.size(F.filter("v", lambda x: x >= v - 1e-9)) >= F.col("place")).alias("not_too_early"),
         _near(F.col("text").cast("double"), v, 5.001e-5).alias("text_fits"),
         (F.length("bar") == F.floor(v * 50)).alias("bar_fits"))
 

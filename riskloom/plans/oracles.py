@@ -510,7 +510,7 @@ FROM raw WHERE churned = 1""",
     "lr_coefficients": _CLEAN_SPLIT + f"SELECT *, {_true('text_fits', 'sign_fits', 'effect_fits')} FROM ({_SLOTS})",
     "lr_scores": _CLEAN_SPLIT + f"""SELECT c_custkey, 'Regressão Logística' AS model, churned AS label,
   {_true('score_fits', 'prediction_fits')} FROM marked WHERE is_test""",
-    "rf_importances": _CLEAN_SPLIT + f"""SELECT *, {_true('is_share', 'sums_to_one', 'mean_fits', 'flag_fits')}
+    "rf_importances": _CLEAN_SPLIT + f"""SELECT *, {_true('is_share', 'sums_to_one', 'mean_fits', 'gain_fits', 'flag_fits')}
 FROM ({_SLOTS})""",
     "rf_top_importances": f"""SELECT place::INT AS place, {_true('not_too_late', 'not_too_early', 'text_fits', 'bar_fits')}
 FROM (SELECT unnest(range(1, 6)) AS place)""",

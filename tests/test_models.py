@@ -332,9 +332,20 @@ def test_importances_are_the_gains_of_the_splits(spark):
     forest = models.fit_forest(df, trees=8)
     want = sum(gini_by_hand(t, 4) for t in forest.trees)
     assert forest.featureImportances.toArray() == pytest.approx(want / want.sum(), abs=1e-9)
+    nodes = models.tree_nodes(forest)
+    got = dict(rows(models.gains(nodes)))
+    assert [got.get(i, 0.0) for i in range(4)] == pytest.approx(want / want.sum(), abs=1e-9)
+    assert nodes.count() == forest.totalNumNodes
     assert forest.transform(df).filter("prediction = label").count() >= 290
 
 
+def test_a_forest_that_cannot_split_has_no_gains(spark):
+    df = spark.createDataFrame([(Vectors.dense([1.0, 2.0]), float(i % 2)) for i in range(20)], ["features", "label"])
+    nodes = models.tree_nodes(models.fit_forest(df, trees=3))
+    assert rows(nodes, "tree", "node", "feature", "threshold", "left", "right") == [(i, 0, None, None, None, None) for i in range(3)]
+    assert models.gains(nodes).count() == 0
+
+
 def test_legacy_forest_of_many_categories(spark):
     """More values than the usual number of bins."""
     data = [(i, float(i % 9), f"k{i % 400}", int(i % 400 < 120)) for i in range(1200)]
