@@ -92,6 +92,7 @@ class Legacy:
     model: PipelineModel
     report: DataFrame
     confusion: DataFrame
+    scored: DataFrame  # the held-out rows
 
 
 def train_legacy(raw: DataFrame, spec: RoleSpec, seed: int = 42, **forest) -> Legacy:
@@ -99,4 +100,4 @@ def train_legacy(raw: DataFrame, spec: RoleSpec, seed: int = 42, **forest) -> Le
     split = stage(stratified_split(normalise(raw), spec, seed=seed).withColumn(LABEL, F.col(spec.target).cast("double")))
     model = models.fit_legacy(split.filter("not is_test"), spec, seed=seed, **forest)
     scored = stage(models.predict(model, split.filter("is_test"), FOREST, [spec.id]))
-    return Legacy(model, evaluate.class_report(scored), evaluate.confusion_cells(scored))
+    return Legacy(model, evaluate.class_report(scored), evaluate.confusion_cells(scored), scored)

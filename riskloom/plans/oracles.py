@@ -525,7 +525,9 @@ FROM (SELECT unnest(range(3)) AS turn)""",
     "gap_scores": f"""SELECT c_custkey, 'Regressão Logística' AS model,
   {_true('prob_fits', 'pred_fits', 'band_fits', 'delta_fits')} FROM customer""",
     "gap_scores_stream": "SELECT count(*) AS rows, count(*) AS same FROM customer",
-    "legacy_rf_scores": f"SELECT c_custkey, {_true('prob_fits', 'one_decimal', 'class_fits', 'learned')} FROM customer",
+    "legacy_rf_scores": with_(CUST, *_split("raw", "c_custkey", "churned"))
+        + f"""SELECT c_custkey, is_test,
+  {_true('prob_fits', 'one_decimal', 'class_fits', 'score_fits', 'learned', 'report_fits')} FROM marked""",
     "saved_model_check": _CLEAN_SPLIT + "SELECT count(*) AS rows, count(*) AS same FROM marked WHERE is_test",
     "validate": with_(WHOLE) + f"SELECT count(*) AS rows, {len(_cust_cols)} AS columns FROM raw",
     "separate_features": with_(DOCS) + "SELECT " + ", ".join(DOCUMENTS.features) + ", poor::DOUBLE AS label FROM docs",
