@@ -156,6 +156,11 @@ def q_fill_modes_many(spark, folder):
     return heavy.modes(table(spark, folder, "lineitem"), ["l_orderkey", "l_partkey", "l_suppkey"])
 
 
+def q_fill_modes_documents(spark, folder):
+    """Of the documents the most frequent source, language and whole text."""
+    return heavy.modes(table(spark, folder, "documents"), ["source", "lang", "text"])
+
+
 def q_fill_modes_merged(spark, folder):
     """The same for the orders, from summaries of two halves that are merged."""
     orders = table(spark, folder, "orders")

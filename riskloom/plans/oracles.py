@@ -379,6 +379,7 @@ ORACLES: dict[str, str] = {
     "fill_modes": with_(SIZES) + union(
         f"SELECT '{c}' AS \"column\", {_mode(c, 'docs')} AS value" for c in DOCUMENTS.categorical),
     "fill_modes_many": _modes_of("lineitem", "l_orderkey", "l_partkey", "l_suppkey"),
+    "fill_modes_documents": _modes_of("documents", "source", "lang", "text"),
     "fill_modes_merged": _modes_of("orders", "o_custkey", "o_orderdate"),
     "impute_median_mode": with_(CUST) + "SELECT " + ", ".join(
         f"{rnd(_fill[c], 4)} AS {c}" if c in ("c_acctbal", "avg_price") else f"{_fill[c]} AS {c}" if c in _fill else c
