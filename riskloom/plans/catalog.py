@@ -397,11 +397,27 @@ CUSTOMER_VIEW = dashboard.View(
     {"c_name": "Name", "region": "Region"}, {0: "kept", 1: "churned"})
 
 
+DASHBOARD_KEYS = {
+    "choices": ["region"], "kpis": [], "kpis_by_choice": ["choice"], "scatter": ["c_custkey", "label"],
+    "density": ["churned", "x_bin", "y_bin"], "box": ["churned", "column"], "box_outliers": ["churned", "c_custkey"],
+    "correlations": ["column", "text", "bar", "effect"], "at_risk": ["Name", "Region"],
+    "rate_by_region": ["region"], "rate_by_c_mktsegment": ["c_mktsegment"],
+}
+
+
 def q_dashboard(spark, folder):
-    """How many rows each chart's table has for the customers of one region."""
+    """Every row of each chart's table for the customers of one region: its texts as a key, and each
+    of its numbers; a row of texts alone counts one."""
     made = dashboard.tables(stage(customers(spark, folder)), "ASIA", CUSTOMERS, CUSTOMER_VIEW)
-    counts = [t.agg(F.lit(name).alias("chart"), F.count("*").alias("rows")) for name, t in made.items()]
-    return reduce(DataFrame.unionByName, counts)
+
+    def long(chart: str, rows: DataFrame) -> DataFrame:
+        keys = DASHBOARD_KEYS[chart]
+        numbers = {c: F.col(f"`{c}`") for c in rows.columns if c not in keys} or {"rows": F.lit(1)}
+        cells = F.array(*[F.struct(F.lit(c).alias("measure"), v.cast("double").alias("value")) for c, v in numbers.items()])
+        key = F.concat_ws("|", F.lit(chart), *[F.col(f"`{c}`").cast("string") for c in keys])
+        return rows.select(key.alias("key"), F.inline(cells))
+
+    return rounded(reduce(DataFrame.unionByName, [long(name, t) for name, t in made.items()]), 4, "value")
 
 
 def q_quality_flow(spark, folder):

@@ -581,22 +581,42 @@ FROM ({_rate('line', 'ship_year', 'returned')})""",
 }
 
 
+def _long(chart: str, rows: str, keys: list[str], numbers: list[str]) -> str:
+    key = ", ".join([f"'{chart}'", *[f'"{k}"::VARCHAR' for k in keys]])
+    values = ", ".join(rnd(f'"{c}"', 4) for c in numbers)
+    return f"SELECT concat_ws('|', {key}) AS key, unnest({numbers!r}) AS measure, unnest([{values}]) AS value FROM ({rows})"
+
+
 def _dashboard() -> str:
     x, y = "avg_price", "recency_days"
-    cell = f"{_bin(x, 'xl', 'xh', 20)}, {_bin(y, 'yl', 'yh', 20)}"
-    charts = {
-        "choices": "SELECT count(DISTINCT region) FROM raw", "kpis": "SELECT 1",
-        "kpis_by_choice": "SELECT count(DISTINCT region) + 1 FROM raw", "scatter": "SELECT count(*) FROM chosen",
-        "density": f"""SELECT count(*) FROM (SELECT DISTINCT churned, {cell} FROM chosen, (SELECT min({x}) AS xl,
-          max({x}) AS xh, min({y}) AS yl, max({y}) AS yh FROM chosen) WHERE {x} IS NOT NULL AND {y} IS NOT NULL)""",
-        "box": f"SELECT count(DISTINCT churned) FROM chosen WHERE {x} IS NOT NULL",
-        "box_outliers": f"SELECT count(*) FROM chosen JOIN lim USING (churned) WHERE {x} < lower OR {x} > upper",
-        "correlations": f"SELECT {len(CUSTOMERS.numeric)}", "at_risk": "SELECT count(*) FROM chosen WHERE churned = 1",
-        "rate_by_region": "SELECT count(DISTINCT region) FROM raw",
-        "rate_by_c_mktsegment": "SELECT count(DISTINCT c_mktsegment) FROM raw",
-    }
-    return with_(WHOLE, "chosen AS (SELECT * FROM raw WHERE region = 'ASIA')", f"lim AS ({_limits('chosen', [x], 'churned')})") + union(
-        f"SELECT '{name}' AS chart, ({sql})::BIGINT AS rows" for name, sql in charts.items())
+    indicators = _kpi("raw", "churned", {"n_orders": 2, "avg_price": 1})
+    said = ["total", "positives", "rate", "mean_n_orders", "mean_avg_price"]
+    charts = [
+        ("choices", "SELECT DISTINCT region, 1 AS rows FROM raw WHERE region IS NOT NULL", ["region"], ["rows"]),
+        ("kpis", f"SELECT {indicators} FROM chosen", [], said),
+        ("kpis_by_choice", f"""SELECT *, CASE WHEN lvl = 0 THEN rate - overall END AS delta FROM (
+          SELECT CASE WHEN grouping(region) = 1 THEN 'Todos' ELSE region END AS choice, grouping(region) AS lvl,
+            (SELECT avg(churned) * 100e0 FROM raw) AS overall, {indicators}
+          FROM raw GROUP BY ROLLUP (region)) WHERE choice IS NOT NULL""", ["choice"], [*said, "delta"]),
+        ("scatter", "SELECT *, CASE churned WHEN 0 THEN 'kept' WHEN 1 THEN 'churned' END AS label FROM chosen",
+         ["c_custkey", "label"], [x, y]),
+        ("density", f"""SELECT churned, {_bin(x, 'xl', 'xh', 20)} AS x_bin, {_bin(y, 'yl', 'yh', 20)} AS y_bin, count(*) AS n
+          FROM chosen, (SELECT min({x}) AS xl, max({x}) AS xh, min({y}) AS yl, max({y}) AS yh FROM chosen)
+          WHERE {x} IS NOT NULL AND {y} IS NOT NULL GROUP BY 1, 2, 3""", ["churned", "x_bin", "y_bin"], ["n"]),
+        ("box", _box("chosen", [x], "churned"), ["churned", "column"],
+         ["n", "q1", "median", "q3", "low_whisker", "high_whisker", "outliers"]),
+        ("box_outliers", f"SELECT *, {x} AS value FROM chosen JOIN lim USING (churned) WHERE {x} < lower OR {x} > upper",
+         ["churned", "c_custkey"], ["value"]),
+        ("correlations", f"""SELECT "column", r, printf('%+.4f', r) AS text,
+          CASE WHEN r > 0 THEN '+' ELSE '-' END || repeat('█', trunc(abs(r * 30))::INT) AS bar,
+          CASE WHEN r > 0 THEN 'raises' ELSE 'lowers' END AS effect FROM ({_top_corr()})""",
+         ["column", "text", "bar", "effect"], ["r"]),
+        ("at_risk", 'SELECT c_name AS "Name", region AS "Region", 1 AS rows FROM chosen WHERE churned = 1',
+         ["Name", "Region"], ["rows"]),
+        *[(f"rate_by_{c}", _rate("raw", c, "churned"), [c], ["n", "positives", "rate"]) for c in ("region", "c_mktsegment")],
+    ]
+    return with_(WHOLE, "chosen AS (SELECT * FROM raw WHERE region = 'ASIA')",
+                 f"lim AS ({_limits('chosen', [x], 'churned')})") + union(_long(*chart) for chart in charts)
 
 
 ORACLES["dashboard"] = _dashboard()
