@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskloom.functions.columns import effect, fixed_text, signed_text, text_bar
 from riskloom.operators.clean import fill_values
+from riskloom.operators.forest import TableForest, fit_table_forest
 from riskloom.operators.prepare import FEATURES, LABEL
 from riskloom.session import fresh_path, local_rows, store_of
 from riskloom.spec import RoleSpec, normalise
@@ -36,10 +37,13 @@ def fit_forest(
     """Gini forest on sqrt(features) per split, grown as deep as Spark grows trees. ``bins`` bounds
     the split candidates per feature and must not be below the number of categories.
 
-    Every row keeps the node it has reached in each tree, so a level costs the same however deep it
-    is; that state is checkpointed in the session's folder every ten levels. ``memory_mb`` bounds the
-    statistics of the nodes that are split in one pass.
+    Two classes give a forest that stays a table (see ``forest``); ``memory_mb`` bounds what a task
+    takes for the rows of the part of a tree it grows. More classes give Spark's own forest, where it
+    bounds the statistics of the nodes that are split in one pass.
     """
+    labels = train.agg(F.count("*").alias("n"), F.count_if(F.col(LABEL).isin(0, 1)).alias("binary")).first()
+    if labels["n"] and labels["n"] == labels["binary"]:
+        return fit_table_forest(train, FEATURES, LABEL, trees, depth, bins, seed, memory_mb)
     return RandomForestClassifier(
         featuresCol=FEATURES, labelCol=LABEL, numTrees=trees, maxDepth=depth, maxBins=bins, impurity="gini",
         featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=memory_mb, cacheNodeIds=True, checkpointInterval=10,
@@ -115,12 +119,16 @@ def tree_nodes(forest) -> DataFrame:
     Spark saves them. ``counts`` holds the training rows of each class, by bootstrap weight; a leaf
     has NULL for the split, and a split by categories for the threshold."""
     spark = SparkSession.active()
-    path = fresh_path(spark, "forest")
-    forest.write().save(path)
+    if isinstance(forest, TableForest):
+        table = forest.nodes()
+    else:
+        path = fresh_path(spark, "forest")
+        forest.write().save(path)
+        table = spark.read.parquet(f"{path}/data")
     node, split = F.col("nodeData"), F.col("nodeData.split")
     inner = node["leftChild"] >= 0
     threshold = F.when(split["numCategories"] < 0, split["leftCategoriesOrThreshold"][0])
-    return spark.read.parquet(f"{path}/data").select(
+    return table.select(
         F.col("treeID").alias("tree"), node["id"].alias("node"), F.when(inner, split["featureIndex"]).alias("feature"),
         F.when(inner, threshold).alias("threshold"), F.when(inner, node["leftChild"]).alias("left"),
         F.when(inner, node["rightChild"]).alias("right"), node["impurityStats"].alias("counts"))
@@ -131,7 +139,7 @@ def gains(nodes: DataFrame) -> DataFrame:
     tree counting the same, from the class counts of the nodes alone. A feature that no tree splits
     by has no row, nor has a tree that is one leaf."""
     total = F.aggregate("counts", F.lit(0.0), lambda a, x: a + x)
-    mixed = nodes.select("*", (total - F.aggregate("counts", F.lit(0.0), lambda a, x: a + x * x) / total).alias("impure"))
+    mixed = nodes.select("*", (total - F.aggregate("counts", F.lit(0.0), lambda a, x: a + x * x) / F.greatest(total, F.lit(1.0))).alias("impure"))
     child = mixed.select("tree", F.col("node").alias("child"), F.col("impure").alias("left_over"))
     inner = mixed.filter("feature is not null").select("tree", "feature", "impure", F.explode(F.array("left", "right")).alias("child"))
     # A split has two rows, one a child, and each takes half of what the node had.
