@@ -85,6 +85,18 @@ def test_a_tree_that_draws_no_rows_does_not_vote(spark):
     assert rows(forest.transform(df).select(vector_to_array("probability")[1], "prediction")) == [(1.0, 1.0)]
 
 
+def test_a_deep_forest_takes_few_jobs(spark):
+    """Spark's own forest takes two jobs and more for each level: over 40 here."""
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(Vectors.dense(v), float(t)) for v, t in zip(rng.normal(0, 1, (2000, 3)), rng.integers(0, 2, 2000))], ["features", "label"])
+    spark.sparkContext.setJobGroup("deep", "deep")
+    forest = models.fit_forest(df, trees=10)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("deep"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < jobs < 30
+    assert forest.transform(df).filter("prediction = label").count() > 1900
+
+
 def test_more_than_two_classes_are_still_grown(spark):
     df = spark.createDataFrame([(Vectors.dense([float(i % 9)]), float(i % 3)) for i in range(90)], ["features", "label"])
     assert models.fit_forest(df, trees=3).numClasses == 3
