@@ -97,6 +97,17 @@ def test_a_deep_forest_takes_few_jobs(spark):
     assert forest.transform(df).filter("prediction = label").count() > 1900
 
 
+def test_the_largest_importances_of_a_forest_in_parts(spark):
+    """More rows than a task may take, so the first splits come from summed counts."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(0, 1, (5000, 4))
+    df = spark.createDataFrame([(Vectors.dense(v), float(v[2] + 0.5 * v[0] > 0)) for v in x], ["features", "label"])
+    forest = models.fit_forest(df, trees=4, memory_mb=1)
+    assert forest.parts().filter("part > 0").count() > 4
+    top = models.top_importances(models.importances(df, forest, list("abcd")), 2).orderBy("place").collect()
+    assert [r["feature"] for r in top] == ["c", "a"]
+
+
 def test_more_than_two_classes_are_still_grown(spark):
     df = spark.createDataFrame([(Vectors.dense([float(i % 9)]), float(i % 3)) for i in range(90)], ["features", "label"])
     assert models.fit_forest(df, trees=3).numClasses == 3
