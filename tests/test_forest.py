@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helpers import rows
 from riskloom.operators import models
 from riskloom.operators.forest import TableForest
+from riskloom.plans import modelling
 from riskloom.spec import RoleSpec
 
 SPEC = RoleSpec(id="id", target="y", numeric=("a", "b"), categorical=("k",))
@@ -108,6 +109,15 @@ def test_the_largest_importances_of_a_forest_in_parts(spark):
     assert [r["feature"] for r in top] == ["c", "a"]
 
 
+def test_the_compared_forest_scores_from_its_parts(spark):
+    done = modelling.train(noisy(spark, 4000).drop("label"), SPEC, trees=8, memory_mb=1)
+    model = done.scorers[models.FOREST]
+    assert isinstance(model.stages[-1], TableForest)
+    got = done.scored.filter(F.col("model") == models.FOREST).select("id", F.round("score", 9))
+    other = models.predict(model.stages[-1].to_spark(), done.prepared.test, "x", ["id"])
+    assert rows(got) == rows(other.select("id", F.round("score", 9)))
+
+
 def test_more_than_two_classes_are_still_grown(spark):
     df = spark.createDataFrame([(Vectors.dense([float(i % 9)]), float(i % 3)) for i in range(90)], ["features", "label"])
     assert models.fit_forest(df, trees=3).numClasses == 3
