@@ -20,7 +20,7 @@ from pyspark.ml.linalg import DenseVector
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskloom.session import fresh_path, local_rows, stage
+from riskloom.session import arrow_schema, fresh_path, local_rows, stage
 
 # Rows of one side of a scoring task; bytes that growing a part may take for each of its rows.
 SLAB_ROWS, ROW_BYTES = 1 << 20, 512
@@ -213,11 +213,47 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-def _arrow(spark: SparkSession, ddl: str) -> pa.Schema:
-    schema = spark.createDataFrame([], ddl).toArrow().schema
-    # Large types would not match what Spark sends to and takes from the workers.
-    plain = {pa.large_binary(): pa.binary(), pa.large_string(): pa.string()}
-    return pa.schema([pa.field(f.name, plain.get(f.type, f.type)) for f in schema])
+def _left_values(p: dict, i: np.ndarray, grid: Grid) -> pa.Array:
+    """Of the nodes ``i`` what goes left: the threshold, or the categories in order; none of a leaf."""
+    feature, cut, mask = p["feature"][i], p["cut"][i], p["mask"][i]
+    arity = np.where(feature >= 0, np.array(grid.arity)[feature], 0)
+    edges = np.concatenate([np.zeros(0), *grid.edges])
+    first = np.cumsum([0, *map(len, grid.edges)])
+    number = np.flatnonzero((feature >= 0) & (arity == 0))
+    cuts = np.flatnonzero((feature >= 0) & (arity > 0) & (mask < 0))
+    sets = np.flatnonzero((feature >= 0) & (mask >= 0))
+    upto = np.repeat(cuts, cut[cuts] + 1)
+    at, category = np.nonzero(np.unpackbits(p["masks"][mask[sets]], axis=1, bitorder="little"))
+    where = np.concatenate([number, upto, sets[at]])
+    values = np.concatenate([edges[first[feature[number]] + cut[number]], np.arange(len(upto)) - np.searchsorted(upto, upto), category])
+    ends = np.r_[0, np.cumsum(np.bincount(where, minlength=len(i)))].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values[np.argsort(where, kind="stable")].astype(float)))
+
+
+def _node_batch(tree: int, p: dict, ids: np.ndarray, i: np.ndarray, grid: Grid, schema: pa.Schema) -> pa.RecordBatch:
+    """The nodes ``i`` of a part as rows of ``NODE``; ``ids`` are the ids of all its nodes."""
+    inner = p["feature"][i] >= 0
+    left, right = p["left"][i], p["right"][i]
+
+    def mixed(at):
+        n0, n1 = p["n0"][at].astype(float), p["n1"][at].astype(float)
+        return n0, n1, n0 + n1, _gini_sum(n0, n1) / np.maximum(n0 + n1, 1)
+
+    n0, n1, n, impurity = mixed(i)
+    (_, _, n_left, of_left), (_, _, n_right, of_right) = mixed(left), mixed(right)
+    gain = np.where(inner, impurity - (n_left * of_left + n_right * of_right) / np.maximum(n, 1), -1.0)
+    node = schema.field("nodeData").type
+    split = node.field("split").type
+    arity = np.where(inner, np.array(grid.arity)[p["feature"][i]], 0)
+    int32 = lambda v: pa.array(v.astype(np.int32))
+    stats = pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * len(i) + 1, 2, dtype=np.int32)), pa.array(np.stack([n0, n1], 1).reshape(-1)))
+    how = pa.StructArray.from_arrays(
+        [int32(p["feature"][i]), _left_values(p, i, grid).cast(split.field("leftCategoriesOrThreshold").type), int32(np.where(arity > 0, arity, -1))],
+        fields=list(split))
+    data = pa.StructArray.from_arrays(
+        [int32(ids[i]), pa.array((n1 > n0).astype(float)), pa.array(impurity), stats.cast(node.field("impurityStats").type), pa.array(n.astype(np.int64)),
+         pa.array(gain), int32(np.where(inner, ids[left], -1)), int32(np.where(inner, ids[right], -1)), how], fields=list(node))
+    return pa.RecordBatch.from_arrays([int32(np.full(len(i), tree)), data], schema=schema)
 
 
 # --- growing ---------------------------------------------------------------------------------
@@ -312,7 +348,7 @@ def _tops(blocks: DataFrame, n_rows: int, grid: Grid, trees: int, depth: int, ta
                     names=["tree", "node", "j", "b", "a0", "a1"])
 
         split_schema = "tree int, node int, slot int, cut int, mask binary, taken double, l0 long, l1 long, n0 long, n1 long"
-        arrow = _arrow(blocks.sparkSession, split_schema)
+        arrow = arrow_schema(split_schema)
 
         def choose(key, cells):
             tree, node = (k.as_py() for k in key)
@@ -387,7 +423,7 @@ def fit_table_forest(df: DataFrame, features: str, label: str, trees: int, depth
                                                    "weight": weight[r].astype(np.uint8).tobytes()}], dealt)
 
     dealt = pa.schema([("tree", pa.int32()), ("part", pa.int32()), ("x", pa.binary()), ("y", pa.binary()), ("weight", pa.binary())])
-    arrow = _arrow(spark, PART)
+    arrow = arrow_schema(PART)
 
     def finish(key, rows):
         tree, number = (k.as_py() for k in key)
@@ -458,43 +494,22 @@ class TableForest(Model, MLReadable, MLWritable):
             nexts[tree] += n - 1
         start += [(t, 0, 0, 1) for t in range(len(tops))]
         placed = self.parts().join(F.broadcast(local_rows(spark, start, "tree int, part int, root int, next int")), ["tree", "part"])
-        arrow = _arrow(spark, NODE)
+        arrow = arrow_schema(NODE)
         step = 1 << 14
 
         def unpack(batches):
             for batch in batches:
                 for r in batch.to_pylist():
                     p = _part(r, grid.width)
-                    ids = np.arange(r["n_nodes"]) + r["next"] - 1
-                    ids[0] = r["root"]
-                    n0, n1 = p["n0"].astype(float), p["n1"].astype(float)
-                    n = n0 + n1
-                    impurity = _gini_sum(n0, n1) / np.maximum(n, 1)
-                    inner = p["feature"] >= 0
-                    left, right = p["left"], p["right"]
-                    gain = np.where(inner, impurity - (n[left] * impurity[left] + n[right] * impurity[right]) / np.maximum(n, 1), -1.0)
-                    if r["part"] == 0:
-                        ids = np.arange(r["n_nodes"])
+                    ids = np.arange(r["n_nodes"])
+                    if r["part"]:
+                        ids += r["next"] - 1
+                        ids[0] = r["root"]
                     for low in range(0, r["n_nodes"], step):
-                        out = []
-                        for i in range(low, min(low + step, r["n_nodes"])):
-                            if r["part"] == 0 and p["ref"][i] > 0:
-                                continue
-                            split = {"featureIndex": -1, "leftCategoriesOrThreshold": [], "numCategories": -1}
-                            if inner[i]:
-                                f, arity = int(p["feature"][i]), grid.arity[p["feature"][i]]
-                                if p["mask"][i] >= 0:
-                                    goes = np.flatnonzero(np.unpackbits(p["masks"][p["mask"][i]], bitorder="little"))
-                                else:
-                                    goes = np.arange(p["cut"][i] + 1) if arity else [grid.edges[f][p["cut"][i]]]
-                                split = {"featureIndex": f, "leftCategoriesOrThreshold": [float(v) for v in goes], "numCategories": arity or -1}
-                            out.append({"treeID": r["tree"], "nodeData": {
-                                "id": int(ids[i]), "prediction": float(n1[i] > n0[i]), "impurity": float(impurity[i]),
-                                "impurityStats": [n0[i], n1[i]], "rawCount": int(n[i]), "gain": float(gain[i]),
-                                "leftChild": int(ids[left[i]]) if inner[i] else -1, "rightChild": int(ids[right[i]]) if inner[i] else -1,
-                                "split": split}})
-                        if out:
-                            yield pa.RecordBatch.from_pylist(out, arrow)
+                        i = np.arange(low, min(low + step, r["n_nodes"]))
+                        i = i[p["ref"][i] == 0] if r["part"] == 0 else i
+                        if len(i):
+                            yield _node_batch(r["tree"], p, ids, i, grid, arrow)
 
         return placed.mapInArrow(unpack, NODE)
 

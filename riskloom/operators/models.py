@@ -14,7 +14,7 @@ from riskloom.functions.columns import effect, fixed_text, signed_text, text_bar
 from riskloom.operators.clean import fill_values
 from riskloom.operators.forest import TableForest, fit_table_forest
 from riskloom.operators.prepare import FEATURES, LABEL
-from riskloom.session import fresh_path, local_rows, store_of
+from riskloom.session import fresh_path, local_rows, pin, store_of
 from riskloom.spec import RoleSpec, normalise
 
 # Display names of the two models, in the order the dashboard lists them.
@@ -140,15 +140,16 @@ def gains(nodes: DataFrame) -> DataFrame:
     by has no row, nor has a tree that is one leaf."""
     total = F.aggregate("counts", F.lit(0.0), lambda a, x: a + x)
     mixed = nodes.select("*", (total - F.aggregate("counts", F.lit(0.0), lambda a, x: a + x * x) / F.greatest(total, F.lit(1.0))).alias("impure"))
-    child = mixed.select("tree", F.col("node").alias("child"), F.col("impure").alias("left_over"))
-    inner = mixed.filter("feature is not null").select("tree", "feature", "impure", F.explode(F.array("left", "right")).alias("child"))
-    # A split has two rows, one a child, and each takes half of what the node had.
-    taken = inner.join(child, ["tree", "child"]).groupBy("tree", "feature").agg(
-        F.sum(F.col("impure") / 2.0 - F.col("left_over")).alias("taken"))
-    of_tree = taken.groupBy("tree").agg(F.sum("taken").alias("all_taken"))
-    shares = taken.join(of_tree, "tree").filter("all_taken > 0").groupBy("feature").agg(F.sum(F.col("taken") / F.col("all_taken")).alias("share"))
-    whole = shares.agg(F.sum("share")).scalar()
-    return shares.select(F.col("feature").alias("slot"), (F.col("share") / whole).alias("gain"))
+    # A node is there as a child with what it leaves over, and a split for either child with half of
+    # what it had. Both of a child's rows come from one scan and mostly from one task.
+    own = F.struct(F.col("node").alias("child"), F.lit(None).cast("int").alias("slot"), (-F.col("impure")).alias("taken"))
+    half = lambda c: F.struct(F.col(c).alias("child"), F.col("feature").alias("slot"), (F.col("impure") / 2.0).alias("taken"))
+    sides = mixed.select("tree", F.inline(F.when(F.col("feature").isNull(), F.array(own)).otherwise(F.array(own, half("left"), half("right")))))
+    taken = sides.groupBy("tree", "child").agg(F.max("slot").alias("slot"), F.sum("taken").alias("taken"), F.count("*").alias("n")).filter(
+        "n = 2 and slot is not null").groupBy("tree", "slot").agg(F.sum("taken").alias("taken"))
+    whole = F.sum("taken").over(Window.partitionBy("tree"))
+    shares = pin(taken.withColumn("all_taken", whole).filter("all_taken > 0").groupBy("slot").agg(F.sum(F.col("taken") / F.col("all_taken")).alias("share")))
+    return shares.select("slot", (F.col("share") / shares.agg(F.sum("share")).scalar()).alias("gain"))
 
 
 def coefficients(df: DataFrame, logistic, names: list[str]) -> DataFrame:

@@ -17,10 +17,15 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 PIN_BYTES = 8 << 20
 
+# Arrow's types for Spark's plain ones.
+ARROW = {
+    "boolean": pa.bool_(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string(), "binary": pa.binary(),
+}
+
 # Runtime settings that pay off for these queries on any cluster. HotSpot never compiles a method
 # above 8000 bytes of bytecode; with this limit Spark splits such operators instead of fusing them
 # into one method that would stay interpreted.
@@ -120,6 +125,20 @@ def any_row(pinned: DataFrame, condition: str) -> bool:
     return bool(pinned.filter(condition).limit(1).collect())
 
 
+def arrow_type(kind: T.DataType) -> pa.DataType:
+    """What Spark sends to and takes from Python workers for a column of this type."""
+    if isinstance(kind, T.ArrayType):
+        return pa.list_(pa.field("element", arrow_type(kind.elementType)))
+    if isinstance(kind, T.StructType):
+        return pa.struct([pa.field(f.name, arrow_type(f.dataType)) for f in kind])
+    return ARROW[kind.simpleString()]
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    """Told from the text alone; asking Spark for it takes a job."""
+    return pa.schema([pa.field(f.name, arrow_type(f.dataType)) for f in T.StructType.fromDDL(ddl)])
+
+
 def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A table of parameters or fitted values (a handful of rows) as a local relation."""
     empty = spark.createDataFrame([], schema)

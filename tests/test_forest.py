@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from riskloom.operators import models
-from riskloom.operators.forest import TableForest
+from riskloom.operators.forest import ARRAYS, NODE, Grid, TableForest, _node_batch
 from riskloom.plans import modelling
+from riskloom.session import arrow_schema
 from riskloom.spec import RoleSpec
 
 SPEC = RoleSpec(id="id", target="y", numeric=("a", "b"), categorical=("k",))
@@ -121,3 +122,36 @@ def test_the_compared_forest_scores_from_its_parts(spark):
 def test_more_than_two_classes_are_still_grown(spark):
     df = spark.createDataFrame([(Vectors.dense([float(i % 9)]), float(i % 3)) for i in range(90)], ["features", "label"])
     assert models.fit_forest(df, trees=3).numClasses == 3
+
+
+def test_gains_read_each_node_once(spark):
+    """They were read for the nodes as parents, again as children, and that for the sum of all shares too."""
+    data = [(0, 0, 0, 1, 2, [6.0, 4.0]), (0, 1, None, None, None, [5.0, 0.0]), (0, 2, 1, 3, 4, [1.0, 4.0]),
+            (0, 3, None, None, None, [1.0, 0.0]), (0, 4, None, None, None, [0.0, 4.0]), (1, 0, None, None, None, [3.0, 3.0])]
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    nodes = spark.createDataFrame(data, "tree int, node int, feature int, left int, right int, counts array<double>")
+    got = dict(rows(models.gains(nodes.mapInArrow(count, nodes.schema))))
+    assert got == pytest.approx({0: (4.8 - 1.6) / 4.8, 1: 1.6 / 4.8})
+    assert read.value == len(data)
+
+
+def test_nodes_say_what_goes_left(spark):
+    """A number's threshold, two categories by the bin, more than two by a set; a leaf says nothing."""
+    grid = Grid([0, 2, 3], [[1.5, 2.5], [], []])
+    part = {c: np.zeros(7, t) for c, t in ARRAYS.items()}
+    part["feature"][:], part["mask"][:] = (0, 1, 2, -1, -1, -1, -1), (-1, -1, 0, -1, -1, -1, -1)
+    part["cut"][0], part["left"][:3], part["right"][:3] = 1, (1, 3, 5), (2, 4, 6)
+    part["n0"][:], part["n1"][:] = (6, 4, 2, 3, 1, 2, 0), (6, 1, 5, 0, 1, 1, 4)
+    part["masks"] = np.array([[0b101]], np.uint8)
+    ids = np.array([9, 20, 21, 22, 23, 24, 25])
+    got = [r["nodeData"] for r in _node_batch(3, part, ids, np.array([0, 1, 2, 5]), grid, arrow_schema(NODE)).to_pylist()]
+    assert [(r["id"], r["leftChild"], r["rightChild"], r["rawCount"], r["impurityStats"]) for r in got] == [
+        (9, 20, 21, 12, [6, 6]), (20, 22, 23, 5, [4, 1]), (21, 24, 25, 7, [2, 5]), (24, -1, -1, 3, [2, 1])]
+    assert [tuple(r["split"].values()) for r in got] == [(0, [2.5], -1), (1, [0.0], 2), (2, [0.0, 2.0], 3), (-1, [], -1)]
+    assert got[0]["gain"] == pytest.approx(0.5 - (5 * 0.32 + 7 * 20 / 49) / 12) and got[3]["gain"] == -1.0
