@@ -18,7 +18,7 @@ from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskloom.session import arrow_schema, fresh_path, local_rows, stage
 
@@ -476,8 +476,8 @@ class TableForest(Model, MLReadable, MLWritable):
         """What the splits by each slot took from the impurity, as a share of the tree, averaged."""
         cells = self.parts().select("tree", F.posexplode("taken").alias("slot", "taken"))
         by_tree = cells.groupBy("tree", "slot").agg(F.sum("taken").alias("taken"))
-        whole = by_tree.groupBy("tree").agg(F.sum("taken").alias("whole"))
-        share = by_tree.join(whole, "tree").filter("whole > 0").groupBy("slot").agg(F.sum(F.col("taken") / F.col("whole")))
+        whole = F.sum("taken").over(Window.partitionBy("tree"))
+        share = by_tree.withColumn("whole", whole).filter("whole > 0").groupBy("slot").agg(F.sum(F.col("taken") / F.col("whole")))
         out = np.zeros(self.numFeatures)
         for slot, v in share.collect():
             out[slot] = v

@@ -141,7 +141,6 @@ def arrow_schema(ddl: str) -> pa.Schema:
 
 def local_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A table of parameters or fitted values (a handful of rows) as a local relation."""
-    empty = spark.createDataFrame([], schema)
-    columns = [[row[i] for row in rows] for i in range(len(empty.columns))]
-    table = pa.table({c: pa.array(v, type=t) for c, v, t in zip(empty.columns, columns, empty.toArrow().schema.types)})
-    return spark.createDataFrame(table, schema=empty.schema)
+    types = arrow_schema(schema)
+    columns = [pa.array([row[i] for row in rows], type=f.type) for i, f in enumerate(types)]
+    return spark.createDataFrame(pa.table(columns, schema=types), schema=T.StructType.fromDDL(schema))

@@ -9,7 +9,7 @@ from helpers import rows
 from riskloom.operators import models
 from riskloom.operators.forest import ARRAYS, NODE, Grid, TableForest, _node_batch
 from riskloom.plans import modelling
-from riskloom.session import arrow_schema
+from riskloom.session import arrow_schema, local_rows
 from riskloom.spec import RoleSpec
 
 SPEC = RoleSpec(id="id", target="y", numeric=("a", "b"), categorical=("k",))
@@ -141,6 +141,16 @@ def test_gains_read_each_node_once(spark):
     assert read.value == len(data)
 
 
+def test_tables_of_fitted_values_need_no_job(spark):
+    """Python workers were started on every core to tell the types of an empty table."""
+    spark.sparkContext.setJobGroup("types", "types")
+    table = local_rows(spark, [(1, None, [2.0], b"a", "x"), (2, 3.0, None, None, None)], "a int, b double, c array<double>, d binary, e string")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("types")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+    assert rows(table.select("a", "b", "c", "e")) == [(1, None, [2.0], "x"), (2, 3.0, None, None)]
+
+
 def test_nodes_say_what_goes_left(spark):
     """A number's threshold, two categories by the bin, more than two by a set; a leaf says nothing."""
     grid = Grid([0, 2, 3], [[1.5, 2.5], [], []])
