@@ -116,6 +116,41 @@ def _goes_left(b, cut, mask, masks):
     return left
 
 
+# Of a row's weight times 2 plus its class, below 64: the weight, and above bit 32 that of class 1.
+SUMS = np.array([(c >> 1) + ((c >> 1) * (c & 1) << 32) for c in range(64)], np.int64)
+
+
+class Cells:
+    """Class counts by node and bin, of rows at the nodes ``at``; ``wy`` is a row's weight times 2 plus
+    its class. They are counted in place while the bins of all nodes are few against the rows, and by
+    sorting the rows else."""
+
+    def __init__(self, at, wy, nodes: int, wide: int):
+        self.wide, self.size, self.sort = wide, 2 * nodes * wide, nodes * wide > 2 * len(at)
+        if self.sort:
+            self.row = (at * (64 * wide) + wy).astype(np.uint32 if nodes * wide < 1 << 26 else np.int64)
+        else:
+            self.row, self.weight = at * (2 * wide) + (wy & 1), (wy >> 1).astype(float)
+
+    def count(self, b):
+        """(node, bin, rows of class 0, of class 1) of the filled bins, sorted, from each row's bin."""
+        if self.sort:
+            key = self.row + (b.astype(self.row.dtype) << 6)
+            key.sort()
+            cell = key >> 6
+            start = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+            sums = np.add.reduceat(np.take(SUMS, key & 63), start)
+            cell, a1 = cell[start].astype(np.int64), sums >> 32
+            a0 = (sums & 0xFFFFFFFF) - a1
+        else:
+            sums = np.bincount(self.row + 2 * b.astype(np.int64), self.weight, self.size)
+            a0, a1 = sums[0::2], sums[1::2]
+            cell = np.flatnonzero(a0 + a1)
+            a0, a1 = a0[cell].astype(np.int64), a1[cell].astype(np.int64)
+        node = cell // self.wide
+        return node, cell - node * self.wide, a0, a1
+
+
 def draw(rng, nodes: int, slots: int, take: int) -> np.ndarray:
     """The slots that each node may split by."""
     return np.argsort(rng.random((nodes, slots)), axis=1)[:, :take]
@@ -131,9 +166,8 @@ def grow(x, label, weight, grid: Grid, take: int, depth: int, rng) -> dict:
     parts, taken_by, masks, n_masks, base = [], np.zeros(slots), [], 0, 0
     at, rows, n_nodes = np.zeros(len(label), np.int64), np.arange(len(label)), 1
     for level in range(depth + 1):
-        w, y = wy[rows] >> 1, wy[rows] & 1
-        n1 = np.bincount(at, w * y, n_nodes).astype(np.int64)
-        n0 = np.bincount(at, w, n_nodes).astype(np.int64) - n1
+        sums = np.bincount(2 * at + (wy[rows] & 1), wy[rows] >> 1, 2 * n_nodes).astype(np.int64)
+        n0, n1 = sums[0::2], sums[1::2]
         made = {c: np.zeros(n_nodes, t) for c, t in ARRAYS.items()} | {"n0": n0, "n1": n1}
         made["feature"][:], made["mask"][:] = -1, -1
         parts.append(made)
@@ -148,16 +182,11 @@ def grow(x, label, weight, grid: Grid, take: int, depth: int, rng) -> dict:
         drawn = draw(rng, len(live), slots, take)
         best, slot = np.zeros(len(live)), np.full(len(live), -1)
         cut, sets = np.zeros(len(live), np.int64), np.zeros((len(live), grid.width), np.uint8)
+        at_row, cells = rows * slots, Cells(at, wy[rows], len(live), wide)
         for j in range(drawn.shape[1]):
-            key = (at * wide + flat[rows * slots + drawn[at, j]]) * 64 + wy[rows]
-            key = key.astype(np.uint32) if len(live) * wide < 1 << 26 else key
-            key.sort()
-            cell, c = key >> 6, (key & 63).astype(np.int64)
-            start = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-            a = np.add.reduceat(c >> 1, start)
-            a1 = np.add.reduceat((c >> 1) * (c & 1), start)
-            node, b = np.divmod(cell[start].astype(np.int64), wide)
-            gain, last, order, first = best_splits(node, b, a - a1, a1, unordered[drawn[:, j]], m0, m1)
+            b = np.take(flat, at_row + np.take(np.ascontiguousarray(drawn[:, j]), at))
+            node, b, a0, a1 = cells.count(b)
+            gain, last, order, first = best_splits(node, b, a0, a1, unordered[drawn[:, j]], m0, m1)
             better = np.flatnonzero(gain > best)
             best[better], slot[better], cut[better] = gain[better], drawn[better, j], b[order[last[better]]]
             free = better[unordered[drawn[better, j]]]
@@ -434,7 +463,8 @@ def fit_table_forest(df: DataFrame, features: str, label: str, trees: int, depth
         return _table([_row(tree, number, made)], arrow)
 
     n_parts = sum(int((t["ref"] > 0).sum()) for t in tops)
-    spread = max(min(n_parts, 4 * spark.sparkContext.defaultParallelism), 1)
+    # Whole parts fall to the tasks by hash: the more rows there are, the more tasks even that out.
+    spread = max(min(2 * n_parts, max(4 * spark.sparkContext.defaultParallelism, n_rows * trees >> 19)), 1)
     rows = blocks.mapInArrow(deal, "tree int, part int, x binary, y binary, weight binary").repartition(spread, "tree", "part")
     path = fresh_path(spark, "forest")
     rows.groupBy("tree", "part").applyInArrow(finish, PART).write.parquet(path)

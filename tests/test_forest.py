@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from riskloom.operators import models
-from riskloom.operators.forest import ARRAYS, NODE, Grid, TableForest, _node_batch
+from riskloom.operators.forest import ARRAYS, NODE, Cells, Grid, TableForest, _node_batch
 from riskloom.plans import modelling
 from riskloom.session import arrow_schema, local_rows
 from riskloom.spec import RoleSpec
@@ -165,3 +165,17 @@ def test_nodes_say_what_goes_left(spark):
         (9, 20, 21, 12, [6, 6]), (20, 22, 23, 5, [4, 1]), (21, 24, 25, 7, [2, 5]), (24, -1, -1, 3, [2, 1])]
     assert [tuple(r["split"].values()) for r in got] == [(0, [2.5], -1), (1, [0.0], 2), (2, [0.0, 2.0], 3), (-1, [], -1)]
     assert got[0]["gain"] == pytest.approx(0.5 - (5 * 0.32 + 7 * 20 / 49) / 12) and got[3]["gain"] == -1.0
+
+
+@pytest.mark.parametrize("nodes", [3, 900])
+def test_cells_are_counted_alike_in_place_and_by_sorting(nodes):
+    """Few nodes are counted in place, many by sorting; both as a plain count does."""
+    rng = np.random.default_rng(8)
+    n, wide = 5000, 40
+    at, b, weight, y = rng.integers(0, nodes, n), rng.integers(0, wide, n).astype(np.uint8), rng.integers(1, 32, n), rng.integers(0, 2, n)
+    cells = Cells(at, weight * 2 + y, nodes, wide)
+    want = {}
+    for key in zip(at.tolist(), b.tolist(), weight.tolist(), y.tolist()):
+        want.setdefault(key[:2], [0, 0])[key[3]] += key[2]
+    assert cells.sort == (nodes > 3)
+    assert [v.tolist() for v in cells.count(b)] == [list(v) for v in zip(*[(*k, *want[k]) for k in sorted(want)])]
